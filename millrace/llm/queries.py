@@ -22,8 +22,19 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str, docs: DataFrame | None = N
     return e.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from millrace.llm.token_shards import read_tokens, write_tokens
+
+    docs = _documents(spark, sf_dir)
+    manifest = write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, vocabulary=50257)
+    out = read_tokens(spark, manifest, docs.select("doc_id"))
+    return out.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_prefix_bpe,)}
+    return {f.__name__: f for f in (op1_token_shards, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
