@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable
 
 _SEEN = "[!-~¡-¬®-ɏ]"
 _ODD = re.compile(f" (?!{_SEEN})|(?<!{_SEEN}) ")
+#: Chunks that are one word of such characters.
+ONE_WORD = re.compile(f" ?{_SEEN}+")
 _CUT = re.compile(f"(?<={_SEEN})(?= {_SEEN})")
 
 
@@ -24,11 +26,16 @@ def chunks(text: str) -> list[str]:
 
 
 class ChunkMemo:
-    """Ids of texts as bytes, by a memo of at most ``most`` chunks of at most ``longest`` characters."""
+    """Ids of texts as bytes, by a memo of the chunks seen last.
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 300_000, longest: int = 64):
+    The memo has two generations of ``most`` chunks: when the young one is full it becomes the old one,
+    and what is asked for again moves back. Chunks over ``longest`` characters are not kept.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 500_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
-        self.memo: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -43,16 +50,18 @@ class ChunkMemo:
     def _some(self, texts: list[str]) -> list[bytes]:
         parts = [chunks(t) for t in texts]
         heads = [p.pop(0) for p in parts]
-        new = list(set().union(*parts) - self.memo.keys())
+        new = set().union(*parts)
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        new -= self.young.keys()
+        if self.old:
+            self.young |= {k: self.old[k] for k in new & self.old.keys()}
+            new -= self.old.keys()
+        new = list(new)
         got = list(self.encode([*heads, *(" " + x for x in new)]))
-        fresh = dict(zip(new, got[len(heads) :], strict=True))
-        if len(self.memo) + len(fresh) > self.most:
-            if fresh.keys() | self.memo.keys() != fresh.keys():
-                fresh |= {k: self.memo[k] for k in set().union(*parts) & self.memo.keys()}
-            self.memo = {}
-        self.memo |= fresh
-        find = self.memo.__getitem__
+        self.young |= zip(new, got[len(heads) :], strict=True)
+        find = self.young.__getitem__
         out = [h + b"".join(map(find, p)) for h, p in zip(got[: len(heads)], parts, strict=True)]
-        for k in [k for k in fresh if len(k) > self.longest]:
-            del self.memo[k]
+        for k in [k for k in new if len(k) > self.longest]:
+            del self.young[k]
         return out

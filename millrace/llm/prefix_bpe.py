@@ -3,7 +3,7 @@
 Of all tokens that can end a byte prefix of a piece, exactly one belongs to the prefix's valid
 encoding. Storing that token for each prefix gives every encoding by walking back, lets text be
 appended exactly (the stored prefixes stay true), and lets an edit re-encode its surroundings alone.
-Two neighbours are valid together when merging their bytes from scratch gives the two back.
+Two neighbours are valid together when no merge across their border comes before those that make them.
 """
 
 from __future__ import annotations
@@ -27,9 +27,12 @@ class PrefixBpe:
 
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.bytes_of = {v: k for k, v in ranks.items()}
+        self.size_of = {v: len(k) for k, v in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.edges: dict[int, list[tuple[bytes, int]]] = {}
+        self.automaton = self._automaton()
         self.packed = {v: v.to_bytes(4, "little") for v in ranks.values()}
         self.pieces: dict[str, bytes] = {}
         self.memo = ChunkMemo(self._packed_chunks)
@@ -40,47 +43,93 @@ class PrefixBpe:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
     def merged(self, data: bytes) -> list[int]:
-        """Merging by rank from single bytes; only used on the bytes of one or two tokens."""
+        """Merging by rank from single bytes, the plain way; only used on the bytes of single tokens and in tests."""
+        return [self.ranks[p] for p in self._merge(data, 1)]
+
+    def _merge(self, data: bytes, least: int) -> list[bytes]:
+        """Parts of ``data`` after merging by rank until nothing merges or ``least`` parts are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > least:
             rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
             if rank == 1 << 60:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def _automaton(self):
+        """Finds, at each byte, the tokens that end there and that merging can make; learns each one's last merge."""
+        import ahocorasick
+
+        out = ahocorasick.Automaton()
+        for data, token in self.ranks.items():
+            parts = self._merge(data, 2)
+            if len(data) == 1 or len(parts) == 2:
+                out.add_word(data.decode("latin-1"), (token, len(data)))
+                if len(data) > 1:
+                    self.halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]])
+        out.make_automaton()
+        return out
+
+    def edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """What stands at the token's left (0) or right (1) end while it is being made, each with the rank at which that is merged away."""
+        key = token << 1 | side
+        if (known := self.edges.get(key)) is None:
+            known, until = [], 1 << 60
+            while True:
+                known.append((self.bytes_of[token], until))
+                if token not in self.halves:
+                    break
+                token, until = self.halves[token][side], token
+            self.edges[key] = known = known[::-1]
+        return known
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether the two tokens can stand side by side in a valid encoding."""
-        key = (left, right)
+        """Whether the two tokens can stand side by side: no merge across their border comes before those that make them.
+
+        Of merges with one rank, the leftmost comes first.
+        """
+        key = left << 32 | right
         if (known := self.pairs.get(key)) is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        return known
-
-    def reached(self, token: int) -> bool:
-        """Whether merging can make the token at all."""
-        if (known := self.whole.get(token)) is None:
-            known = self.whole[token] = self.merged(self.bytes_of[token]) == [token]
+            known, a, b, i, j, end = True, self.edge(left, 1), self.edge(right, 0), 0, 0, 1 << 60
+            while True:
+                (x, till_x), (y, till_y) = a[i], b[j]
+                across = self.ranks.get(x + y, end)
+                if across < till_x and across <= till_y and across < end:
+                    known = False
+                    break
+                if till_x == till_y == end:
+                    break
+                if till_x <= till_y:
+                    i += 1
+                else:
+                    j += 1
+            self.pairs[key] = known
         return known
 
     def extend(self, piece: bytes, last: list[int]) -> None:
-        """Complete ``last``, which holds the last token of each prefix (index: its length), to the whole piece."""
-        get = self.ranks.get
-        for end in range(len(last), len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = get(piece[start:end])
-                if token is not None and self.reached(token) and (not start or self.fits(last[start], token)):
+        """Complete ``last``, which holds the last token of each prefix (index: its length), to the whole piece.
+
+        The automaton names, at each position, the tokens that end there; only those that merging can make are in it.
+        """
+        pairs, fits, done = self.pairs, self.fits, len(last)
+        back = max(0, done - self.longest)
+        for end, (token, size) in self.automaton.iter(piece[back:].decode("latin-1")):
+            end += back + 1
+            if end == done:
+                start = end - size
+                if not start or (pairs.get(last[start] << 32 | token) if last[start] << 32 | token in pairs else fits(last[start], token)):
                     last.append(token)
-                    break
-            else:
-                raise ValueError("the ranks lack a single byte")
+                    done += 1
+        if done != len(piece) + 1:
+            raise ValueError("the ranks lack a single byte")
 
     def walk_back(self, last: list[int]) -> list[int]:
         at, out = len(last) - 1, []
         while at:
             out.append(last[at])
-            at -= len(self.bytes_of[last[at]])
+            at -= self.size_of[last[at]]
         return out[::-1]
 
     def encode_piece(self, piece: bytes) -> list[int]:
