@@ -33,8 +33,15 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.substring import drop_repeats
+
+    out = drop_repeats(_documents(spark, sf_dir), width=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
