@@ -25,22 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import ChunkMemo
+from millrace.llm.chunks import ONE_WORD, ChunkMemo
 from millrace.llm.prefix_bpe import slices
 from millrace.llm.shared import partitions, range_number, work_path
+from millrace.llm.words import mix
 
 MAGIC = b"MRTOKENS"
 
 
-def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Well-mixed 64-bit hashes of 64-bit integers (the finaliser of SplitMix64)."""
-    with np.errstate(over="ignore"):
-        x = np.asarray(x, np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def key_hashes(ids: np.ndarray, absent: np.ndarray, ordinals: np.ndarray) -> np.ndarray:
     return mix(mix(ids.astype(np.int64).view(np.uint64), 1) ^ (ordinals.astype(np.uint64) * np.uint64(2) + absent.astype(np.uint64)), 2)
 
@@ -169,19 +161,50 @@ class ShardReader:
         self.file.close()
 
 
-_tokenizers: dict[str, object] = {}
+class LibraryIds:
+    """Ids by the tokenizers library; strings of special tokens are ordinary text.
 
+    Single words go to the library as lines of one text, which spares a call a word: a line break
+    between them is a token by itself, and no word holds one.
+    """
 
-def library_memo(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
-    """Ids by the tokenizers library, each distinct chunk once; strings of special tokens are ordinary text."""
-    if path not in _tokenizers:
+    def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        _tokenizers[path] = ChunkMemo(lambda texts: [np.array(e.ids, f"<u{width}").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)])
-    return _tokenizers[path]
+        self.library, self.width = Tokenizer.from_file(path), width
+        self.library.encode_special_tokens = True
+        (self.line_break,) = self._batch(["a\nb"])[0][1:-1]
+        self.memo = ChunkMemo(self.encode)
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, f"<u{self.width}") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        lines, rest = [], []
+        for i, t in enumerate(texts):
+            (lines if len(t) < 200 and ONE_WORD.fullmatch(t) else rest).append(i)
+        for at in range(0, len(lines), 1000):
+            some = lines[at : at + 1000]
+            ids = self._batch(["\n".join(texts[i] for i in some)])[0]
+            cuts = np.flatnonzero(ids == self.line_break) * self.width
+            data = ids.tobytes()
+            for i, a, b in zip(some, [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)], strict=True):
+                out[i] = data[a:b]
+        for i, ids in zip(rest, self._batch([texts[i] for i in rest]), strict=True):
+            out[i] = ids.tobytes()
+        return out
+
+
+_libraries: dict[tuple[str, int], LibraryIds] = {}
+
+
+def library_memo(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+    """One memo a worker process."""
+    if (path, width) not in _libraries:
+        _libraries[path, width] = LibraryIds(path, width)
+    return _libraries[path, width].memo
 
 
 def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
