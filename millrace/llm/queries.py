@@ -40,8 +40,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.setjoin import similar_groups
+
+    return similar_groups(_documents(spark, sf_dir), k=4, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op8_set_join, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
