@@ -46,8 +46,15 @@ def op8_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(_documents(spark, sf_dir), k=4, percent=85)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.fmindex import contamination, is_contaminated
+
+    out = contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=13)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op8_set_join, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op8_set_join, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
