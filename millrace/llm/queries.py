@@ -53,9 +53,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.linededup import drop_repeated_lines
+
+    return drop_repeated_lines(_documents(spark, sf_dir), width=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op8_set_join, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op6_line_dedup, op8_set_join, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from millrace.llm import linededup
+
+    return {"op6_line_dedup": linededup.duckdb_sql()}
