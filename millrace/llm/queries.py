@@ -59,8 +59,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(_documents(spark, sf_dir), width=3)
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.syncmers import fingerprint_pairs
+
+    return fingerprint_pairs(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op6_line_dedup, op8_set_join, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
