@@ -65,8 +65,23 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(_documents(spark, sf_dir))
 
 
+def held_out():
+    """Documents that language models are not fitted on."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from millrace.llm.langid import fit, identify
+
+    docs = _documents(spark, sf_dir)
+    model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out())
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
