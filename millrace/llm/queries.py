@@ -80,8 +80,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.urlfilter import fit, judge, labelled_table
+
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), fit(labelled_table(spark)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op5_url_filter, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
