@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Stored:
+    """A table in the shared folder, as Parquet; ``drop`` when all that reads it has run.
+
+    Hashes make up most of what is stored here, so the pages are not compressed.
+    """
+
+    def __init__(self, df: DataFrame, name: str, **options: str):
+        self.spark, self.at = df.sparkSession, work_path(df.sparkSession, name)
+        df.write.options(**({"compression": "uncompressed"} | options)).parquet(self.at)
+        self.df = self.spark.read.schema(df.schema).parquet(self.at)
+
+    def drop(self) -> None:
+        drop_path(self.at)
+
+
+def drop_path(uri: str) -> None:
+    from pyarrow.fs import FileSystem
+
+    fs, path = FileSystem.from_uri(uri)
+    fs.delete_dir(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that have ended; it acts on the driver's garbage collections."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

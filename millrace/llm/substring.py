@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import SPACE_BYTES, checkpointed, partitions, work_path
+from millrace.llm.shared import SPACE_BYTES, Stored, checkpointed, partitions, release, work_path
 from millrace.llm.words import Texts, run_hashes, slices, sliding_argmin, word_table
 
 _TABLE = word_table(SPACE_BYTES)
@@ -49,16 +50,14 @@ class FingerprintIndex:
         fs, path = FileSystem.from_uri(self.folder)
         fs.create_dir(path, recursive=True)
 
-    def ingest(self, counts: DataFrame) -> DataFrame:
-        """Add a batch of (fp, n), a row or more a fingerprint; returns (fp) of those that this batch makes repeated.
+    def ingest(self, counts: DataFrame) -> Stored:
+        """Add a batch of (fp, n), a row or more a fingerprint; returns a table whose non-null fp are those that this batch makes repeated.
 
         Those are seen twice or more in all and were not so before the batch.
         """
         folder, old, n = self.folder, list(self.runs), self.buckets
-        spark = self.spark
         sums = counts.groupBy("fp").agg(F.sum("n").alias("n"))
         rows = sums.select(F.pmod(F.xxhash64("fp"), F.lit(n)).cast("int").alias("bucket"), "fp", (F.col("n") > 1).alias("many"))
-        out = work_path(spark, "repeated")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[int, list] = {}
@@ -85,10 +84,9 @@ class FingerprintIndex:
                 if len(new):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), k), pa.int32()), pa.nulls(len(new), pa.string()), pa.array(new)], names=["bucket", "file", "fp"])
 
-        rows.repartition(n, "bucket").mapInArrow(run, "bucket int, file string, fp long").write.parquet(out)
-        done = spark.read.parquet(out)
-        self.runs.append({r.bucket: r.file for r in done.where("file is not null").select("bucket", "file").collect()})
-        return done.where("fp is not null").select("fp")
+        done = Stored(rows.repartition(n, "bucket").mapInArrow(run, "bucket int, file string, fp long"), "ingested")
+        self.runs.append({r.bucket: r.file for r in done.df.where("file is not null").select("bucket", "file").collect()})
+        return done
 
     def compact(self) -> None:
         """Merge all runs into one; the old files go once the new run is whole."""
@@ -216,30 +214,29 @@ def repeated_spans(docs: DataFrame, width: int = 35, gram: int = 8, batches: int
     spark = docs.sparkSession
     rows = keyed(docs, text, key)
     index = index or FingerprintIndex(spark)
-    at = work_path(spark, "entries")
-    entries(rows, width, gram).withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(batches))).write.partitionBy("batch").option("compression", "zstd").parquet(at)
-    e = spark.read.schema(_ENTRY + ", batch int").parquet(at)
-    repeated = None
-    for k in range(batches):
-        new = index.ingest(e.where(F.col("batch") == k).select("fp", F.lit(1).alias("n")))
-        repeated = new if repeated is None else repeated.unionAll(new)
+    e = Stored(entries(rows, width, gram).withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(batches)).cast("int")), "entries")
+    parts = [index.ingest(e.df.where(F.col("batch") == k).select("fp", F.lit(1).alias("n"))) for k in range(batches)]
     index.compact()
-    some = checkpointed(e.join(repeated, "fp", "left_semi").select("fp", "d1", "d2", "k1", "k2", "start", "n"))
-    _drop(spark, at)
-    kinds = some.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k1", "k2", "start", "n")).alias("one"))
-    mixed = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("fp")
-    apart = kinds.join(mixed, "fp", "left_semi").select("one.*").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("stretches"))
-    w = windows(rows.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]).join(apart, ["k1", "k2"]), width)
-    w = checkpointed(w)
-    twice = w.groupBy("d1", "d2").count().where("count > 1").select("d1", "d2")
-    alone = w.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("n"))
-    whole = some.join(kinds.where("times > 1").select("fp", "d1", "d2"), ["fp", "d1", "d2"], "left_semi").select("k1", "k2", "start", "n")
-    return checkpointed(whole.unionAll(alone).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + (width - 1)).alias("stop"))).alias("spans")))
-
-
-def _drop(spark: SparkSession, uri: str) -> None:
-    fs, path = FileSystem.from_uri(uri)
-    fs.delete_dir(path)
+    repeated = reduce(DataFrame.unionAll, [p.df.where("fp is not null").select("fp") for p in parts])
+    some = Stored(e.df.join(repeated, "fp", "left_semi").select("fp", "d1", "d2", "k1", "k2", "start", "n"), "repeated")
+    for t in (e, *parts):
+        t.drop()
+    release(spark)
+    kinds = Stored(some.df.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k1", "k2", "start", "n")).alias("one")), "kinds")
+    mixed = kinds.df.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("fp")
+    apart = kinds.df.join(mixed, "fp", "left_semi").select("one.*").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("stretches"))
+    w = Stored(windows(rows.select("k1", "k2", "text").join(apart, ["k1", "k2"]), width), "windows")
+    release(spark)
+    twice = w.df.groupBy("d1", "d2").count().where("count > 1").select("d1", "d2")
+    alone = Stored(w.df.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("n")), "alone")
+    w.drop()
+    release(spark)
+    whole = some.df.join(kinds.df.where("times > 1").select("fp", "d1", "d2"), ["fp", "d1", "d2"], "left_semi").select("k1", "k2", "start", "n")
+    spans = checkpointed(whole.unionAll(alone.df).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + (width - 1)).alias("stop"))).alias("spans")))
+    for t in (some, kinds, alone):
+        t.drop()
+    release(spark)
+    return spans
 
 
 def drop_repeats(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -129,7 +129,7 @@ def sliding_argmin(values: np.ndarray, w: int) -> np.ndarray:
     return at
 
 
-def slices(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 1_500_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text, one row at least."""
     sizes = column.cast(pa.large_binary()).fill_null(b"")
     edges = np.frombuffer(sizes.buffers()[1], np.int64, len(sizes) + 1, sizes.offset * 8)
