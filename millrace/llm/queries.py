@@ -86,8 +86,21 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), fit(labelled_table(spark)))
 
 
+def graded(labels: DataFrame) -> DataFrame:
+    """Grades from the two labels: 0 toxic, 1 of low quality, 2 good."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2).alias("grade"))
+
+
+def op7_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.ordinal import fit, grade_documents
+
+    docs = _documents(spark, sf_dir)
+    model = fit(docs, graded(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return grade_documents(docs, model, tail=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op5_url_filter, op6_line_dedup, op8_set_join, op9_syncmers, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op5_url_filter, op6_line_dedup, op7_quality_grade, op8_set_join, op9_syncmers, op10_prefix_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
