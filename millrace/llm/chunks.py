@@ -14,11 +14,14 @@ _SEEN = "[!-~¡-¬®-ɏ]"
 _ODD = re.compile(f" (?!{_SEEN})|(?<!{_SEEN}) ")
 #: Chunks that are one word of such characters.
 ONE_WORD = re.compile(f" ?{_SEEN}+")
+_CONTROL = re.compile("[\\x00-\\t\\x0b-\\x1f\\x7f]")
 _CUT = re.compile(f"(?<={_SEEN})(?= {_SEEN})")
 
 
 def chunks(text: str) -> list[str]:
     """Parts of ``text``; all but the first have lost the one blank that they begin with."""
+    if text.isascii() and not (_CONTROL.search(text) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "):
+        return text.split(" ")
     if not _ODD.search(text):
         return text.split(" ")
     first, *rest = _CUT.split(text)
@@ -32,7 +35,7 @@ class ChunkMemo:
     and what is asked for again moves back. Chunks over ``longest`` characters are not kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 500_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 700_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}

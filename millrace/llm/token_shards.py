@@ -185,8 +185,8 @@ class LibraryIds:
         lines, rest = [], []
         for i, t in enumerate(texts):
             (lines if len(t) < 200 and ONE_WORD.fullmatch(t) else rest).append(i)
-        for at in range(0, len(lines), 1000):
-            some = lines[at : at + 1000]
+        for at in range(0, len(lines), 100):
+            some = lines[at : at + 100]
             ids = self._batch(["\n".join(texts[i] for i in some)])[0]
             cuts = np.flatnonzero(ids == self.line_break) * self.width
             data = ids.tobytes()
