@@ -260,6 +260,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, text: str
     items nothing is hit. Other columns are neither read nor in the way.
     """
     files = phrase_files(items, width, block_bytes, item_text, item_key)
+    with_text = text in (keep or [])
     keep = [c for c in keep or [] if c not in (key, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +304,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, text: str
     fields += [f"c{len(columns) + i} {t}" for i, t in enumerate(("long", "long", "array<struct<start:int,stop:int>>", "array<string>"))]
     out = rows.mapInArrow(run, ", ".join(fields))
     names = [*columns, "n_words", "n_hit", "spans", "items"]
-    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if i != 1 or text in (keep or [])))
+    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if i != 1 or with_text))
 
 
 def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
