@@ -1,9 +1,10 @@
 """Exact Jaccard self-join of documents' shingle sets, with answers shared among related sets.
 
 A document's set is its distinct ``k``-word shingles, as 64-bit hashes. Equal sets form a class, which
-is joined once. Two sets with similarity ``percent`` or more must share one of their first
-n - ceil(percent*n/100) + 1 shingles in any common order, so these prefixes alone are indexed. The
-order is by a sketch of document counts over all texts, rare first: frequent passages stay out.
+is joined once. Two different sets with similarity ``percent`` or more must share two of their first
+n - ceil(percent*n/100) + 2 shingles in any common order, so these prefixes alone are indexed. The
+order is by a sketch of document counts over all texts, rare first: frequent passages stay out, and
+asking for two shared shingles leaves out most sets that meet by chance.
 
 Relations between sets then replace most comparisons:
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import SPACE_BYTES, checkpointed, work_path
+from millrace.llm.shared import SPACE_BYTES, Stored, checkpointed, partitions, release, work_path
 from millrace.llm.words import Texts, mix, run_hashes, slices, word_table
 
 _TABLE = word_table(SPACE_BYTES)
@@ -51,6 +52,22 @@ def class_of(s: np.ndarray) -> bytes:
     return blake2b(s.tobytes(), digest_size=16).digest()
 
 
+class Once:
+    """Whether a class is new in this task, so that a hot class leaves a task once; forgets after ``most`` classes."""
+
+    def __init__(self, most: int = 500_000):
+        self.seen: set[bytes] = set()
+        self.most = most
+
+    def __call__(self, c: bytes) -> bool:
+        if c in self.seen:
+            return False
+        if len(self.seen) >= self.most:
+            self.seen.clear()
+        self.seen.add(c)
+        return True
+
+
 def bucket_counts(rows: DataFrame) -> np.ndarray:
     """Sum of (block, counts) rows, each of a fixed number of counters; the result's size is fixed too."""
 
@@ -114,17 +131,17 @@ def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: st
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        counts, once = shared.value, Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):
                 ts, cs, ns, ps = [], [], [], []
                 for s in shingle_sets(batch.column(0).slice(at, to - at), k):
-                    if not (n := len(s)):
+                    if (n := len(s)) < 2 or not once(c := class_of(s)):  # sets of one shingle link with equal sets only
                         continue
-                    size = n - -(-percent * n // 100) + 1
+                    size = min(n, n - -(-percent * n // 100) + 2)
                     order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:size]
                     ts.append(s[order])
-                    cs += [class_of(s)] * size
+                    cs += [c] * size
                     ns.append(np.full(size, n, np.int32))
                     ps.append(np.arange(size, dtype=np.int32))
                 if ts:
@@ -133,6 +150,31 @@ def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: st
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "t long, c binary, n int, p int")
 
 
+def shared_lists(index: DataFrame) -> DataFrame:
+    """The index without the lists of one class only, and each class once a list; one shuffle, streamed in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, out = None, False  # the last row so far, which waits for its successor, and whether it has been given out
+        for b in batches:
+            if not b.num_rows:
+                continue
+            b = b if last is None else pa.concat_batches([last, b])
+            t = b.column(0).to_numpy()
+            c = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, 2)
+            new = np.r_[True, (c[1:] != c[:-1]).any(axis=1) | (t[1:] != t[:-1])]
+            b, t = b.filter(pa.array(new)), t[new]
+            same = t[1:] == t[:-1]
+            give = np.r_[False, same] | np.r_[same, False]
+            had = last is not None and out
+            out = bool(give[-1]) or (had and len(t) == 1)
+            if had:
+                give[0] = False
+            last = b.slice(len(t) - 1, 1)
+            yield b.filter(pa.array(give))
+
+    return index.repartition(partitions(index.sparkSession), "t").sortWithinPartitions("t", "c").mapInArrow(run, index.schema)
+
+
 def sets_of(docs: DataFrame, classes: DataFrame, k: int, text: str, bits: int = 24) -> DataFrame:
     """(c, s) of the classes asked for. A bit map of fixed size keeps most other sets on their executor; the join is exact."""
     spark = docs.sparkSession
@@ -151,12 +193,12 @@ def sets_of(docs: DataFrame, classes: DataFrame, k: int, text: str, bits: int =
     shared = spark.sparkContext.broadcast(np.packbits(whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
+        wanted, once = np.unpackbits(shared.value).astype(bool), Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):
                 sets = list(shingle_sets(batch.column(0).slice(at, to - at), k))
                 cs = [class_of(s) for s in sets]
-                hit = np.flatnonzero(wanted[_place(cs, bits)]).tolist()
+                hit = [i for i in np.flatnonzero(wanted[_place(cs, bits)]).tolist() if once(cs[i])]
                 yield pa.RecordBatch.from_arrays([pa.array([cs[i] for i in hit], pa.binary()), pa.array([sets[i].tobytes() for i in hit], pa.binary())], names=["c", "s"])
 
     got = docs.select(F.col(text).alias("text")).mapInArrow(run, "c binary, s binary")
@@ -180,8 +222,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _reach(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
-    """Whether sizes and places allow the threshold, this shingle being the first that the two share."""
-    return _enough(F.lit(1) + F.least(na - pa_ - 1, nb - pb - 1), na, nb, percent)
+    """Whether sizes and places allow the threshold, this shingle being the first or second that the two share."""
+    return _enough(F.lit(2) + F.least(na - pa_ - 1, nb - pb - 1), na, nb, percent)
 
 
 def _enough(o: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -193,20 +235,23 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text:
 
     Two classes have one label when links of the given similarity join them, directly or in steps.
     """
+    spark = docs.sparkSession
     rows, sketch = describe(docs, k, bits, text, key)
-    index = prefixes(docs, k, percent, sketch, text)
-    lists = index.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.approx_count_distinct("c", 0.2).alias("m"))
-    lists = lists.where("lo <> hi").select("t", "m")
-    entries = checkpointed(index.distinct().join(lists, "t"))
-    degree = entries.groupBy("c").agg(F.sum("m").alias("degree"))
-    ranked = entries.join(degree, "c")
+    entries = Stored(shared_lists(prefixes(docs, k, percent, sketch, text)), "lists")
+    release(spark)
+    sizes = entries.df.groupBy("t").agg(F.count(F.lit(1)).alias("m"))
+    degree = entries.df.join(sizes, "t").groupBy("c").agg(F.sum("m").alias("degree"), F.count(F.lit(1)).alias("lists")).where("lists > 1").drop("lists")
+    ranked = entries.df.join(degree, "c")
     leaders = ranked.groupBy("t").agg(F.max(F.struct("degree", F.struct("c", "n", "p").alias("l"))).alias("top")).select("t", F.col("top.l.c").alias("lc"), F.col("top.l.n").alias("ln"), F.col("top.l.p").alias("lp"))
-    led = checkpointed(entries.join(leaders, "t").select("t", "c", "n", "p", "lc", "ln", "lp"))
+    led = Stored(ranked.join(leaders, "t").select("t", "c", "n", "p", "lc", "ln", "lp"), "led").df
+    entries.drop()
+    release(spark)
     stars = led.where(F.col("c") != F.col("lc")).where(_reach(F.col("n"), F.col("p"), F.col("ln"), F.col("lp"), percent))
-    first = checkpointed(_ordered(stars.select(F.col("lc").alias("a"), F.col("ln").alias("na"), F.col("c").alias("b"), F.col("n").alias("nb"))))
-    known = checkpointed(_compare(docs, first, k, text))
+    first = checkpointed(_met_twice(stars.select(F.col("lc").alias("a"), F.col("ln").alias("na"), F.col("c").alias("b"), F.col("n").alias("nb"))))
+    known = _compare(docs, first, k, text)
     linked = known.where(_enough(F.col("o"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     label = components(linked)
+    release(spark)
     # Lists whose members are in one component are settled.
     m = led.join(label.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     open_lists = m.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("t")
@@ -214,8 +259,8 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text:
     o = o.unionAll(o.select(F.col("y").alias("x"), F.col("x").alias("y"), "o"))
     m = m.join(open_lists, "t", "left_semi").join(o.withColumnRenamed("x", "c").withColumnRenamed("y", "lc"), ["c", "lc"], "left").withColumn("o", F.when(F.col("c") == F.col("lc"), F.col("n")).otherwise(F.col("o")))
     m = m.join(label.select(F.col("node").alias("lc"), F.col("label").alias("led_by")), "lc", "left").withColumn("out", F.col("label") != F.coalesce("led_by", "lc"))
-    m = checkpointed(m.select("t", "c", "n", "p", "label", "o", "out", "ln", (F.col("c") == F.col("lc")).alias("leads")))
-    a, b = m.where("out").alias("a"), m.where("not leads").alias("b")
+    m = checkpointed(m.select("t", "c", "n", "p", "label", "o", "out"))
+    a, b = m.where("out").alias("a"), m.alias("b")
     ca, cb = F.col("a.c"), F.col("b.c")
     na, nb, oa, ob = F.col("a.n"), F.col("b.n"), F.col("a.o"), F.col("b.o")
     most = F.least(oa, ob) + F.least(na - oa, nb - ob)
@@ -227,7 +272,7 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text:
         & _reach(na, F.col("a.p"), nb, F.col("b.p"), percent)
         & F.coalesce(_enough(most, na, nb, percent), F.lit(True)),
     )
-    pairs = _ordered(pairs.select(ca.alias("a"), na.alias("na"), cb.alias("b"), nb.alias("nb"))).join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _met_twice(pairs.select(ca.alias("a"), na.alias("na"), cb.alias("b"), nb.alias("nb"))).join(known.select("a", "b"), ["a", "b"], "left_anti")
     last = checkpointed(pairs)
     if not last.isEmpty():
         more = _compare(docs, last, k, text).where(_enough(F.col("o"), F.col("na"), F.col("nb"), percent)).select("a", "b")
@@ -235,14 +280,20 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text:
     return rows, label.withColumnRenamed("node", "c")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
+def _met_twice(pairs: DataFrame) -> DataFrame:
+    """The pairs that are there for two shingles or more, a before b."""
     swap = F.col("a") > F.col("b")
-    return pairs.select(*(F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na")))).distinct()
+    ordered = pairs.select(*(F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))))
+    return ordered.groupBy("a", "na", "b", "nb").count().where("count > 1").drop("count")
 
 
 def _compare(docs: DataFrame, pairs: DataFrame, k: int, text: str) -> DataFrame:
     classes = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
-    return overlaps(pairs, checkpointed(sets_of(docs, checkpointed(classes), k, text)))
+    sets = Stored(sets_of(docs, checkpointed(classes), k, text), "sets")
+    out = checkpointed(overlaps(pairs, sets.df))
+    sets.drop()
+    release(docs.sparkSession)
+    return out
 
 
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text: str = "text", key: str = "doc_id") -> DataFrame:
