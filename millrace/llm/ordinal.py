@@ -126,7 +126,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: str = "grade", bits: int = 1
                 cut = np.searchsorted(doc, np.arange(len(b) + 1))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(f, pa.int32())), b.column(2)], names=["grade", "f", "key"])
 
-    rows = docs.where(F.col(text).isNotNull()).join(F.broadcast(sample), docs[key] == sample["key"]).select("grade", F.col(text).alias("text"), F.xxhash64("key").alias("key"))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(sample), "key").select("grade", "text", F.xxhash64("key").alias("key"))
     got = sorted(rows.mapInArrow(run, "grade double, f array<int>, key long").collect(), key=lambda r: (r.key, r.grade, len(r.f)))
     grades = sorted({r.grade for r in got})
     place = {g: i for i, g in enumerate(grades)}
