@@ -14,13 +14,16 @@ _SEEN = "[!-~¡-¬®-ɏ]"
 _ODD = re.compile(f" (?!{_SEEN})|(?<!{_SEEN}) ")
 #: Chunks that are one word of such characters.
 ONE_WORD = re.compile(f" ?{_SEEN}+")
-_CONTROL = re.compile("[\\x00-\\t\\x0b-\\x1f\\x7f]")
+#: Letters, signs (and perhaps a line break), letters, signs: the pattern always cuts between these, as no sign is an apostrophe.
+_FORM = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-@[-`{-~]*\n?)(?:([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-@[-`{-~]*))?")
+#: ASCII that is visible, the blank and the line feed.
+_VISIBLE = bytes([10, *range(32, 127)])
 _CUT = re.compile(f"(?<={_SEEN})(?= {_SEEN})")
 
 
 def chunks(text: str) -> list[str]:
     """Parts of ``text``; all but the first have lost the one blank that they begin with."""
-    if text.isascii() and not (_CONTROL.search(text) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "):
+    if text.isascii() and not (text.encode().translate(None, _VISIBLE) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "):
         return text.split(" ")
     if not _ODD.search(text):
         return text.split(" ")
@@ -39,6 +42,7 @@ class ChunkMemo:
         self.encode, self.most, self.longest = encode, most, longest
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -56,15 +60,43 @@ class ChunkMemo:
         new = set().union(*parts)
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
-        new -= self.young.keys()
+        new = new.difference(self.young)  # walks through ``new``, not through the memo
         if self.old:
-            self.young |= {k: self.old[k] for k in new & self.old.keys()}
-            new -= self.old.keys()
-        new = list(new)
-        got = list(self.encode([*heads, *(" " + x for x in new)]))
-        self.young |= zip(new, got[len(heads) :], strict=True)
+            again = [k for k in new if k in self.old]
+            self.young.update((k, self.old[k]) for k in again)
+            new.difference_update(again)
+        self._learn(new)
+        got_heads = list(self.encode(heads))
         find = self.young.__getitem__
-        out = [h + b"".join(map(find, p)) for h, p in zip(got[: len(heads)], parts, strict=True)]
+        out = [h + b"".join(map(find, p)) for h, p in zip(got_heads, parts, strict=True)]
         for k in [k for k in new if len(k) > self.longest]:
             del self.young[k]
         return out
+
+    def _learn(self, new: set[str]) -> None:
+        """Put the ids of new chunks into the memo; those of several parts are made from the parts' ids, where the parts are known."""
+        if len(self.bare) > self.most // 4:
+            self.bare.clear()
+        young, old, bare = self.young, self.old, self.bare
+        made, plain, parts = [], [], set()
+        for x in new:
+            m = _FORM.fullmatch(x)
+            if m is None or not m[2]:
+                plain.append(x)
+                continue
+            word, *rest = m.groups()
+            rest = [r for r in rest if r]
+            made.append((x, word, rest))
+            if word not in young and word not in new:
+                if word in old:
+                    young[word] = old[word]
+                else:
+                    plain.append(word)
+                    young[word] = b""
+            parts.update(r for r in rest if r not in bare)
+        single = list(parts)
+        got = list(self.encode([*(" " + x for x in plain), *single]))
+        young.update(zip(plain, got[: len(plain)], strict=True))
+        bare.update(zip(single, got[len(plain) :], strict=True))
+        for x, word, rest in made:
+            young[x] = young[word] + b"".join([bare[r] for r in rest])

@@ -21,7 +21,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow.fs import FileSystem
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,6 +156,17 @@ class ShardReader:
         w = self.head["width"]
         return np.frombuffer(self.file.read_at(int(count) * w, int(offset) * w), f"<u{w}").astype("<u4")
 
+    def read_many(self, offsets: np.ndarray, counts: np.ndarray) -> list[np.ndarray | None]:
+        """The ids at each offset, None where it is -1; one read if most of what lies between is asked for."""
+        some = offsets >= 0
+        if not some.any():
+            return [None] * len(offsets)
+        lo, hi = int(offsets[some].min()), int((offsets + counts)[some].max())
+        if hi - lo > 4 * int(counts[some].sum()) + 1024:
+            return [self.read(o, n) if o >= 0 else None for o, n in zip(offsets, counts, strict=True)]
+        ids = self.read(lo, hi - lo)
+        return [ids[o : o + n] if o >= 0 else None for o, n in zip((offsets - lo * some).tolist(), counts.tolist(), strict=True)]
+
     def close(self) -> None:
         self.file.close()
 
@@ -216,8 +226,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
     """Encode all texts, append ``end_id`` to each, and write shards of ascending keys; returns the manifest.
 
     The manifest has one row a shard: number, file, documents, ids, ids of all shards before, least key.
-    One shuffle by key ranges; a task streams its rows to one file, whose name is new in each attempt, so
-    that a lost or doubled attempt leaves an unlisted file at most. A null text counts as empty; null keys
+    One shuffle by key ranges, whose borders come from the keys alone; a task streams each range to one file, whose
+    name is new in each attempt, so that a lost or doubled attempt leaves an unlisted file at most. A null text counts as empty; null keys
     come first; rows that share a key stand in the order of their texts; other columns are not read. An
     empty table gives an empty manifest.
     """
@@ -227,26 +237,36 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     end = end_id.to_bytes(width, "little")
 
+    kinds = pa.schema([("shard", pa.int64()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("first", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, first = None, None
+        writer, number, first = None, -1, None
+
+        def row() -> pa.RecordBatch:
+            n, tokens = writer.close()
+            return pa.RecordBatch.from_pylist([{"shard": number, "file": writer.uri, "docs": n, "tokens": tokens, "first": first}], schema=kinds)
+
         for b in batches:
-            if not b.num_rows:
-                continue
             memo = library_memo(path, width)
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            ids, absent = _keys(b.column(0))
-            if writer is None:
-                number = TaskContext.get().partitionId()
-                writer = ShardWriter(f"{folder}/shard-{number:06d}-{os.urandom(6).hex()}.tok", width)
-                first = None if absent[0] else int(ids[0])
-            for at, to in slices(texts):
-                writer.add(ids[at:to], absent[at:to], [x + end for x in memo(texts[at:to])])
+            ids, absent = _keys(b.column(1))
+            for lo, hi in runs(b.column(0).to_numpy(), b.num_rows):
+                if number != b.column(0)[lo].as_py():
+                    if writer is not None:
+                        yield row()
+                    number = b.column(0)[lo].as_py()
+                    writer = ShardWriter(f"{folder}/shard-{number:06d}-{os.urandom(6).hex()}.tok", width)
+                    first = None if absent[lo] else int(ids[lo])
+                texts = [x or "" for x in b.column(2).slice(lo, hi - lo).to_pylist()]
+                for at, to in slices(texts):
+                    writer.add(ids[lo + at : lo + to], absent[lo + at : lo + to], [x + end for x in memo(texts[at:to])])
         if writer is not None:
-            n, tokens = writer.close()
-            yield pa.RecordBatch.from_pylist([{"shard": number, "file": writer.uri, "docs": n, "tokens": tokens, "first": first}], schema=pa.schema([("shard", pa.int64()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("first", pa.int64())]))
+            yield row()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(partitions(spark), F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    n = partitions(spark)
+    cuts = docs.select(F.percentile_approx(F.col(key).cast("long"), [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    rows = rows.select(range_number(F.col("key"), sorted(set(cuts or []))).alias("shard"), "key", "text")
+    rows = rows.repartition(n, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
     manifest = [r.asDict() for r in rows.mapInArrow(run, "shard long, file string, docs long, tokens long, first long").collect()]
     manifest.sort(key=lambda r: r["shard"])
     before = 0
@@ -290,7 +310,7 @@ def read_tokens(spark: SparkSession, manifest: list[dict], keys: DataFrame, key:
                         b.column(1).slice(at, to - at),
                         pa.array(np.full(to - at, held), pa.int32()),
                         pa.array(offsets + places[held][1], pa.int64(), mask=~there),
-                        pa.array([reader.read(o, n).tobytes() if k else None for o, n, k in zip(offsets, counts, there, strict=True)], pa.binary()),
+                        pa.array([x if x is None else x.tobytes() for x in reader.read_many(offsets, counts)], pa.binary()),
                     ],
                     names=["key", "shard", "start", "ids"],
                 )
