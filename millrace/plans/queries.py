@@ -540,9 +540,9 @@ def weekly_drift(spark, d):
     return rounded(eda.drift(a.telemetry(spark, d), "pressure_bar"))
 
 
-@query(f"""select machine_id, cast(date_trunc('day', {T}) as date) as day, round((median(pressure_bar) - any_value(m)) / nullif(any_value(s), 0), 6) as z from tel join (select machine_id, median(pressure_bar) as m, stddev_samp(pressure_bar) as s from tel where {T} < timestamp '2024-01-21' group by 1) using (machine_id) group by machine_id, 2""", *TELG)
+@query(f"""select machine_id, date_trunc('day', {T}) as day, round((median(pressure_bar) - any_value(m)) / nullif(any_value(s), 0), 6) as z from tel join (select machine_id, median(pressure_bar) as m, stddev_samp(pressure_bar) as s from tel where {T} < timestamp '2024-01-21' group by 1) using (machine_id) group by machine_id, 2""", *TELG)
 def daily_reference_z(spark, d):
-    return rounded(eda.reference_z(a.telemetry(spark, d), "pressure_bar", "2024-01-01", "2024-01-21"))
+    return rounded(eda.reference_z(a.telemetry(spark, d), "pressure_bar", "2024-01-01", "2024-01-21").withColumn("day", F.col("day").cast("timestamp_ntz")))
 
 
 @query("select failure_mode, days_before, round(median(pressure_bar), 6) as pressure_bar from (select failure_mode, -ceil(h / 12) * 12 / 24 as days_before, pressure_bar from (select f.failure_mode, t.pressure_bar, (epoch_us(f.failure_timestamp) - epoch_us(t.\"timestamp\")) / 3.6e9 as h from tel t join fail f on f.machine_id = t.machine_id) where h > 0) group by all", a.TEL, a.FAIL)
