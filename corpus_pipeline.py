@@ -39,12 +39,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more): the one of least id.
 
-    Documents without words are in no group and stay. Of rows that share the least id of their group, one stays.
+    Documents without words are in no group and stay. Of rows that share id and text, one stays; rows without an id
+    stay where their whole group has none.
     """
     groups = similar_groups(docs, k=5, percent=80)
     first = groups.where("n_shingles = 0 or doc_id = component_id or doc_id is null and component_id is null").select("doc_id").distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"])
+    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
