@@ -655,3 +655,49 @@ def regime_agreement(spark, d):
 @query("select count(*) as n, count(*) filter (where pressure_bar is null or temp_celsius is null or flow_lpm is null or vibration_x_g is null or vibration_y_g is null or pump_rpm is null) as n_missing, count(*) filter (where was_missing_row) as n_added, count(*) filter (where is_standby) as n_standby from clean", *CLEANG)
 def cleaning_log(spark, d):
     return clean(spark, d).agg(F.count(F.lit(1)).alias("n"), F.count_if(any_null(list(RANGES))).alias("n_missing"), F.count_if("was_missing_row").alias("n_added"), F.count_if("is_standby").alias("n_standby"))
+
+
+@query(f"select shift, count(distinct hour({T})) as n_hours, count(distinct day_of_week) as n_days, string_agg(distinct printf('%02d', hour({T})), ',' order by printf('%02d', hour({T}))) as hours from tel group by shift", *TELG)
+def shift_definition(spark, d):
+    h = F.format_string("%02d", F.hour("timestamp"))
+    return a.telemetry(spark, d).groupBy("shift").agg(F.count_distinct(F.hour("timestamp")).alias("n_hours"), F.count_distinct("day_of_week").alias("n_days"), F.array_join(F.array_sort(F.collect_set(h)), ",").alias("hours"))
+
+
+STATE = f"""st as (select t.*, case when t.{T} >= f.at then 'post_failure' when t.{T} >= f.st then f.mo else 'healthy' end as state, (epoch_us(f.at) - epoch_us(t.{T})) / 3.6e9 as htf from tel t left join
+  (select machine_id, min(failure_timestamp) as at, arg_min(degradation_start_timestamp, failure_timestamp) as st, arg_min(failure_mode, failure_timestamp) as mo from fail group by 1) f on f.machine_id = t.machine_id)"""
+
+
+@query(f"select machine_id, date_trunc('hour', {T}) as hour, state, round(avg(pressure_bar), 6) as pressure_bar from st where pump_rpm >= 1200 and state <> 'post_failure' group by all", a.TEL, a.FAIL, STATE)
+def state_hourly_mean(spark, d):
+    t = eda.health_state(a.telemetry(spark, d), a.failures(spark, d)).where("pump_rpm >= 1200 and state <> 'post_failure'")
+    return rounded(t.groupBy("machine_id", F.window("timestamp", "1 hour")["start"].alias("hour"), "state").agg(F.avg("pressure_bar").alias("pressure_bar")))
+
+
+@query("select state, -ceil(htf / 12) * 12 / 24 as days_before, round(median(flow_lpm), 6) as flow_lpm from st where htf > 0 and -ceil(htf / 12) * 12 / 24 in (-2.0, -1.0, -0.5) group by all", a.TEL, a.FAIL, STATE)
+def trajectory_snapshot(spark, d):
+    t = eda.health_state(a.telemetry(spark, d), a.failures(spark, d))
+    return rounded(eda.trajectory(t, ["flow_lpm"], mode="state").where(F.col("days_before").isin(-2.0, -1.0, -0.5)))
+
+
+@query(f"select machine_id, date_trunc('day', {T}) as start, round(arg_max(pressure_bar, {T}), 6) as pressure_bar from tel group by all", *TELG)
+def resample_last(spark, d):
+    return rounded(eda.resample(a.telemetry(spark, d), "1 day", ["pressure_bar"], "last"))
+
+
+@query()
+def validation_report(spark, d):
+    """The report of the gate over all three tables, without writing."""
+    tables = {"telemetry": a.telemetry(spark, d).withColumn("is_anomaly", F.lit(0)), "failures": a.failures(spark, d), "maintenance": a.maintenance(spark, d)}
+    return quality.validate_all(tables, DEFAULTS, write=False)[1].to_frame(spark)
+
+
+@query("select hour, day_type, round(median(pressure_bar), 6) as pressure_bar from clean where not is_standby group by all", *CLEANG)
+def hour_profile(spark, d):
+    return rounded(clean(spark, d).where("not is_standby").groupBy(F.col("hour").cast("long").alias("hour"), "day_type").agg(F.median("pressure_bar").alias("pressure_bar")))
+
+
+@query("select 'pressure_bar' as \"column\", 'missing' as kind union all select 'k', 'extra'")
+def contract_diff(spark, d):
+    t = a.telemetry(spark, d).withColumn("k", F.lit(1)).drop("pressure_bar")
+    diff = quality.contract_diff(t, [c for c in a.telemetry(spark, d).columns])
+    return spark.createDataFrame([(c, k) for k, cs in diff.items() for c in cs], "column string, kind string")
