@@ -18,13 +18,14 @@ from millrace.llm.linededup import drop_repeated_lines
 from millrace.llm.prefix_bpe import encode_documents
 from millrace.llm.queries import held_out
 from millrace.llm.setjoin import similar_groups
-from millrace.llm.shared import Stored
+from millrace.llm.shared import Stored, smaller_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known from their text; those that the model calls ``und`` (null, or no letter) go."""
+    smaller_batches(spark)
     model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out())
     return identify(docs, model, keep=COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
 
@@ -42,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words are in no group and stay. Of rows that share id and text, one stays; rows without an id
     stay where their whole group has none.
     """
+    smaller_batches(spark)
     groups = similar_groups(docs, k=5, percent=80)
     first = groups.where("n_shingles = 0 or doc_id = component_id or doc_id is null and component_id is null").select("doc_id").distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").select(*COLUMNS)
@@ -50,12 +52,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words are in 13-word phrases of benchmark items."""
+    smaller_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(docs, items, width=13, keep=COLUMNS).where(~is_contaminated()).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): byte-level BPE ids, and the text decoded from them."""
+    smaller_batches(spark)
     e = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
     return e.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

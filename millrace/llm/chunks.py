@@ -49,7 +49,7 @@ class ChunkMemo:
         at, size = 0, 0
         for i, t in enumerate(texts):  # a few MB at a time, so that long texts do not add up
             size += len(t)
-            if size > 4_000_000 or i == len(texts) - 1:
+            if size > 2_000_000 or i == len(texts) - 1:
                 out += self._some(texts[at : i + 1])
                 at, size = i + 1, 0
         return out

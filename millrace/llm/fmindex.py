@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import work_path
 from millrace.llm.words import Texts, slices, word_table
+from millrace.llm.worker import only
 
 #: Bytes that are not part of a word, after A-Z have been lower-cased.
 OTHER_BYTES = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -202,19 +203,13 @@ def phrase_files(items: DataFrame, width: int, block_bytes: int, text: str, key:
     return sorted(r.file for r in rows.repartition(max(1, int(total // block_bytes))).mapInArrow(run, "file string").collect())
 
 
-_loaded: dict[str, Phrases] = {}
-
-
 def _phrases(file: str, keep: bool) -> Phrases:
-    if file in _loaded:
-        return _loaded[file]
-    fs, path = FileSystem.from_uri(file)
-    with fs.open_input_file(path) as f:
-        got = pickle.loads(f.read())
-    if keep:
-        _loaded.clear()
-        _loaded[file] = got
-    return got
+    def load() -> Phrases:
+        fs, path = FileSystem.from_uri(file)
+        with fs.open_input_file(path) as f:
+            return pickle.loads(f.read())
+
+    return only(f"phrases {file}", load) if keep else load()
 
 
 def find_spans(x: Texts, hashes: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, list[tuple[int, str]]]:
@@ -265,7 +260,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 13, text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to in slices(batch.column(1), 6_000_000):
+            for at, to in slices(batch.column(1)):
                 b = batch.slice(at, to - at)
                 x = Texts(b.column(1), _TABLE, lower=True)
                 hashes = x.word_hashes()

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.prefix_bpe import slices
+from millrace.llm.worker import only
 
 LONGEST = 24
 _MARK = "▁"
@@ -117,7 +118,7 @@ class UnigramModel:
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         return np.log(alpha[sizes, np.arange(len(words))])
 
-    def places(self, words: list[str], most: int = 400_000) -> np.ndarray:
+    def places(self, words: list[str], most: int = 250_000) -> np.ndarray:
         """Row of each word in ``scores``; scores what is new, forgets all when it has ``most`` words."""
         need = set(words)
         if len(self.memo) + len(need - self.memo.keys()) > most:
@@ -127,8 +128,8 @@ class UnigramModel:
             grown = np.zeros((max(2 * len(self.scores), self.fill + len(new), 10_000), len(self.languages)), np.float32)
             grown[: self.fill] = self.scores[: self.fill]
             self.scores = grown
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        for at in range(0, len(new), 8_000):
+            part = new[at : at + 8_000]
             self.scores[self.fill : self.fill + len(part)] = self.log_probs(part)
             self.memo.update(zip(part, range(self.fill, self.fill + len(part)), strict=True))
             self.fill += len(part)
@@ -212,6 +213,7 @@ def fit(docs: DataFrame, path: str, labelled: Column, per_language: int = 400, t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
+        only("language counts")
         for b in batches:
             by: dict[str, Counter] = {}
             for language, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -226,9 +228,6 @@ def fit(docs: DataFrame, path: str, labelled: Column, per_language: int = 400, t
     return train(sentencepiece_pieces(path), {k: v for k, v in counts.items() if v})
 
 
-_models: dict[str, UnigramModel] = {}
-
-
 def identify(docs: DataFrame, model: UnigramModel, text: str = "text", key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """(key[, keep columns], lang_pred, score) of every row: language and its posterior, from the text alone.
 
@@ -242,14 +241,10 @@ def identify(docs: DataFrame, model: UnigramModel, text: str = "text", key: str
     columns = [key, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _models:
-            _models.clear()
-            pieces, languages, probs = shared.value
-            _models[name] = UnigramModel(Vocabulary(pieces), languages, probs)
-        m = _models[name]
+        m = only(f"languages {name}", lambda: UnigramModel(Vocabulary(shared.value[0]), *shared.value[1:]))
         for b in batches:
             texts = [x or "" for x in b.column(b.num_columns - 1).to_pylist()]
-            for at, to in slices(texts, 1_000_000):
+            for at, to in slices(texts, 500_000):
                 best, score = m.predict(texts[at:to]) if m.languages else ([None] * (to - at), [0.0] * (to - at))
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at, to - at) for i in range(len(columns))), pa.array([x or "und" for x in best]), pa.array(score)], names=[f"c{i}" for i in range(len(columns) + 2)])
 

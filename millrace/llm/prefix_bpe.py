@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.chunks import _CUT, ChunkMemo
+from millrace.llm.worker import only
 
 
 class PrefixBpe:
@@ -35,7 +36,7 @@ class PrefixBpe:
         self.automaton = self._automaton()
         self.packed = {v: v.to_bytes(4, "little") for v in ranks.values()}
         self.pieces: dict[str, bytes] = {}
-        self.memo = ChunkMemo(self._packed_chunks)
+        self.memo = ChunkMemo(self._packed_chunks, most=300_000)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> PrefixBpe:
@@ -90,7 +91,7 @@ class PrefixBpe:
         """
         key = left << 32 | right
         if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 500_000:
                 self.pairs.clear()
             known, a, b, i, j, end = True, self.edge(left, 1), self.edge(right, 0), 0, 0, 1 << 60
             while True:
@@ -143,7 +144,7 @@ class PrefixBpe:
         return [t for m in self.split.findall(text) for t in self.encode_piece(m.encode("utf-8", "replace"))]
 
     def _packed_chunks(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.pieces) > 300_000:
+        if len(self.pieces) > 150_000:
             self.pieces.clear()
         known, split = self.pieces, self.split.findall
         for t in texts:
@@ -223,14 +224,9 @@ class PieceTable:
         return self.codec.walk_back(self.last[: (len(self.piece) if length is None else length) + 1])
 
 
-_codecs: dict[tuple[str, str], PrefixBpe] = {}
-
-
 def codec(path: str, pattern: str) -> PrefixBpe:
     """One codec a worker process."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = PrefixBpe.from_file(path, pattern)
-    return _codecs[path, pattern]
+    return only(f"bpe {path} {pattern}", lambda: PrefixBpe.from_file(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
@@ -269,7 +265,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "id
     return encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, decoded binary").withColumnRenamed("key", key)
 
 
-def slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` characters, one row at least."""
     at, size = 0, 0
     for i, t in enumerate(texts):

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.shared import SPACE_BYTES, Stored, checkpointed, partitions, release, work_path
 from millrace.llm.words import Texts, mix, run_hashes, slices, word_table
+from millrace.llm.worker import only
 
 _TABLE = word_table(SPACE_BYTES)
 _BLOCK = 1 << 16
@@ -99,6 +100,7 @@ def describe(docs: DataFrame, k: int, bits: int, text: str, key: str) -> tuple[D
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("sets")
         counts = np.zeros(1 << bits, np.int64)
         arrow = None
         for batch in batches:
@@ -131,6 +133,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: st
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("sets")
         counts, once = shared.value, Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):
@@ -193,6 +196,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, k: int, text: str, bits: int =
     shared = spark.sparkContext.broadcast(np.packbits(whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("sets")
         wanted, once = np.unpackbits(shared.value).astype(bool), Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):

@@ -74,6 +74,13 @@ def release(spark: SparkSession) -> None:
     time.sleep(0.5)
 
 
+def smaller_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of fewer rows for tables of long texts, unless the session has a number of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import SPACE_BYTES, Stored, checkpointed, partitions, release, work_path
 from millrace.llm.words import Texts, run_hashes, slices, sliding_argmin, word_table
+from millrace.llm.worker import only
 
 _TABLE = word_table(SPACE_BYTES)
 _ENTRY = "fp long, d1 long, d2 long, k1 long, k2 long, start int, n int"
@@ -156,6 +157,7 @@ def entries(rows: DataFrame, width: int, gram: int) -> DataFrame:
     """The stretches of all texts: fingerprint, digest of their words, place, number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("runs")
         for batch in batches:
             for at, to in slices(batch.column(2)):
                 b = batch.slice(at, to - at)

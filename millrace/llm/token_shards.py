@@ -28,6 +28,7 @@ from millrace.llm.chunks import ONE_WORD, ChunkMemo
 from millrace.llm.prefix_bpe import slices
 from millrace.llm.shared import partitions, range_number, work_path
 from millrace.llm.words import mix
+from millrace.llm.worker import only
 
 MAGIC = b"MRTOKENS"
 
@@ -207,14 +208,9 @@ class LibraryIds:
         return out
 
 
-_libraries: dict[tuple[str, int], LibraryIds] = {}
-
-
 def library_memo(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
     """One memo a worker process."""
-    if (path, width) not in _libraries:
-        _libraries[path, width] = LibraryIds(path, width)
-    return _libraries[path, width].memo
+    return only(f"library {path} {width}", lambda: LibraryIds(path, width)).memo
 
 
 def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -263,10 +259,10 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
             yield row()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    n = partitions(spark)
+    n = 2 * partitions(spark)  # several ranges a task, so that tasks come out alike
     cuts = docs.select(F.percentile_approx(F.col(key).cast("long"), [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
     rows = rows.select(range_number(F.col("key"), sorted(set(cuts or []))).alias("shard"), "key", "text")
-    rows = rows.repartition(n, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    rows = rows.repartition(partitions(spark), "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
     manifest = [r.asDict() for r in rows.mapInArrow(run, "shard long, file string, docs long, tokens long, first long").collect()]
     manifest.sort(key=lambda r: r["shard"])
     before = 0

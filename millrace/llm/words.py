@@ -38,11 +38,15 @@ _cache: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    if len(_cache.get(base, ())) < n:
+    if base not in _cache or len(_cache[base]) < n:
         _cache[base] = _powers(base, max(n, 1 << 16))
     return _cache[base][:n]
 
 
+def forget() -> None:
+    _cache.clear()
+
+
 def sums(values: np.ndarray) -> np.ndarray:
     """Prefix sums modulo 2**64 with a leading 0."""
     out = np.zeros(len(values) + 1, np.uint64)
