@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.prefix_bpe import slices
+from millrace.llm.words import slices
 from millrace.llm.worker import only
 
 LONGEST = 24
@@ -243,9 +243,9 @@ def identify(docs: DataFrame, model: UnigramModel, text: str = "text", key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = only(f"languages {name}", lambda: UnigramModel(Vocabulary(shared.value[0]), *shared.value[1:]))
         for b in batches:
-            texts = [x or "" for x in b.column(b.num_columns - 1).to_pylist()]
-            for at, to in slices(texts, 500_000):
-                best, score = m.predict(texts[at:to]) if m.languages else ([None] * (to - at), [0.0] * (to - at))
+            column = b.column(b.num_columns - 1)
+            for at, to in slices(column, 500_000):
+                best, score = m.predict([x or "" for x in column.slice(at, to - at).to_pylist()]) if m.languages else ([None] * (to - at), [0.0] * (to - at))
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at, to - at) for i in range(len(columns))), pa.array([x or "und" for x in best]), pa.array(score)], names=[f"c{i}" for i in range(len(columns) + 2)])
 
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)), F.col(text).alias("t"))

@@ -9,6 +9,7 @@ Two neighbours are valid together when no merge across their border comes before
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import _CUT, ChunkMemo
+from millrace.llm.chunks import BLANK_CUT, ChunkMemo
+from millrace.llm.words import slices
 from millrace.llm.worker import only
 
+#: One word of letters, with the blank before it: one piece under the pattern, unless an apostrophe stands before.
+WORD = re.compile(rb" ?(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|[\xC4-\xC8][\x80-\xBF]|\xC9[\x80-\x8F])+")
 
 class PrefixBpe:
     """Encoder over a table of ranks; ``pattern`` splits a text into pieces that never merge."""
@@ -35,8 +39,9 @@ class PrefixBpe:
         self.edges: dict[int, list[tuple[bytes, int]]] = {}
         self.automaton = self._automaton()
         self.packed = {v: v.to_bytes(4, "little") for v in ranks.values()}
+        self.table = pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of) + 1)], pa.large_binary())
         self.pieces: dict[str, bytes] = {}
-        self.memo = ChunkMemo(self._packed_chunks, most=300_000)
+        self.memo = ChunkMemo(self._packed_chunks, most=600_000)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> PrefixBpe:
@@ -143,27 +148,43 @@ class PrefixBpe:
     def encode_chunk(self, text: str) -> list[int]:
         return [t for m in self.split.findall(text) for t in self.encode_piece(m.encode("utf-8", "replace"))]
 
-    def _packed_chunks(self, texts: list[str]) -> Iterator[bytes]:
+    def _packed_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk, its pieces found by the pattern where it is not one piece by its form."""
         if len(self.pieces) > 150_000:
             self.pieces.clear()
-        known, split = self.pieces, self.split.findall
-        for t in texts:
-            out = []
-            for m in split(t):
+        known, split, word, packed, out = self.pieces, self.split.findall, WORD.fullmatch, self.packed, []
+        for c in chunks:
+            if word(c):
+                out.append(b"".join([packed[t] for t in self.encode_piece(c)]))
+                continue
+            parts = []
+            for m in split(c.decode()):
                 if (ids := known.get(m)) is None:
-                    ids = b"".join(map(self.packed.__getitem__, self.encode_piece(m.encode("utf-8", "replace"))))
+                    ids = b"".join([packed[t] for t in self.encode_piece(m.encode())])
                     if len(m) <= 64:
                         known[m] = ids
-                out.append(ids)
-            yield b"".join(out)
+                parts.append(ids)
+            out.append(b"".join(parts))
+        return out
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return self.memo(texts)
+        return self.memo(pa.array(texts, pa.large_string())).to_pylist()
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_column(self, ids: pa.Array) -> pa.Array:
+        """The bytes of each value of ids, by one take from the table of tokens; null gives empty bytes."""
+        ids = ids.fill_null(b"").cast(pa.large_binary())
+        edges = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8) if len(ids) else np.zeros(1, np.int64)
+        every = np.frombuffer(ids.buffers()[2], "<u4", int(edges[-1] - edges[0]) // 4, int(edges[0])) if edges[-1] > edges[0] else np.zeros(0, "<u4")
+        if len(every) and int(every.max()) >= len(self.table):
+            raise KeyError(f"no token has the id {int(every.max())}")
+        out = self.table.take(pa.array(every))
+        places = np.frombuffer(out.buffers()[1], np.int64, len(out) + 1) if len(out) else np.zeros(1, np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(places[(edges - edges[0]) // 4]), out.buffers()[2]])
+
 
 class EditableEncoding:
     """A text and its ids that follow appends and edits exactly, encoding anew only from cut to cut."""
@@ -202,10 +223,10 @@ class EditableEncoding:
             hi += 1
         old = "".join(t for t, _ in self.parts[lo:hi])
         text = old[: start - at] + new + old[end - at :]
-        while hi < len(self.parts) and not _CUT.search(text[-1:] + self.parts[hi][0][:2]):
+        while hi < len(self.parts) and not BLANK_CUT.search(text[-1:] + self.parts[hi][0][:2]):
             text += self.parts[hi][0]
             hi += 1
-        self.parts[lo:hi] = [(t, self.codec.encode_chunk(t)) for t in _CUT.split(text) if t]
+        self.parts[lo:hi] = [(t, self.codec.encode_chunk(t)) for t in BLANK_CUT.split(text) if t]
         return len(text)
 
 
@@ -240,12 +261,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            for at, to in slices(texts):
-                ids = c.encode_texts(texts[at:to])
-                out = [b.column(0).slice(at, to - at), pa.array(ids, pa.binary())]
+            for at, to in slices(b.column(1), 16_000_000):
+                ids = c.memo(b.column(1).slice(at, to - at))
+                out = [b.column(0).slice(at, to - at), ids.cast(pa.binary())]
                 if decoded:
-                    out.append(pa.array([c.decode(x) for x in ids], pa.binary()))
+                    out.append(c.decode_column(ids).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, names=["key", "ids", "decoded"][: len(out)])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -259,19 +279,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.decode(x or b"") for x in b.column(1).to_pylist()], pa.binary())], names=["key", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column(0), c.decode_column(b.column(1)).cast(pa.binary())], names=["key", "decoded"])
 
     kind = encoded.schema[key].dataType.simpleString()
     return encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, decoded binary").withColumnRenamed("key", key)
-
-
-def slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``most`` characters, one row at least."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield at, i
-            at, size = i, 0
-        size += len(t)
-    if texts:
-        yield at, len(texts)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import gc
+import heapq
 import re
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,7 +71,6 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps that have ended; it acts on the driver's garbage collections."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)
 
 
 def smaller_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -93,3 +92,13 @@ def range_number(key: Column, cuts: list[int]) -> Column:
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
     fits = lambda lo, p: (lo + p <= len(cuts)) & (F.get(values, lo + p - 1) <= key)
     return F.aggregate(steps, F.lit(0), lambda lo, p: F.when(F.coalesce(fits(lo, p), F.lit(False)), lo + p).otherwise(lo))
+
+
+def dealt(number: Column, sizes: dict[int, int], n: int) -> Column:
+    """A task below ``n`` for each range number, so that the tasks' sums of sizes come out alike: the largest first, each to the least full."""
+    full = [(0, i) for i in range(n)]
+    task = [0] * (max(sizes, default=0) + 1)
+    for k in sorted(sizes, key=lambda k: (-sizes[k], k)):
+        held, task[k] = heapq.heappop(full)
+        heapq.heappush(full, (held + sizes[k], task[k]))
+    return F.coalesce(F.get(F.from_json(F.lit(str(task)), "array<int>"), number), F.lit(0))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +24,10 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import ONE_WORD, ChunkMemo
-from millrace.llm.prefix_bpe import slices
-from millrace.llm.shared import partitions, range_number, work_path
-from millrace.llm.words import mix
+from millrace.llm.chunks import ChunkMemo
+from millrace.llm.prefix_bpe import WORD
+from millrace.llm.shared import dealt, partitions, range_number, work_path
+from millrace.llm.words import mix, slices
 from millrace.llm.worker import only
 
 MAGIC = b"MRTOKENS"
@@ -172,43 +172,51 @@ class ShardReader:
         self.file.close()
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: visible Latin-1 itself, the others from 256 on in order."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class LibraryIds:
     """Ids by the tokenizers library; strings of special tokens are ordinary text.
 
-    Single words go to the library as lines of one text, which spares a call a word: a line break
-    between them is a token by itself, and no word holds one.
+    A chunk that is one word of letters is one pre-token, so the library's model takes it as it is;
+    all other chunks go through the whole library.
     """
 
+
+
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.width = Tokenizer.from_file(path), width
+        self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        (self.line_break,) = self._batch(["a\nb"])[0][1:-1]
+        first = self.library.pre_tokenizer
+        if self.library.normalizer is not None or type(first).__name__ != "ByteLevel" or first.add_prefix_space or not first.use_regex:
+            raise ValueError(f"{path} is no byte-level vocabulary that splits by pattern and leaves texts as they are")
+        self.model, self.letters = self.library.model, byte_letters()
+        self.packed = [i.to_bytes(width, "little") for i in range(min(self.library.get_vocab_size(), 1 << 8 * width))]
         self.memo = ChunkMemo(self.encode)
 
-    def _batch(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, f"<u{self.width}") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        lines, rest = [], []
-        for i, t in enumerate(texts):
-            (lines if len(t) < 200 and ONE_WORD.fullmatch(t) else rest).append(i)
-        for at in range(0, len(lines), 100):
-            some = lines[at : at + 100]
-            ids = self._batch(["\n".join(texts[i] for i in some)])[0]
-            cuts = np.flatnonzero(ids == self.line_break) * self.width
-            data = ids.tobytes()
-            for i, a, b in zip(some, [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)], strict=True):
-                out[i] = data[a:b]
-        for i, ids in zip(rest, self._batch([texts[i] for i in rest]), strict=True):
-            out[i] = ids.tobytes()
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(chunks)
+        rest, packed, word, tokens = [], self.packed, WORD.fullmatch, self.model.tokenize
+        for i, c in enumerate(chunks):
+            if word(c):
+                out[i] = b"".join([packed[t.id] for t in tokens(c.decode("latin-1").translate(self.letters))])
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 1000):
+            some = rest[at : at + 1000]
+            for i, e in zip(some, self.library.encode_batch_fast([chunks[i].decode() for i in some], add_special_tokens=False), strict=True):
+                out[i] = b"".join([packed[t] for t in e.ids])
         return out
 
 
-def library_memo(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+def library_memo(path: str, width: int) -> ChunkMemo:
     """One memo a worker process."""
     return only(f"library {path} {width}", lambda: LibraryIds(path, width)).memo
 
@@ -222,7 +230,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
     """Encode all texts, append ``end_id`` to each, and write shards of ascending keys; returns the manifest.
 
     The manifest has one row a shard: number, file, documents, ids, ids of all shards before, least key.
-    One shuffle by key ranges, whose borders come from the keys alone; a task streams each range to one file, whose
+    One shuffle by key ranges, whose borders come from the keys alone and which are dealt to tasks by their bytes, the
+    largest first; a task streams each range to one file, whose
     name is new in each attempt, so that a lost or doubled attempt leaves an unlisted file at most. A null text counts as empty; null keys
     come first; rows that share a key stand in the order of their texts; other columns are not read. An
     empty table gives an empty manifest.
@@ -252,17 +261,18 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
                     number = b.column(0)[lo].as_py()
                     writer = ShardWriter(f"{folder}/shard-{number:06d}-{os.urandom(6).hex()}.tok", width)
                     first = None if absent[lo] else int(ids[lo])
-                texts = [x or "" for x in b.column(2).slice(lo, hi - lo).to_pylist()]
-                for at, to in slices(texts):
-                    writer.add(ids[lo + at : lo + to], absent[lo + at : lo + to], [x + end for x in memo(texts[at:to])])
+                for at, to in slices(texts := b.column(2).slice(lo, hi - lo), 16_000_000):
+                    payloads = memo(texts.slice(at, to - at)).to_numpy(zero_copy_only=False)
+                    writer.add(ids[lo + at : lo + to], absent[lo + at : lo + to], [x + end for x in payloads.tolist()])
         if writer is not None:
             yield row()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    n = 2 * partitions(spark)  # several ranges a task, so that tasks come out alike
-    cuts = docs.select(F.percentile_approx(F.col(key).cast("long"), [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    n = partitions(spark)
+    cuts = docs.select(F.percentile_approx(F.col(key).cast("long"), [i / (3 * n) for i in range(1, 3 * n)], 10_000)).first()[0] if n > 1 else None
     rows = rows.select(range_number(F.col("key"), sorted(set(cuts or []))).alias("shard"), "key", "text")
-    rows = rows.repartition(partitions(spark), "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    sizes = {r.shard: r.size for r in rows.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(16).cast("long")).alias("size")).collect()}
+    rows = rows.repartitionById(n, dealt(F.col("shard"), sizes, n)).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), F.coalesce("text", F.lit("")))
     manifest = [r.asDict() for r in rows.mapInArrow(run, "shard long, file string, docs long, tokens long, first long").collect()]
     manifest.sort(key=lambda r: r["shard"])
     before = 0
@@ -312,7 +322,9 @@ def read_tokens(spark: SparkSession, manifest: list[dict], keys: DataFrame, key:
                 )
 
     rows = keys.select(range_number(F.col(key).cast("long"), cuts).alias("shard"), F.col(key).cast("long").alias("key"))
-    rows = rows.repartition(partitions(spark), "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first())
+    n = partitions(spark)
+    sizes = {i: r["tokens"] + r["docs"] for i, r in enumerate(manifest)}
+    rows = rows.repartitionById(n, dealt(F.col("shard"), sizes, n)).sortWithinPartitions("shard", F.col("key").asc_nulls_first())
     return rows.mapInArrow(run, "key long, shard int, start long, ids binary").withColumnRenamed("key", key)
 
 
