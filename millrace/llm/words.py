@@ -1,13 +1,16 @@
 """Words of many texts at once, as positions and hashes in numpy arrays.
 
 Texts are taken as the UTF-8 bytes of an Arrow column, so no Python string is made for a word. A
-word's hash is a polynomial over its bytes modulo 2**64, a run's hash one over the mixed hashes of
-its words; both come from prefix sums, in a few passes over the bytes however many runs overlap.
+word's hash chains its bytes, eight at a time, through two non-linear lanes, so that no two words
+collide by their form (a polynomial over bytes modulo 2**64 would); long words are hashed by blake2b.
+A run's hash is a polynomial over its words' hashes, from prefix sums, however many runs overlap; runs
+are short, so that no such polynomial vanishes by its form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -91,10 +94,25 @@ class Texts:
         self.first = np.searchsorted(self.starts, self.bounds)
         self.counts = np.diff(self.first)
 
-    def word_hashes(self) -> np.ndarray:
-        p = sums(_BYTE[self.buf] * powers(_BASE, len(self.buf)))
-        inverse = powers(pow(_BASE, -1, 1 << 64), len(self.buf) + 1)
-        return mix((p[self.ends] - p[self.starts]) * inverse[self.starts], 1)
+    def word_hashes(self, long: int = 128) -> np.ndarray:
+        size = self.ends - self.starts
+        padded = np.concatenate([self.buf, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(padded) - 7, "<u8", padded, 0, (1,))  # the eight bytes from each place on
+        one, two = mix(size, 1), mix(size, 5)
+        at, left, todo = self.starts, size, np.flatnonzero(size <= long)
+        at, left = at[todo], left[todo]
+        while len(todo):
+            x = eight[at]
+            short = np.flatnonzero(left < 8)
+            x[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+            one[todo] = mix(one[todo] ^ x, 6)
+            two[todo] = mix(two[todo] + x * np.uint64(_STEP), 8)
+            on = np.flatnonzero(left > 8)
+            todo, at, left = todo[on], at[on] + 8, left[on] - 8
+        out = mix(one + (two ^ (two >> np.uint64(29))), 9)
+        for i in np.flatnonzero(size > long).tolist():
+            out[i] = int.from_bytes(blake2b(self.buf[self.starts[i] : self.ends[i]].tobytes(), digest_size=8).digest(), "little")
+        return out
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), self.counts)
