@@ -5,20 +5,22 @@ in it. Equal windows have equal fingerprints at equal offsets, and neighbouring
 one run's, so a *stretch* of windows whose fingerprint is the same run is one entry; no two windows of
 a stretch are equal. The work goes from cheap to exact:
 
-1. Entries: (fingerprint, digest of all the stretch's words, place). Their fingerprints are counted
-   and go to the index, batch by batch: each batch is merge-joined with the index's sorted immutable
-   runs, which names the fingerprints that are now there twice, and becomes a run itself; runs are
-   compacted into one. Counting before the shuffle keeps a hot fingerprint one row a task.
+1. Entries: (fingerprint, digest of all the stretch's words, place). Each batch becomes one sorted
+   immutable run of the index, after being merge-joined with the runs that are there, which names the
+   fingerprints that occur twice, be it in the batch or in the batch and the past. Entries are
+   aggregated before the shuffle, so that a hot fingerprint is one row a task.
 2. Verification: entries with a repeated fingerprint are compared by the 128-bit digests of their
-   words. Stretches that occur twice as a whole are covered as a whole. Only where a fingerprint
-   has different stretches, one stretch of each kind is taken apart into its windows, and these are
-   compared by their own digests. Fingerprint collisions thus cost time, never a wrong removal.
-3. The covered spans of each text are merged and its other words are kept.
+   words, with one another and with the kinds of stretches that the index remembers. Stretches that
+   occur twice as a whole are covered as a whole. Only where a fingerprint has different stretches, one
+   witness of each kind is taken apart into its windows, and these are compared by their own
+   digests. Fingerprint collisions thus cost time, never a wrong removal.
+3. The covered spans of each text are merged and its other words are kept. The index is compacted.
 """
 
 from __future__ import annotations
 
-import os
+import json
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b, sha256
@@ -38,98 +40,108 @@ _ENTRY = "fp long, d1 long, d2 long, k1 long, k2 long, start int, n int"
 
 
 class FingerprintIndex:
-    """Counts of fingerprints in sorted runs that are never changed, in buckets by hash.
+    """Sorted immutable runs of fingerprints, as Parquet tables bucketed and sorted by fingerprint.
 
-    A bucket of a run is one file: ascending fingerprints (8 bytes) and whether each was there more than
-    once (1 byte). A file is listed only once its task has succeeded.
+    With equal buckets a batch's run is merge-joined with older runs as both stream by, without a shuffle or a
+    run in memory. An index with ``history`` outlives a call: its runs hold each kind of stretch (digest, whether
+    it was there more than once, the place of one witness) and the texts of the batches lie beside them. Without
+    it a run holds fingerprints only. ``folder`` names an index that is there already; it must be one that all
+    executors see. A batch is listed once it is whole, so a failed call leaves unlisted files at most.
     """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int | None = None):
-        self.spark, self.folder = spark, folder or work_path(spark, "fingerprints")
-        self.buckets = buckets or partitions(spark)
-        self.runs: list[dict[int, str]] = []
-        fs, path = FileSystem.from_uri(self.folder)
-        fs.create_dir(path, recursive=True)
-
-    def ingest(self, counts: DataFrame) -> Stored:
-        """Add a batch of (fp, n), a row or more a fingerprint; returns a table whose non-null fp are those that this batch makes repeated.
-
-        Those are seen twice or more in all and were not so before the batch.
-        """
-        folder, old, n = self.folder, list(self.runs), self.buckets
-        sums = counts.groupBy("fp").agg(F.sum("n").alias("n"))
-        rows = sums.select(F.pmod(F.xxhash64("fp"), F.lit(n)).cast("int").alias("bucket"), "fp", (F.col("n") > 1).alias("many"))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, list] = {}
-            for b in batches:
-                bucket, fp, many = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-                for k in np.unique(bucket):
-                    held.setdefault(int(k), []).append((fp[bucket == k], many[bucket == k]))
-            for k, parts in held.items():
-                fp, many = (np.concatenate(x) for x in zip(*parts, strict=True))
-                order = np.argsort(fp)
-                fp, many = fp[order], many[order]
-                before, twice = np.zeros(len(fp), bool), np.zeros(len(fp), bool)
-                for r in old:
-                    if k in r:
-                        theirs, theirs_many = _load(r[k])
-                        at = np.minimum(np.searchsorted(theirs, fp), len(theirs) - 1)
-                        hit = theirs[at] == fp
-                        twice |= (before & hit) | (hit & theirs_many[at])
-                        before |= hit
-                file = f"{folder}/run-{len(old):04d}-{k:06d}-{os.urandom(6).hex()}.fp"
-                _save(file, fp, many)
-                new = fp[(many | before) & ~twice]
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([file]), pa.array([None], pa.int64())], names=["bucket", "file", "fp"])
-                if len(new):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), k), pa.int32()), pa.nulls(len(new), pa.string()), pa.array(new)], names=["bucket", "file", "fp"])
-
-        done = Stored(rows.repartition(n, "bucket").mapInArrow(run, "bucket int, file string, fp long"), "ingested")
-        self.runs.append({r.bucket: r.file for r in done.df.where("file is not null").select("bucket", "file").collect()})
-        return done
-
-    def compact(self) -> None:
-        """Merge all runs into one; the old files go once the new run is whole."""
-        folder, old, n = self.folder, list(self.runs), self.buckets
-        if len(old) < 2:
-            return
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for k in b.column(0).to_pylist():
-                    parts = [_load(r[k]) for r in old if k in r]
-                    if parts:
-                        fp, many = (np.concatenate(x) for x in zip(*parts, strict=True))
-                        order = np.argsort(fp, kind="stable")
-                        fp, many = fp[order], many[order]
-                        first = np.flatnonzero(np.r_[True, fp[1:] != fp[:-1]])
-                        size = np.diff(np.r_[first, len(fp)])
-                        file = f"{folder}/merged-{len(old):04d}-{k:06d}-{os.urandom(6).hex()}.fp"
-                        _save(file, fp[first], (size > 1) | np.logical_or.reduceat(many, first))
-                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([file])], names=["bucket", "file"])
-
-        made = self.spark.range(0, n, 1, min(n, 200)).selectExpr("cast(id as int) bucket").mapInArrow(run, "bucket int, file string").collect()
-        self.runs = [{r.bucket: r.file for r in made}]
+    COLUMNS = "fp bigint, many boolean, d1 bigint, d2 bigint, k1 bigint, k2 bigint, start int, n int"
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int | None = None, history: bool = True, most_runs: int = 4):
+        self.spark, self.folder, self.history, self.most_runs = spark, folder or work_path(spark, "fingerprints"), history, most_runs
+        self.fs, self.path = FileSystem.from_uri(self.folder)
+        self.fs.create_dir(self.path, recursive=True)
+        self.state = {"buckets": buckets or partitions(spark), "runs": [], "texts": []}
+        if self.fs.get_file_info(f"{self.path}/index.json").is_file:
+            with self.fs.open_input_file(f"{self.path}/index.json") as f:
+                self.state = json.loads(f.read())
+
+    @property
+    def runs(self) -> list[str]:
+        return self.state["runs"]
+
+    def _note(self, **changes: list[str]) -> None:
+        """Make the changes in one step: the list of what counts is a file that is replaced as a whole."""
+        self.state |= changes
+        with self.fs.open_output_stream(f"{self.path}/index.new") as f:
+            f.write(json.dumps(self.state).encode())
+        self.fs.move(f"{self.path}/index.new", f"{self.path}/index.json")
+
+    def run(self, name: str) -> DataFrame:
+        """One run as a table whose buckets and order Spark knows."""
+        table = f"millrace_{name.replace('-', '_')}"
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"create table {table} ({self.COLUMNS}) using parquet clustered by (fp) sorted by (fp) into {self.state['buckets']} buckets location '{self.folder}/{name}'")
+        return self.spark.table(table)
+
+    def _write(self, rows: DataFrame) -> str:
+        """Rows that are dealt by fp, so that each bucket becomes one sorted file."""
+        name = f"run-{uuid.uuid4().hex}"
+        n = self.state["buckets"]
+        table = f"millrace_{name.replace('-', '_')}"
+        rows = rows.selectExpr("fp", "many", "d1", "d2", "k1", "k2", "start", "n")
+        rows.write.bucketBy(n, "fp").sortBy("fp").options(path=f"{self.folder}/{name}", compression="uncompressed").saveAsTable(table)
+        return name
+
+    def ingest(self, entries: DataFrame) -> DataFrame:
+        """Make a batch of entries a run; returns the fingerprints (fp, with repeats) that occur in the batch and twice in all."""
+        old = list(self.runs)
+        if self.history:
+            kinds = entries.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n"))).repartition(self.state["buckets"], "fp")
+        else:
+            none = {c: F.lit(None).cast("long" if c[0] in "dk" else "int") for c in ("d1", "d2", "k1", "k2", "start", "n")}
+            kinds = entries.groupBy("fp").agg(F.count(F.lit(1)).alias("times")).withColumns(none)
+        name = self._write(kinds.withColumn("many", F.col("times") > 1))
+        new = self.run(name)
+        twice = new.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.max("many").alias("many")).where("kinds > 1 or many").select("fp")
         for r in old:
-            for file in r.values():
-                fs, path = FileSystem.from_uri(file)
-                fs.delete_file(path)
-
-
-def _save(file: str, fp: np.ndarray, many: np.ndarray) -> None:
-    fs, path = FileSystem.from_uri(file)
-    with fs.open_output_stream(path) as f:
-        f.write(fp.astype("<i8").tobytes())
-        f.write(many.astype("u1").tobytes())
+            twice = twice.unionAll(new.select("fp").join(self.run(r).select("fp").hint("merge"), "fp", "left_semi"))
+        self._note(runs=[*old, name])
+        return twice
+
+    def kinds(self, fingerprints: DataFrame, runs: list[str]) -> DataFrame:
+        """What the given runs remember of stretches with the fingerprints."""
+        parts = [self.run(r).join(fingerprints, "fp", "left_semi") for r in runs]
+        return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], self.COLUMNS)
+
+    def remember(self, rows: DataFrame) -> None:
+        """Keep the texts (k1, k2, text) of a batch, from which witnesses are read."""
+        name = f"texts-{uuid.uuid4().hex}"
+        rows.select("k1", "k2", "text").write.parquet(f"{self.folder}/{name}")
+        self._note(texts=[*self.state["texts"], name])
+
+    def texts(self) -> DataFrame:
+        """All texts kept, once each."""
+        names = self.state["texts"]
+        if not names:
+            return self.spark.createDataFrame([], "k1 long, k2 long, text string")
+        return self.spark.read.schema("k1 long, k2 long, text string").parquet(*(f"{self.folder}/{x}" for x in names))
+
+    def compact(self, most_runs: int = 1) -> None:
+        """Merge the runs into one if there are more than ``most_runs``; the old ones go once the new run is listed."""
+        old = list(self.runs)
+        if len(old) <= most_runs:
+            return
+        # Read as plain files: over a union of bucketed scans Spark 4.1 leaves the shuffle out, though it does not put equal buckets together.
+        rows = self.spark.read.schema(self.COLUMNS).parquet(*(f"{self.folder}/{r}" for r in old)).repartition(self.state["buckets"], "fp")
+        merged = rows.groupBy("fp", "d1", "d2").agg((F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n")))
+        name = self._write(merged)
+        self._note(runs=[name])
+        self._drop(old)
 
+    def _drop(self, names: list[str]) -> None:
+        for r in names:
+            self.spark.sql(f"drop table if exists millrace_{r.replace('-', '_')}")
+            self.fs.delete_dir(f"{self.path}/{r}")
 
-def _load(file: str) -> tuple[np.ndarray, np.ndarray]:
-    fs, path = FileSystem.from_uri(file)
-    with fs.open_input_file(path) as f:
-        data = f.read()
-    n = len(data) // 9
-    return np.frombuffer(data, "<i8", n), np.frombuffer(data, "u1", n, n * 8).astype(bool)
+    def drop(self) -> None:
+        """Remove the index with all its files."""
+        self._drop(self.runs)
+        self.fs.delete_dir(self.path)
 
 
 def keyed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -187,7 +199,7 @@ def entries(rows: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def windows(texts: DataFrame, width: int) -> DataFrame:
-    """(k1, k2, text, stretches) taken apart: digest and place of each window of the stretches."""
+    """(k1, k2, text, stretches, old) taken apart: digest and place of each window of the stretches, and ``old``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,50 +218,66 @@ def windows(texts: DataFrame, width: int) -> DataFrame:
                     part = slice(lo, lo + 50_000)
                     digests = _digests(data, starts[place[part]].tolist(), ends[place[part] + width - 1].tolist())
                     rows = pa.array(doc[part])
-                    yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), b.column(0).take(rows), b.column(1).take(rows), pa.array(first[part].astype(np.int32))], names=["d1", "d2", "k1", "k2", "start"])
+                    yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), b.column(0).take(rows), b.column(1).take(rows), pa.array(first[part].astype(np.int32)), b.column(4).take(rows)], names=["d1", "d2", "k1", "k2", "start", "old"])
 
-    return texts.mapInArrow(run, "d1 long, d2 long, k1 long, k2 long, start int")
+    return texts.mapInArrow(run, "d1 long, d2 long, k1 long, k2 long, start int, old boolean")
 
 
 def repeated_spans(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(k1, k2, spans) with the word spans [s, e) that repeated windows cover, one row a text that has any."""
+    """(k1, k2, spans) with the word spans [s, e) that repeated windows cover, one row a text that has any.
+
+    The rows go to the index in ``batches`` by a hash of the text; all are judged together with what the index
+    held before. ``width`` and ``gram`` must be those of the index's earlier calls.
+    """
     spark = docs.sparkSession
     rows = keyed(docs, text, key)
-    index = index or FingerprintIndex(spark)
+    own = index is None
+    index = index or FingerprintIndex(spark, history=False)
+    before = list(index.runs)
+    past = index.texts()  # before this call's own are kept
     e = Stored(entries(rows, width, gram).withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(batches)).cast("int")), "entries")
-    parts = [index.ingest(e.df.where(F.col("batch") == k).select("fp", F.lit(1).alias("n"))) for k in range(batches)]
-    index.compact()
-    repeated = reduce(DataFrame.unionAll, [p.df.where("fp is not null").select("fp") for p in parts])
-    some = Stored(e.df.join(repeated, "fp", "left_semi").select("fp", "d1", "d2", "k1", "k2", "start", "n"), "repeated")
-    for t in (e, *parts):
-        t.drop()
+    named = Stored(reduce(DataFrame.unionAll, [index.ingest(e.df.where(F.col("batch") == k).drop("batch")) for k in range(batches)]).distinct(), "named")
+    some = Stored(e.df.join(named.df, "fp", "left_semi").select("fp", "d1", "d2", "k1", "k2", "start", "n"), "repeated")
+    e.drop()
     release(spark)
-    kinds = Stored(some.df.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k1", "k2", "start", "n")).alias("one")), "kinds")
+    here = some.df.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n"))).withColumn("old", F.lit(False))
+    if before:
+        there = index.kinds(named.df, before).select("fp", "d1", "d2", F.when(F.col("many"), 2).otherwise(1).cast("long").alias("times"), "k1", "k2", "start", "n", F.lit(True).alias("old"))
+        one = F.min(F.struct("old", "k1", "k2", "start", "n"))  # a witness of this call, if there is one
+        here = here.unionAll(there).groupBy("fp", "d1", "d2").agg(F.sum("times").alias("times"), one.alias("one")).select("fp", "d1", "d2", "times", "one.k1", "one.k2", "one.start", "one.n", "one.old")
+    kinds = Stored(here, "kinds")
     mixed = kinds.df.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("fp")
-    apart = kinds.df.join(mixed, "fp", "left_semi").select("one.*").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("stretches"))
-    w = Stored(windows(rows.select("k1", "k2", "text").join(apart, ["k1", "k2"]), width), "windows")
-    release(spark)
+    apart = kinds.df.join(mixed, "fp", "left_semi").groupBy("old", "k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("stretches"))
+    source = rows.select("k1", "k2", "text", F.lit(False).alias("old"))
+    if before:
+        source = source.unionAll(past.dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", F.lit(True).alias("old")))
+    w = Stored(windows(source.join(apart, ["old", "k1", "k2"]).select("k1", "k2", "text", "stretches", "old"), width), "windows")
     twice = w.df.groupBy("d1", "d2").count().where("count > 1").select("d1", "d2")
-    alone = Stored(w.df.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("n")), "alone")
+    alone = Stored(w.df.where("not old").join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("n")), "alone")
     w.drop()
     release(spark)
     whole = some.df.join(kinds.df.where("times > 1").select("fp", "d1", "d2"), ["fp", "d1", "d2"], "left_semi").select("k1", "k2", "start", "n")
     spans = checkpointed(whole.unionAll(alone.df).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + (width - 1)).alias("stop"))).alias("spans")))
-    for t in (some, kinds, alone):
+    for t in (named, some, kinds, alone):
         t.drop()
-    release(spark)
+    if own:
+        index.drop()
+    elif index.history:
+        index.remember(rows.where(F.octet_length("text") > 0))
+        index.compact(index.most_runs)
     return spans
 
 
-def drop_repeats(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_repeats(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_words, n_removed, kept binary) of every row: the words that no repeated window covers, joined by blanks.
 
     Windows are ``width`` consecutive words; one repeats if its words also begin anywhere else, in the same
-    text too, and is judged on the input. A text of fewer words has no window and keeps all. Null or empty
+    text too, and is judged on the input. With an ``index``, "anywhere" includes all rows of earlier calls with
+    it, and these rows are added to it, so that a growing corpus is deduplicated batch by batch. A text of fewer words has no window and keeps all. Null or empty
     texts have no words. Rows that share key and text are occurrences of one another. Columns other than
     ``key`` and ``text`` are not read.
     """
-    spans = repeated_spans(docs, width, gram, batches, text=text, key=key)
+    spans = repeated_spans(docs, width, gram, batches, index, text, key)
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
