@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from millrace.llm.worker import only
 
 _TABLE = word_table(SPACE_BYTES)
 _BLOCK = 1 << 16
+_TOP = (1 << 16) - 1
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -69,33 +71,40 @@ class Once:
         return True
 
 
-def bucket_counts(rows: DataFrame) -> np.ndarray:
-    """Sum of (block, counts) rows, each of a fixed number of counters; the result's size is fixed too."""
+def summed(rows: DataFrame, join: str) -> dict[int, bytes]:
+    """(block, data) rows put together block by block, as 16-bit counts that stop at the top ("add") or as bits ("or").
+
+    Parts of the rows are put together where they are, then in a few parts a block, then as a whole, so that no task
+    reads more than a share of what many tasks made. The result has a fixed size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             for k, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held[k] = np.minimum(held.get(k, 0) + np.frombuffer(data, "<u4").astype(np.int64), (1 << 32) - 1)
-        for k, v in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.astype("<u4").tobytes()], pa.binary())], names=["block", "counts"])
-
-    got = rows.repartition("block").mapInArrow(run, "block int, counts binary").collect()
-    size = 1 + max((r.block for r in got), default=0)
-    out = np.zeros(size * _BLOCK, np.uint32)
-    for r in got:
-        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.frombuffer(r.counts, "<u4")
-    return out
+                if join == "or":
+                    x = np.frombuffer(data, np.uint8)
+                    held[k] = held[k] | x if k in held else x
+                else:
+                    x = np.frombuffer(data, "<u2").astype(np.uint32)
+                    held[k] = np.minimum(held[k] + x, _TOP) if k in held else x
+        if held:
+            kind = np.uint8 if join == "or" else "<u2"
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.astype(kind).tobytes() for v in held.values()], pa.binary())], names=["block", "data"])
+
+    one = rows.mapInArrow(run, "block int, data binary").withColumn("part", F.spark_partition_id() % 32)
+    few = one.repartition("block", "part").select("block", "data").mapInArrow(run, "block int, data binary")
+    return {r.block: r.data for r in few.repartition("block").mapInArrow(run, "block int, data binary").collect()}
 
 
 def _blocks(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
-    parts = counts.astype("<u4").reshape(-1, _BLOCK)
+    parts = np.minimum(counts, _TOP).astype("<u2").reshape(-1, _BLOCK)
     there = np.flatnonzero(parts.any(axis=1))
     return there.tolist(), [parts[i].tobytes() for i in there]
 
 
 def describe(docs: DataFrame, k: int, bits: int, text: str, key: str) -> tuple[DataFrame, np.ndarray]:
-    """(key, n, c) of each row with its set's size and class, and the sketch of shingle counts."""
+    """(key, n, c) of each row with its set's size and class, and the sketch of shingle counts (those over 65,535 are alike)."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
 
@@ -121,14 +130,17 @@ def describe(docs: DataFrame, k: int, bits: int, text: str, key: str) -> tuple[D
     at = work_path(spark, "sets")
     docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n int, c binary, block int, counts binary").write.parquet(at)
     got = spark.read.parquet(at)
-    sketch = bucket_counts(got.where("block is not null").select("block", "counts"))
-    full = np.zeros(1 << bits, np.uint32)
-    full[: min(len(sketch), len(full))] = sketch[: len(full)]
+    full = np.zeros(1 << bits, "<u2")
+    for k, data in summed(got.where("block is not null").select("block", "counts"), "add").items():
+        full[k * _BLOCK : (k + 1) * _BLOCK] = np.frombuffer(data, "<u2")
     return got.where("block is null").select("key", "n", "c"), full
 
 
-def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: str) -> DataFrame:
-    """The index: (t, c, n, p) for the shingle t at place p of the prefix of class c of size n."""
+def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: str, hot: int = 5_000) -> DataFrame:
+    """The index: (t, c, n, p, part) for the shingle t at place p of the prefix of class c of size n.
+
+    Lists of shingles that the sketch counts ``hot`` times or more are dealt in parts, by class; part is 0 for others.
+    """
     bits = len(sketch).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
@@ -137,24 +149,29 @@ def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: st
         counts, once = shared.value, Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):
-                ts, cs, ns, ps = [], [], [], []
+                ts, cs, ns, ps, parts = [], [], [], [], []
                 for s in shingle_sets(batch.column(0).slice(at, to - at), k):
                     if (n := len(s)) < 2 or not once(c := class_of(s)):  # sets of one shingle link with equal sets only
                         continue
                     size = min(n, n - -(-percent * n // 100) + 2)
-                    order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:size]
+                    often = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
+                    order = np.lexsort((s, often))[:size]
                     ts.append(s[order])
                     cs += [c] * size
                     ns.append(np.full(size, n, np.int32))
                     ps.append(np.arange(size, dtype=np.int32))
+                    parts.append(np.where(often[order] >= hot, c[0] + 1, 0).astype(np.int16))
                 if ts:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts).view(np.int64)), pa.array(cs, pa.binary()), pa.array(np.concatenate(ns)), pa.array(np.concatenate(ps))], names=["t", "c", "n", "p"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts).view(np.int64)), pa.array(cs, pa.binary()), *(pa.array(np.concatenate(x)) for x in (ns, ps, parts))], names=["t", "c", "n", "p", "part"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "t long, c binary, n int, p int")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "t long, c binary, n int, p int, part short")
 
 
 def shared_lists(index: DataFrame) -> DataFrame:
-    """The index without the lists of one class only, and each class once a list; one shuffle, streamed in order."""
+    """The index without the lists of one class only, and each class once a list; one shuffle, streamed in order.
+
+    A list in parts is a long one: whatever is in its parts stays.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, out = None, False  # the last row so far, which waits for its successor, and whether it has been given out
@@ -167,7 +184,7 @@ def shared_lists(index: DataFrame) -> DataFrame:
             new = np.r_[True, (c[1:] != c[:-1]).any(axis=1) | (t[1:] != t[:-1])]
             b, t = b.filter(pa.array(new)), t[new]
             same = t[1:] == t[:-1]
-            give = np.r_[False, same] | np.r_[same, False]
+            give = np.r_[False, same] | np.r_[same, False] | (b.column(4).to_numpy() > 0)
             had = last is not None and out
             out = bool(give[-1]) or (had and len(t) == 1)
             if had:
@@ -175,34 +192,37 @@ def shared_lists(index: DataFrame) -> DataFrame:
             last = b.slice(len(t) - 1, 1)
             yield b.filter(pa.array(give))
 
-    return index.repartition(partitions(index.sparkSession), "t").sortWithinPartitions("t", "c").mapInArrow(run, index.schema)
+    dealt = index.repartition(partitions(index.sparkSession), "t", "part").sortWithinPartitions("t", "part", "c")
+    return dealt.mapInArrow(run, index.schema).drop("part")
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, k: int, text: str, bits: int = 24) -> DataFrame:
-    """(c, s) of the classes asked for. A bit map of fixed size keeps most other sets on their executor; the join is exact."""
+def sets_of(docs: DataFrame, classes: DataFrame, k: int, text: str) -> DataFrame:
+    """(c, s) of the classes asked for. A bit map, sized by their number within bounds, keeps most other sets on their executor; the join is exact."""
     spark = docs.sparkSession
+    bits = min(27, max(19, (8 * classes.count()).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << bits, bool)
         for b in batches:
             if b.num_rows:
                 seen[_place(b.column(0).to_pylist(), bits)] = True
-        for i in np.flatnonzero(seen.reshape(-1, _BLOCK * 32).any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(seen[i * _BLOCK * 32 : (i + 1) * _BLOCK * 32]).tobytes()], pa.binary())], names=["block", "bits"])
+        for i in np.flatnonzero(seen.reshape(-1, _BLOCK * 8).any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(seen[i * _BLOCK * 8 : (i + 1) * _BLOCK * 8]).tobytes()], pa.binary())], names=["block", "data"])
 
-    whole = np.zeros(1 << bits, bool)
-    for r in classes.mapInArrow(mark, "block int, bits binary").toLocalIterator():
-        whole[r.block * _BLOCK * 32 : (r.block + 1) * _BLOCK * 32] |= np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
-    shared = spark.sparkContext.broadcast(np.packbits(whole))
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for i, data in summed(classes.mapInArrow(mark, "block int, data binary"), "or").items():
+        whole[i * _BLOCK : (i + 1) * _BLOCK] = np.frombuffer(data, np.uint8)
+    shared = spark.sparkContext.broadcast(whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("sets")
-        wanted, once = np.unpackbits(shared.value).astype(bool), Once()
+        wanted, once = shared.value, Once()
         for batch in batches:
             for at, to in slices(batch.column(0)):
                 sets = list(shingle_sets(batch.column(0).slice(at, to - at), k))
                 cs = [class_of(s) for s in sets]
-                hit = [i for i in np.flatnonzero(wanted[_place(cs, bits)]).tolist() if once(cs[i])]
+                place = _place(cs, bits)
+                hit = [i for i in np.flatnonzero(wanted[place >> 3] & (128 >> (place & 7))).tolist() if once(cs[i])]
                 yield pa.RecordBatch.from_arrays([pa.array([cs[i] for i in hit], pa.binary()), pa.array([sets[i].tobytes() for i in hit], pa.binary())], names=["c", "s"])
 
     got = docs.select(F.col(text).alias("text")).mapInArrow(run, "c binary, s binary")
@@ -234,12 +254,19 @@ def _enough(o: Column, na: Column, nb: Column, percent: int) -> Column:
     return o.cast("long") * 100 >= (na + nb - o).cast("long") * percent
 
 
-def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def band(n: Column, percent: int) -> Column:
+    """Number of the size band: sets that can link are in one band or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / max(1.01 * log(100 / percent), 1e-3))
+
+
+def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = None, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """((key, n, c) of all rows, (c, label) of all classes that have links).
 
-    Two classes have one label when links of the given similarity join them, directly or in steps.
+    Two classes have one label when links of the given similarity join them, directly or in steps. The sketch has
+    2**bits counters: if not given, 64 a row, within 2**16 and 2**21.
     """
     spark = docs.sparkSession
+    bits = bits or min(21, max(16, (64 * docs.count()).bit_length()))
     rows, sketch = describe(docs, k, bits, text, key)
     entries = Stored(shared_lists(prefixes(docs, k, percent, sketch, text)), "lists")
     release(spark)
@@ -264,13 +291,15 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text:
     m = m.join(open_lists, "t", "left_semi").join(o.withColumnRenamed("x", "c").withColumnRenamed("y", "lc"), ["c", "lc"], "left").withColumn("o", F.when(F.col("c") == F.col("lc"), F.col("n")).otherwise(F.col("o")))
     m = m.join(label.select(F.col("node").alias("lc"), F.col("label").alias("led_by")), "lc", "left").withColumn("out", F.col("label") != F.coalesce("led_by", "lc"))
     m = checkpointed(m.select("t", "c", "n", "p", "label", "o", "out"))
-    a, b = m.where("out").alias("a"), m.alias("b")
+    m = m.withColumn("band", band(F.col("n"), percent))
+    a, b = m.where("out").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("a"), m.alias("b")
     ca, cb = F.col("a.c"), F.col("b.c")
     na, nb, oa, ob = F.col("a.n"), F.col("b.n"), F.col("a.o"), F.col("b.o")
     most = F.least(oa, ob) + F.least(na - oa, nb - ob)
     pairs = a.join(
         b,
         (F.col("a.t") == F.col("b.t"))
+        & (F.col("a.band") == F.col("b.band"))
         & (F.col("a.label") != F.col("b.label"))
         & (~F.col("b.out") | (ca < cb))
         & _reach(na, F.col("a.p"), nb, F.col("b.p"), percent)
@@ -300,7 +329,7 @@ def _compare(docs: DataFrame, pairs: DataFrame, k: int, text: str) -> DataFrame:
     return out
 
 
-def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, bits: int = 20, text: str = "text", key: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) of every row; component_id is the least key reachable by links.
 
     Words are runs of bytes other than white space, with A-Z lower-cased. Two rows link when
