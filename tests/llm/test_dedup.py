@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import linededup, setjoin, substring
 from millrace.llm.components import components
+from millrace.llm.fmindex import contamination
 from millrace.llm.substring import FingerprintIndex
 from tests.llm.conftest import invented
 
@@ -26,15 +27,47 @@ def test_repeated_runs_on_odd_and_empty_tables(odd, empty):
     assert substring.drop_repeats(empty).count() == 0
 
 
-def test_index_names_what_a_batch_makes_repeated(spark):
+def test_index_names_what_occurs_twice(spark):
     index = FingerprintIndex(spark, buckets=3)
-    put = lambda *x: {r.fp for r in index.ingest(spark.createDataFrame([(f, 1) for f in x], "fp long, n int")).df.where("fp is not null").collect()}
-    assert put(1, 2, 3, 3) == {3}
-    assert put(1, 3, 4) == {1}
-    assert put(1, 2, 5, 5) == {2, 5}
+    put = lambda *x: {r.fp for r in index.ingest(spark.createDataFrame([(f, d, 0, 1, 1, 0, 1) for f, d in x], substring._ENTRY)).collect()}
+    assert put((1, 1), (2, 1), (3, 1), (3, 1)) == {3}
+    assert put((1, 9), (3, 1), (4, 1)) == {1, 3}
+    assert put((1, 1), (2, 1), (5, 1), (5, 2)) == {1, 2, 5}
     index.compact()
     assert len(index.runs) == 1
-    assert put(4, 5, 6) == {4} and put(6, 1) == {6}
+    again = FingerprintIndex(spark, folder=index.folder)
+    assert again.runs == index.runs and again.state["buckets"] == 3
+    rows = again.run(again.runs[0])
+    assert sorted((r.fp, r.d1, r.many) for r in rows.collect()) == [(1, 1, True), (1, 9, False), (2, 1, True), (3, 1, True), (4, 1, False), (5, 1, False), (5, 2, False)]
+    assert "SortMergeJoin" in (plan := rows.join(rows.select("fp").hint("merge"), "fp", "left_semi")._jdf.queryExecution().executedPlan().toString()) and "Exchange" not in plan
+    assert put((4, 7), (5, 1), (6, 1)) == {4, 5} and put((6, 1), (1, 1)) == {1, 6}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_batches_are_judged_with_all_that_came_before(spark, rows, order):
+    """Each batch by brute force over the history and itself; compaction and a reopened index change nothing."""
+    parts = [rows[0::3], rows[1::3], rows[2::3] + rows[3:6]]
+    index, history = FingerprintIndex(spark, buckets=4, most_runs=2), []
+    for step, k in enumerate(order):
+        df = spark.createDataFrame(parts[k], "doc_id long, text string").repartition(2)
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.sha) for r in substring.drop_repeats(df, 5, 2, batches=1 + step % 2, index=index).withColumn("sha", F.sha2("kept", 256)).collect())
+        history += parts[k]
+        want = substring.brute_force([t for _, t in history], 5)[len(history) - len(parts[k]) :]
+        assert got == sorted((i, *w) for (i, _), w in zip(parts[k], want, strict=True))
+        assert step == 0 or sum(w[1] for w in want) > 50
+        if step == 1:
+            index.compact()
+            index = FingerprintIndex(spark, folder=index.folder, most_runs=2)
+    assert len(index.runs) <= 2
+
+
+def test_a_later_batch_repeats_parts_of_an_older_one(spark):
+    p, q = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    index = FingerprintIndex(spark, buckets=2)
+    first = spark.createDataFrame([(1, p), (2, q), (3, q)], "doc_id long, text string")
+    assert [r.n_removed for r in substring.drop_repeats(first, index=index).orderBy("doc_id").collect()] == [0, 60, 60]
+    second = spark.createDataFrame([(4, "x " + p), (5, "y " + q), (6, "z"), (7, p[: len(p) // 2])], "doc_id long, text string")
+    assert [r.n_removed for r in substring.drop_repeats(second, index=index).orderBy("doc_id").collect()] == [60, 60, 0, 0]
 
 
 def test_repeated_lines(docs, rows, odd, empty):
@@ -67,6 +100,34 @@ def test_similar_groups(spark, k, percent, seed):
     assert got == setjoin.brute_force(rows, k, percent)
 
 
+def thue_morse() -> tuple[str, str]:
+    """Two words of 2,048 letters that any polynomial hash modulo 2**64 takes for one."""
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - x for x in bits]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+def test_words_that_collide_by_their_form_stay_apart(spark):
+    a, b = thue_morse()
+    df = spark.createDataFrame([(1, a), (2, b), (3, f"{a} x y z u"), (4, f"{b} x y z u"), (5, a[:64]), (6, b[:64])], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in setjoin.similar_groups(df).collect()} == {i: i for i in range(1, 7)}
+    item = spark.createDataFrame([(1, a)], "item_id long, text string")
+    assert {r.doc_id: r.n_hit for r in contamination(df, item).collect()} == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0, 6: 0}
+
+
+def test_long_lists_of_sets_that_do_not_link(spark):
+    """A list of 1,500 sets that share hot shingles, three quarters alike, among which a few link."""
+    hot = " ".join(f"h{i}" for i in range(9))  # six four-word shingles
+    rows = [(i, f"{hot} u{i}") for i in range(1500)] + [(2000 + i, f"{hot} v{i} w{i} x{i}") for i in range(50)]
+    rows += [(3000 + i, f"{hot} {' '.join(f'y{j}' for j in range(30))} z{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in setjoin.similar_groups(df, 4, 85).collect()}
+    assert got == {i: 3000 if i >= 3000 else i for i, _ in rows}
+    lists = setjoin.shared_lists(setjoin.prefixes(df, 4, 85, np.full(1 << 16, 9000, np.uint16), "text"))
+    assert lists.groupBy("t", "c").count().where("count > 1").isEmpty() and lists.groupBy("t").count().where("count >= 1500").count() > 0
+
+
 def test_similar_groups_on_odd_and_empty_tables(odd, empty):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in setjoin.similar_groups(odd).collect())
     assert got == [(0, 0, 0), (0, 1, 0), (5, 1, 5), (5, 1, 5), (5, 1, 5), (7, 0, 7)]
@@ -74,14 +135,15 @@ def test_similar_groups_on_odd_and_empty_tables(odd, empty):
 
 
 def test_lists_are_the_same_whatever_the_batches(spark):
-    rows = [(t, hashlib.md5(bytes([c])).digest(), 5, 0) for t, cs in enumerate([[1], [1, 1], [1, 2], [3, 3, 4, 5], [6]]) for c in cs]
-    index = spark.createDataFrame(rows, "t long, c binary, n int, p int")
+    rows = [(t, hashlib.md5(bytes([c])).digest(), 5, 0, 0) for t, cs in enumerate([[1], [1, 1], [1, 2], [3, 3, 4, 5], [6]]) for c in cs]
+    rows += [(9, hashlib.md5(bytes([c])).digest(), 5, 0, c) for c in (1, 1, 2)]
+    index = spark.createDataFrame(rows, "t long, c binary, n int, p int, part short")
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         for size in ("1", "2", "10000"):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
             got = setjoin.shared_lists(index).collect()
-            assert sorted(r.t for r in got) == [2, 2, 3, 3, 3]
+            assert sorted(r.t for r in got) == [2, 2, 3, 3, 3, 9, 9]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
