@@ -197,7 +197,7 @@ def fit(docs: DataFrame, path: str, labelled: Column, per_language: int = 400, t
     """Learn from whole texts of about ``per_language`` rows of each language among those that ``labelled`` names.
 
     The sample is by a hash of key and text against each language's share, so it does not depend on the
-    order of rows and grows no further with the table. Its word counts come to the driver; their number is
+    order of rows and grows no further with the table; rows that share key, text and language count once. Its word counts come to the driver; their number is
     bounded by the sample. Rows without text or language are left out; without any labelled row there is
     no language and every prediction is ``und``.
     """
@@ -222,7 +222,8 @@ def fit(docs: DataFrame, path: str, labelled: Column, per_language: int = 400, t
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
     counts: dict[str, dict[str, int]] = {name: {} for name in sizes}
-    got = rows.where(keep).select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    some = rows.where(keep).withColumn("h", F.xxhash64("text")).groupBy("lang", "key", "h").agg(F.first("text").alias("text"))
+    got = some.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     for r in got.toLocalIterator():
         counts[r.lang][r.word] = r.n
     return train(sentencepiece_pieces(path), {k: v for k, v in counts.items() if v})

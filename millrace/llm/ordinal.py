@@ -108,15 +108,14 @@ class CumulativeLink:
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grade: str = "grade", bits: int = 18, most: int = 8000, text: str = "text", key: str = "doc_id") -> CumulativeLink:
-    """Learn from about ``most`` rated texts (all, if there are fewer), chosen by a hash of the key.
+    """Learn from ``most`` rated texts (all, if there are fewer), those whose keys' hashes are least.
 
-    ``ratings`` has (key, grade). The chosen keys are broadcast and their texts' features come to the
-    driver, both bounded by ``most``. Null keys, grades and texts are left out; of repeated keys each row
-    counts. Fewer than two grades give a model that knows only the grade there is.
+    ``ratings`` has (key, grade); of several ratings of a key the least counts. The chosen keys, which are broadcast, and the
+    features that come to the driver are at most ``most`` rows each, also where many rows share a key. Null keys, grades and
+    texts are left out. Fewer than two grades give a model that knows only the grade there is.
     """
     known = ratings.select(F.col(key).alias("key"), F.col(grade).cast("double").alias("grade")).where("key is not null and grade is not null")
-    n = known.count()
-    sample = known.where(F.abs(F.xxhash64("key") / F.lit(float(1 << 63))) < min(1.0, most / max(n, 1)))
+    sample = known.groupBy("key").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("key"), "key").limit(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +127,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: str = "grade", bits: int = 1
 
     texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = texts.join(F.broadcast(sample), "key").select("grade", "text", F.xxhash64("key").alias("key"))
-    got = sorted(rows.mapInArrow(run, "grade double, f array<int>, key long").collect(), key=lambda r: (r.key, r.grade, len(r.f)))
+    found = rows.mapInArrow(run, "grade double, f array<int>, key long").orderBy("key", "grade", "f").limit(most)
+    got = sorted(found.collect(), key=lambda r: (r.key, r.grade, r.f))
     grades = sorted({r.grade for r in got})
     place = {g: i for i, g in enumerate(grades)}
     return CumulativeLink.fit([np.array(r.f, np.int64) for r in got], np.array([place[r.grade] for r in got], np.int64), grades or [0.0], bits)

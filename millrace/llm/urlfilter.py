@@ -12,24 +12,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Names of sites to block and to allow, from which the labelled table is built.
-BLOCKED = """casino-win casino-royal best-casino casino-slots poker-online lucky-poker jackpot-slots free-bets sports-bets bets-now
-bet-bonus bonus-win win-prize cheap-pills diet-pills pills-shop cheap-meds adult-x xxx-adult adult-cams hot-xxx porn-tube sex-chat
-spam-farm link-farm spam-links content-farm seo-spam ads-track ads-serve track-click ad-tracker click-ads pop-ads free-money
-cheap-loans payday-loans torrent-crack keygen-free warez-crack""".split()
-ALLOWED = """news library university museum garden docs weather recipes council health school travel archive maps music journal science
-history theatre gallery thenth erthou onther atherre ingsh thersth rethand hathon stion edible lything wherand tionst thhe therle
-anding reonth ouster enthat heating""".split()
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """(url, 1 to block): each name three times, with subdomains, domains and paths dealt alike to both classes."""
+#: Words that names of sites to block are made of, with what commonly stands beside them, from general vocabulary.
+BLOCKED = """casino poker roulette jackpot slots betting bets lottery bingo gambling pills pharma viagra meds porn xxx adult sex cams escort
+dating spam scam phishing malware virus warez crack keygen torrent payday loans debt ads adserver banner popups tracker clicks traffic""".split()
+BESIDE = "online best bonus club vip world deals now hot 24".split()
+#: Words that names of sites to allow are made of.
+ALLOWED = """news library university museum garden weather recipes council health school travel archive maps music journal science history
+theatre gallery water mountain river forest house kitchen family winter summer market bridge village church castle island harbour station
+letter paper painting language nation teacher student doctor hospital research engine planet ocean animal flower bread cheese coffee
+cycling football chess running sailing climbing theory logic number reader writer author editor other thing another there under
+interest condition action reason season lesson person nature culture future picture measure earth heart north south western eastern
+leather feather father mother brother sister whether gather thread three throne thunder thirty thousand those these when where which while
+white wheel wheat whisper tension mention section motion station portion edition tradition addition position ration relation
+table cable stable able noble double trouble reading heading wedding landing standing morning evening building feeling spring string
+ending herring ring king wing sing short shore shell shine share shoulder ship shadow sheep sharp error mirror terror horror
+harvest forest honest arrest estate east west best quest guest test rest nest order border under wonder thunder render tender""".split()
+PARTS = "the of and city open free-time daily local".split()
+
+
+def labelled_urls(thirds: tuple[int, ...] = (0, 1, 2)) -> list[tuple[str, int]]:
+    """(url, 1 to block) of the names whose number modulo 3 is among ``thirds``; all by default.
+
+    Names are a word, or a word and what stands beside it. Domain and path are alike, so
+    that only the names tell the classes apart.
+    """
     out = []
-    for label, names in ((1, BLOCKED), (0, ALLOWED)):
+    for label, words, beside, times in ((1, BLOCKED, BESIDE, 6), (0, sorted({*ALLOWED}), PARTS, 2)):
+        names = []
+        for i, w in enumerate(words):
+            names += [w, *(f"{w}-{beside[(i + k) % len(beside)]}" if k % 2 else f"{beside[(i + k) % len(beside)]}-{w}" for k in range(1, times))]
         for i, name in enumerate(names):
-            for k in range(3):
-                sub, top, lang = ("", "www.", "m.", "blog.")[(i + k) % 4], ("com", "net", "org")[(i + k) % 3], ("en", "de", "fr", "es")[(i // 2 + k) % 4]
-                out.append((f"http://{sub}{name}.example.{top}/{lang}/{(i * 3 + k) * 37}", label))
+            if i % 3 in thirds:
+                out.append((f"http://{name}.example.com/", label))
     return out
 
 
@@ -67,7 +81,7 @@ def grams(host: Column, path: Column, dims: int, sizes: tuple[int, ...] = (3, 4,
     return F.array_distinct(F.concat(of(host, "^"), of(path, "/"), F.array(F.lit(dims))))
 
 
-def fit(labelled: DataFrame, dims: int = 4096, steps: int = 150, rate: float = 12.0, decay: float = 0.001, most: int = 2000) -> list[float]:
+def fit(labelled: DataFrame, dims: int = 32768, steps: int = 300, rate: float = 20.0, decay: float = 0.001, most: int = 2000) -> list[float]:
     """Weights of ``dims`` hashed n-grams and the constant, from rows (url, label 0 or 1).
 
     The table is small by contract: over ``most`` rows raise, as the steps hold a row's inner products with
@@ -108,8 +122,8 @@ def probability(features: Column, weights: list[float]) -> Column:
     return 1 / (1 + F.exp(-total / F.sqrt(F.size(features))))
 
 
-def labelled_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(labelled_urls(), "url string, label int")
+def labelled_table(spark: SparkSession, thirds: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    return spark.createDataFrame(labelled_urls(thirds), "url string, label int")
 
 
 def judge(pages: DataFrame, weights: list[float], rules: list[tuple[str, str, str]] = RULES, threshold: float = 0.5, url: str = "url", key: str = "page_id") -> DataFrame:

@@ -61,3 +61,23 @@ def test_stages_take_empty_and_odd_tables(spark, tables, odd):
         assert stage(spark, docs.limit(0), tables[0]).count() == 0
         stage(spark, strange, tables[0]).count()
     assert corpus_pipeline.near_duplicates(spark, strange, tables[0]).count() == 5
+
+
+def test_wrong_languages_go_whatever_their_label(spark, tables):
+    rng = np.random.default_rng(5)
+    words = {"en": "the thing and other with that which were there".split(), "de": "der die und schön über auch nicht sich straße".split()}
+    rows = [(i, " ".join(rng.choice(words[k], 12)), k) for i in range(120) for k in [["en", "de"][i % 2]]]
+    rows += [(200, " ".join(words["de"]), "en"), (201, " ".join(words["en"]), "de"), (202, "123 -- 4", "en"), (203, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("doc_id", "text", "lang", "'s' source", "cast(length(text) as long) n_chars")
+    english = {r.doc_id for r in corpus_pipeline.language_id(spark, df, tables[0], languages=("en",)).collect()}
+    assert english == {*range(0, 120, 2), 201}
+    every = {r.doc_id for r in corpus_pipeline.language_id(spark, df, tables[0]).collect()}
+    assert every == {*range(120), 200, 201}
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, tables):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (2, text + " more"), (2, "another text of its own here"), (3, text), (3, text), (None, text), (None, "nobody has this one in full")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars")
+    got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, df, tables[0]).collect())
+    assert got == [(0, "nobody has this one in full"), (1, text), (2, "another text of its own here")]
