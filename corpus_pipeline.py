@@ -23,11 +23,21 @@ from millrace.llm.shared import Stored, smaller_batches
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known from their text; those that the model calls ``und`` (null, or no letter) go."""
+#: The languages that go on (None: all that the labelled documents have), and the least posterior of a document's own.
+LANGUAGES: tuple[str, ...] | None = None
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] | None = LANGUAGES, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Documents whose text is in one of ``languages`` with a posterior of ``least_score`` or more.
+
+    Both are judged by the text alone: a wrong label neither saves nor costs a document. Null texts and those without a
+    letter have no language and go.
+    """
     smaller_batches(spark)
     model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out())
-    return identify(docs, model, keep=COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
+    found = identify(docs, model, keep=COLUMNS).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+    return (found if languages is None else found.where(F.col("lang_pred").isin(*languages))).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +50,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more): the one of least id.
 
-    Documents without words are in no group and stay. Of rows that share id and text, one stays; rows without an id
-    stay where their whole group has none.
+    A document is known by its id and its text, so rows that share an id but not a text are judged apart; of rows that
+    share both, one stays. Rows without an id stay where their whole group has none. Documents without words are in
+    no group and stay.
     """
     smaller_batches(spark)
-    groups = similar_groups(docs, k=5, percent=80)
-    first = groups.where("n_shingles = 0 or doc_id = component_id or doc_id is null and component_id is null").select("doc_id").distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").select(*COLUMNS)
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    name = F.struct(F.col("doc_id").isNull().alias("absent"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    named = docs.select(*COLUMNS).withColumn("_name", name)
+    groups = similar_groups(named, k=5, percent=80, key="_name")
+    first = groups.where("n_shingles = 0 or _name = component_id").select("_name").distinct()
+    return named.join(first, "_name", "left_semi").dropDuplicates(["_name"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
