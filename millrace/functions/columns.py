@@ -5,10 +5,33 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the table's columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
+def place_among(value: Column, cuts: Column | list) -> Column:
+    """How many of the ascending cuts are at most the value, by binary search; null counts as before all."""
+    if isinstance(cuts, list):
+        if not cuts:
+            return F.lit(0)
+        cuts = F.array(*(F.lit(c) for c in cuts))
+    n = F.size(cuts)
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(16))))  # up to 65,535 cuts
+    fits = lambda lo, p: (lo + p <= n) & (F.get(cuts, lo + p - 1) <= value)
+    return F.aggregate(steps, F.lit(0), lambda lo, p: F.when(F.coalesce(fits(lo, p), F.lit(False)), lo + p).otherwise(lo))
+
+
 def missing_if_nan(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.when(~F.isnan(c), c)

@@ -8,8 +8,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import hours_between
-from millrace.operators.series import over_time
+from millrace.functions.columns import fresh, hours_between, micros
+from millrace.operators.series import AFTER, among_events, blocked, over_time, steps_of
 
 #: Name -> (column, sign of the deviation, threshold, statistic of the window).
 RULES = {
@@ -31,32 +31,45 @@ def sustained(flag: Column, span: str, key: str, ts: str) -> Column:
     return F.min(F.coalesce(flag, F.lit(False)).cast("int")).over(over_time(key, ts, span)) == 1
 
 
-def rule_alarms(df: DataFrame, rules: dict[str, tuple[str, int, float, str]] = RULES, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", standby: str | None = "is_standby") -> DataFrame:
-    """``df`` with a flag for each rule and any_rule."""
-    d = df.withColumns({f"_s_{n}": rolling_signal(c, s, how, span, key, ts) for n, (c, s, _, how) in rules.items()})
-    running = ~F.col(standby) if standby else F.lit(True)
-    d = d.withColumns({n: sustained(F.col(f"_s_{n}") > limit, span, key, ts) & running for n, (_, _, limit, _) in rules.items()})
-    return d.withColumn("any_rule", reduce(or_, (F.col(n) for n in rules))).drop(*(f"_s_{n}" for n in rules))
+def rule_alarms(df: DataFrame, rules: dict[str, tuple[str, int, float, str]] = RULES, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", standby: str | None = "is_standby", block: str | None = "10 day") -> DataFrame:
+    """``df`` with a flag for each rule and any_rule; a NULL standby counts as running.
+
+    A rule on vib_xy_delta gets it from the two axes where the column is absent. The windows go by time and reach back
+    two spans, so the work is cut into blocks of time with that halo.
+    """
+    if any(c == "vib_xy_delta" for c, *_ in rules.values()) and "vib_xy_delta" not in df.columns:
+        df = df.withColumn("vib_xy_delta", F.col("vibration_x_g") - F.col("vibration_y_g"))
+    signal = dict(zip(rules, fresh(df, *(f"_s_{n}" for n in rules)), strict=True))
+    running = ~F.coalesce(F.col(standby), F.lit(False)) if standby else F.lit(True)
+
+    def op(d: DataFrame, k: str) -> DataFrame:
+        d = d.withColumns({signal[n]: rolling_signal(c, s, how, span, k, ts) for n, (c, s, _, how) in rules.items()})
+        return d.withColumns({n: sustained(F.col(signal[n]) > limit, span, k, ts) & running for n, (_, _, limit, _) in rules.items()})
+
+    d = blocked(df, op, block, steps_of(span, 2), key, ts) if block else op(df, key)
+    return d.withColumn("any_rule", reduce(or_, (F.col(n) for n in rules))).drop(*signal.values())
 
 
-def naive_alarm(df: DataFrame, col: str, k: float = 3.0, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", out: str = "naive_low") -> DataFrame:
+def naive_alarm(df: DataFrame, col: str, k: float = 3.0, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", out: str = "naive_low", block: str | None = "10 day") -> DataFrame:
     """Flag: below mean less k deviations of the machine's whole history, held for the span."""
-    m = df.groupBy(key).agg(F.avg(col).alias("_m"), F.stddev_samp(col).alias("_s"))
-    d = df.join(F.broadcast(m), key)
-    return d.withColumn(out, sustained(F.col(col) < F.col("_m") - F.col("_s") * k, span, key, ts)).drop("_m", "_s")
+    mean, spread = fresh(df, "_m", "_s")
+    m = df.groupBy(key).agg(F.avg(col).alias(mean), F.stddev_samp(col).alias(spread))
+    op = lambda d, by: d.withColumn(out, sustained(F.col(col) < F.col(mean) - F.col(spread) * k, span, by, ts))
+    d = df.join(m, key)
+    return (blocked(d, op, block, span, key, ts) if block else op(d, key)).drop(mean, spread)
 
 
 def lead_times(alarms: DataFrame, failures: DataFrame, rules: list[str], days: int = 30, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
     """(event_id, key, failure_mode, window_h, hours of warning by rule and any_rule, first_rule): from the first alarm in the days before the failure.
 
-    Only rows with an alarm meet the events; an event without one has 0 hours and first_rule '-'.
+    An event without one has 0 hours and first_rule '-'. The first alarm at or after the first of these days comes by
+    one sorted window over events and alarms together; no event meets all alarms of its machine.
     """
-    hit = alarms.where("any_rule").select(F.col(key).alias("_k"), F.col(ts).alias("_t"), *rules, "any_rule")
-    f = failures.select("event_id", key, "failure_mode", "failure_timestamp", "degradation_start_timestamp")
-    near = (F.col(key) == F.col("_k")) & (F.col("_t") >= F.col("failure_timestamp") - F.expr(f"interval {days} days")) & (F.col("_t") < F.col("failure_timestamp"))
     names = [*rules, "any_rule"]
-    d = f.join(hit, near, "left").groupBy(*f.columns).agg(*(F.min(F.when(F.col(n), F.col("_t"))).alias(n) for n in names))
-    d = d.withColumns({n: F.coalesce(hours_between(F.col("failure_timestamp"), F.col(n)), F.lit(0.0)) for n in names})
+    hit = alarms.where("any_rule").select(F.col(key), micros(ts).alias("at"), F.lit(AFTER).alias("rank"), *(F.when(F.col(n), F.col(ts)).alias(n) for n in names))
+    f = failures.select("event_id", key, "failure_mode", "failure_timestamp", "degradation_start_timestamp", (F.col("failure_timestamp") - F.expr(f"interval {days} days")).alias("_from"))
+    d = among_events(f, hit, first={n: n for n in names}, key=key, ts="_from")
+    d = d.withColumns({n: F.when(F.col(n) < F.col("failure_timestamp"), hours_between(F.col("failure_timestamp"), F.col(n))).otherwise(0.0) for n in names})
     best = F.greatest(*rules) if len(rules) > 1 else F.col(rules[0])
     first = F.coalesce(*(F.when(F.col(n) == best, F.lit(n)) for n in rules))
     return d.select("event_id", key, "failure_mode", hours_between(F.col("failure_timestamp"), F.col("degradation_start_timestamp")).alias("window_h"), *names, F.when(F.col("any_rule") > 0, first).otherwise("-").alias("first_rule"))

@@ -19,7 +19,7 @@ def baseline_cells(df: DataFrame, signals: list[str], days: int, least: int) ->
 
     The floor is a quarter of the median deviation over all cells of all machines.
     """
-    ref = df.join(F.broadcast(reference_ends(df, days)), "machine_id").where((F.col("timestamp") < F.col("reference_end")) & ~F.col("is_standby"))
+    ref = df.join(reference_ends(df, days), "machine_id").where((F.col("timestamp") < F.col("reference_end")) & ~F.col("is_standby"))
     fine = ref.groupBy(*CELL).agg(*(e for s in signals for e in (F.median(s).alias(f"{s}__median"), F.stddev_samp(s).alias(f"{s}__std"), F.count(s).alias(f"{s}__count"))))
     rough = ref.groupBy("machine_id", "day_type").agg(*(e for s in signals for e in (F.median(s).alias(f"_{s}_m"), F.stddev_samp(s).alias(f"_{s}_s"))))
     d = fine.join(rough, ["machine_id", "day_type"], "left")
@@ -28,7 +28,7 @@ def baseline_cells(df: DataFrame, signals: list[str], days: int, least: int) ->
         d = d.withColumns({f"{s}__median": F.when(few, F.col(f"_{s}_m")).otherwise(F.col(f"{s}__median")), f"{s}__std": F.when(few, F.col(f"_{s}_s")).otherwise(F.col(f"{s}__std"))})
     d = d.select(*CELL, *(f"{s}__{x}" for s in signals for x in ("median", "std", "count")))
     floors = d.agg(*(F.median(f"{s}__std").alias(f"_{s}_floor") for s in signals))
-    one = d.join(F.broadcast(floors.withColumn("_one", F.lit(1))), F.lit(1) == F.col("_one"))
+    one = d.join(floors, F.lit(True))
     return one.select(*CELL, *(e for s in signals for e in (F.col(f"{s}__median"), F.when(F.col(f"{s}__std").isNotNull(), F.greatest(f"{s}__std", F.col(f"_{s}_floor") * 0.25)).alias(f"{s}__std"), F.col(f"{s}__count"))))
 
 
@@ -41,10 +41,18 @@ class RegimeBaseline:
         self.ends: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> RegimeBaseline:
+        self.release()
         self.cells = baseline_cells(df, self.signals, self.reference_days, self.min_samples).persist()
         self.ends = reference_ends(df, self.reference_days).persist()
         return self
 
+    def release(self) -> None:
+        """Let go of what fit() holds; transform() then needs fit() or load() again."""
+        for d in (self.cells, self.ends):
+            if d is not None:
+                d.unpersist()
+        self.cells = self.ends = None
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds z_<signal> and pct_<signal> (NULL in standby, without a cell, or where the divisor is 0) and in_baseline_period."""
         if self.cells is None or self.ends is None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_null, correlation_from_moments, crest, cyclic, hour_end, kurtosis_from_moments, micros
-from millrace.operators.series import as_of, range_count, with_rolling_and_lags
+from millrace.operators.series import AFTER, BEFORE, among_events, blocked, expiring, steps_of, with_rolling_and_lags
 
 SIGNALS = ["pressure_bar", "temp_celsius", "flow_lpm", "vibration_x_g", "vibration_y_g"]
 RAW = [*SIGNALS, "pump_rpm"]
@@ -81,13 +81,18 @@ def add_fleet_relative(h: DataFrame, cols: list[str] = FLEET, ts: str = "timesta
     return h.withColumns({f"f{c}": F.col(c) - F.median(c).over(w) for c in cols}), {f"f{c}": ("fleet_relative", f"{c} less the fleet's median at that hour") for c in cols}
 
 
-def add_rolling_and_lags(h: DataFrame, cfg: dict, roll: list[str] = ROLL, lag: list[str] = LAG) -> tuple[DataFrame, Registry]:
+def add_rolling_and_lags(h: DataFrame, cfg: dict, roll: list[str] = ROLL, lag: list[str] = LAG, block: str | None = None) -> tuple[DataFrame, Registry]:
+    """Trailing statistics and lags by rows. With ``block`` (for rows of every hour) a machine's history is many tasks."""
     f = cfg["features"]
     reg: Registry = {f"{c}_roll{w}h_{s}": ("rolling", f"{s} of {c} over the last {w} h") for c in roll for w in f["rolling_windows_h"] for s in ("mean", "std", "min", "max", "slope")}
     for c in lag:
         for n in f["lags_h"]:
             reg |= {f"{c}_lag{n}h": ("lag", f"{c} {n} h before"), f"{c}_diff{n}h": ("lag", f"change of {c} in {n} h")}
-    return with_rolling_and_lags(h, roll, lag, f["rolling_windows_h"], f["lags_h"]), reg
+    op = lambda d, key: with_rolling_and_lags(d, roll, lag, f["rolling_windows_h"], f["lags_h"], key=key)
+    if not block:
+        return op(h, "machine_id"), reg
+    reach = max([*f["rolling_windows_h"], *f["lags_h"]])
+    return blocked(h, op, block, f"{reach} hour"), reg
 
 
 def band_shares(windows: np.ndarray, bands: list[list[float]]) -> np.ndarray:
@@ -118,22 +123,27 @@ def spectral_names(bands: list[list[float]]) -> list[str]:
     return [*(f"vib_spec_band{i}_share" for i in range(len(bands))), "vib_spec_entropy", "vib_spec_log_power"]
 
 
-def spectral_features(minutes: DataFrame, hours: DataFrame, cfg: dict, signal: str = "vibration_x_g") -> tuple[DataFrame, Registry]:
+def spectral_features(minutes: DataFrame, hours: DataFrame | None, cfg: dict, signal: str = "vibration_x_g", block: str | None = None) -> tuple[DataFrame, Registry]:
     """(machine_id, timestamp, band shares, entropy, log power) of the minutes before each hour's stamp.
 
     The window of the last rows is gathered by Spark only where a row ends an hour, so a task holds one
-    window at a time and long histories spread by machine and sort; the transform runs on Arrow batches.
-    Hours with fewer rows before them have NULLs.
+    window at a time; the transform runs on Arrow batches. Hours with fewer rows before them have NULLs. With ``hours``
+    the result has a row for each of these, else only for hours with a window. With ``block`` (whole hours; for
+    rows at every sampling interval) a machine's history is many tasks.
     """
     f = cfg["features"]
     size, bands = int(f["spectral_window_min"]), f["spectral_bands"]
     names = spectral_names(bands)
-    w = Window.partitionBy("machine_id").orderBy("timestamp")
+
+    def windows(d: DataFrame, key: str) -> DataFrame:
+        w = Window.partitionBy(key).orderBy("timestamp")
+        d = d.withColumns({"_t": hour_end("timestamp"), "_n": F.row_number().over(w)})
+        d = d.withColumn("_ends", F.coalesce(F.lead("_t").over(w) != F.col("_t"), F.lit(True)) & (F.col("_n") >= size))
+        return d.withColumn("w", F.when(F.col("_ends"), F.collect_list("s").over(w.rowsBetween(-(size - 1), 0)))).where("_ends")
+
     d = minutes.select("machine_id", "timestamp", F.struct(F.col(signal).alias("v")).alias("s"))
-    d = d.withColumns({"_t": hour_end("timestamp"), "_n": F.row_number().over(w)})
-    ends = F.coalesce(F.lead("_t").over(w) != F.col("_t"), F.lit(True)) & (F.col("_n") >= size)
-    d = d.withColumn("_ends", ends).withColumn("w", F.when(F.col("_ends"), F.collect_list("s").over(w.rowsBetween(-(size - 1), 0))))
-    d = d.where("_ends").select("machine_id", F.col("_t").alias("timestamp"), F.col("w.v").alias("w"))
+    d = blocked(d, windows, block, steps_of(cfg["validation"]["sampling_interval"], size)) if block else windows(d, "machine_id")
+    d = d.select("machine_id", F.col("_t").alias("timestamp"), F.col("w.v").alias("w"))
     kind = minutes.schema["timestamp"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,7 +157,7 @@ def spectral_features(minutes: DataFrame, hours: DataFrame, cfg: dict, signal: s
     got = got.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in names})
     reg: Registry = {f"vib_spec_band{i}_share": ("spectral", f"share of vibration's power in {lo} to {hi} cycles a minute over {size} minutes") for i, (lo, hi) in enumerate(bands)}
     reg |= {"vib_spec_entropy": ("spectral", "spectral entropy of vibration, 1 for noise"), "vib_spec_log_power": ("spectral", "log10 of vibration's power")}
-    return hours.select("machine_id", "timestamp").join(got, ["machine_id", "timestamp"], "left"), reg
+    return got if hours is None else hours.select("machine_id", "timestamp").join(got, ["machine_id", "timestamp"], "left"), reg
 
 
 def add_context(h: DataFrame, ts: str = "timestamp") -> tuple[DataFrame, Registry]:
@@ -158,13 +168,13 @@ def add_context(h: DataFrame, ts: str = "timestamp") -> tuple[DataFrame, Registr
     return h.withColumns(new), reg
 
 
-def add_maintenance(h: DataFrame, actions: DataFrame, ts: str = "timestamp", at: str = "action_timestamp", kind: str = "action_type", span: str = "90 day") -> tuple[DataFrame, Registry]:
+def add_maintenance(h: DataFrame, actions: DataFrame, ts: str = "timestamp", at: str = "action_timestamp", kind: str = "action_type", span: str = "90 day", block: str | None = None) -> tuple[DataFrame, Registry]:
     """Days since the last action and the last reactive one (equal times count), and reactive actions in [t - 90 days, t)."""
-    reactive = actions.where(F.col(kind) == "Reactive")
-    d = as_of(h, actions.withColumn("_any", F.col(at)), "_any", ts=ts, right_ts=at)
-    d = as_of(d, reactive.withColumn("_re", F.col(at)), "_re", ts=ts, right_ts=at)
-    d = range_count(d, reactive, span, ts=ts, right_ts=at, out="reactive_actions_90d")
-    days = lambda c: (micros(ts) - micros(c)) / 8.64e10
+    reactive = F.col(kind) == "Reactive"
+    done = actions.select("machine_id", micros(at).alias("at"), F.lit(BEFORE).alias("rank"), micros(at).alias("any"), F.when(reactive, micros(at)).alias("reactive"))
+    events = done.unionByName(expiring(actions.where(reactive), span, "machine_id", at), allowMissingColumns=True)
+    d = among_events(h, events, last={"_any": "any", "_re": "reactive"}, total={"reactive_actions_90d": "n"}, ts=ts, block=block)
+    days = lambda c: (micros(ts) - F.col(c)) / 8.64e10
     d = d.withColumns({"days_since_maintenance": days("_any"), "days_since_reactive": days("_re")}).drop("_any", "_re")
     reg: Registry = {"days_since_maintenance": ("maintenance", "days since the last action"), "days_since_reactive": ("maintenance", "days since the last reactive action"), "reactive_actions_90d": ("maintenance", "reactive actions in the 90 days before")}
     return d, reg
@@ -175,24 +185,27 @@ def dictionary_frame(spark, reg: Registry, columns: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "position int, feature string, group string, description string")
 
 
-def build_features(minutes: DataFrame, actions: DataFrame, cfg: dict, reference_ends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def build_features(minutes: DataFrame, actions: DataFrame, cfg: dict, reference_ends: DataFrame | None = None, blocks: tuple[str, str, str] | None = ("5 day", "90 day", "360 day")) -> tuple[DataFrame, DataFrame]:
     """(hourly features with regime and in_baseline_period, dictionary).
 
     ``reference_ends`` (machine_id, reference_end) of a saved baseline keeps recent slices out of the
-    baseline period; without it the ends are taken from the minutes given.
+    baseline period; without it the ends are taken from the minutes given. ``blocks`` cuts a machine's history for
+    the windows over minutes, over hours and over events, so that the number of tasks follows the data; it needs
+    the regular grid that cleaning makes. None leaves a machine whole.
     """
     from millrace.operators.baseline import reference_ends as ends_of
 
+    of_minutes, of_hours, of_events = blocks or (None, None, None)
     h, reg = hourly_aggregate(minutes, cfg)
-    for step in (add_fleet_relative, lambda d: add_rolling_and_lags(d, cfg)):
+    for step in (add_fleet_relative, lambda d: add_rolling_and_lags(d, cfg, block=of_hours)):
         h, more = step(h)
         reg |= more
-    spectral, more = spectral_features(minutes, h, cfg)
+    spectral, more = spectral_features(minutes, None, cfg, block=of_minutes)
     reg |= more
     h = h.join(spectral, ["machine_id", "timestamp"], "left")
-    for step in (add_context, lambda d: add_maintenance(d, actions)):
+    for step in (add_context, lambda d: add_maintenance(d, actions, block=of_events)):
         h, more = step(h)
         reg |= more
     ends = reference_ends if reference_ends is not None else ends_of(minutes, cfg["baseline"]["reference_days"])
-    h = h.join(F.broadcast(ends), "machine_id", "left").withColumn("in_baseline_period", F.col("timestamp") <= F.col("reference_end")).drop("reference_end")
+    h = h.join(ends, "machine_id", "left").withColumn("in_baseline_period", F.col("timestamp") <= F.col("reference_end")).drop("reference_end")
     return h, dictionary_frame(minutes.sparkSession, reg, h.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.series import forward_fill, invalidate, reindex_grid
+from millrace.operators.series import blocked, forward_fill, invalidate, reindex_grid, steps_of
 
 
 def tag_regimes(df: DataFrame, cfg: dict, ts: str = "timestamp", rpm: str = "pump_rpm") -> DataFrame:
@@ -32,13 +32,18 @@ def regime_agreement(clean: DataFrame, source: DataFrame, label: str = "shift",
     return d.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("regime") == F.col(label)).cast("double")).alias("agreement"))
 
 
-def clean_telemetry(tel: DataFrame, cfg: dict, write: bool = True) -> tuple[DataFrame, dict]:
-    """(clean rows on the full grid, log of what each rule changed). Labels and the source's shift are taken out."""
+def clean_telemetry(tel: DataFrame, cfg: dict, write: bool = True, block: str | None = "5 day") -> tuple[DataFrame, dict]:
+    """(clean rows on the full grid, log of what each rule changed). Labels and the source's shift are taken out.
+
+    Gaps are filled in blocks of time, so that a machine's history is many tasks; None fills it in one.
+    """
     sensors, c = cfg["sensors"], cfg["cleaning"]
     d = tel.drop(*cfg["leakage_columns"], "shift", "day_of_week")
     grid = reindex_grid(d, cfg["validation"]["sampling_interval"])
     inside = invalidate(grid, c["valid_ranges"])
-    filled = forward_fill(inside, sensors, c["max_fill_rows"])
+    fill = lambda d, key: forward_fill(d, sensors, c["max_fill_rows"], key=key)
+    halo = steps_of(cfg["validation"]["sampling_interval"], c["max_fill_rows"])
+    filled = blocked(inside, fill, block, halo) if block else fill(inside, "machine_id")
     filled = filled.withColumn("is_sensor_dropout", F.coalesce("is_sensor_dropout", F.lit(1)).cast("byte")) if "is_sensor_dropout" in filled.columns else filled
     silver = tag_regimes(filled, cfg["regimes"])
     if write:

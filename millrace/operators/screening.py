@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import place_among
 from millrace.operators.splits import eligible
 
 #: Columns that are never features, and the order in which groups are kept.
@@ -30,25 +31,37 @@ def feature_stats(ds: DataFrame, features: list[str]) -> DataFrame:
 def correlations(ds: DataFrame, features: list[str]) -> np.ndarray:
     """Pearson correlations over the rows where both values are there; NaN where one does not vary.
 
-    Each task sums its batches' products with 0/1 masks into one matrix of features squared; the matrices are
-    added on the driver as they come in, so memory follows the features and not the rows. Columns are centred first.
+    Each task sums its batches' products with 0/1 masks into one matrix of features squared; the matrices are dealt by
+    rows and added by tasks of their own, so the driver gets one sum, whose size follows the features and not the rows.
+    Columns are centred first. Without rows all are NaN.
     """
     k = len(features)
     means = ds.agg(*(F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features))).first()
     centre = np.array([0.0 if m is None else m for m in means])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((4, k, k))
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for b in batches:
             x = np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in b.columns]) - centre
             m = (~np.isnan(x)).astype(float)
             x = np.nan_to_num(x)
-            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
+            got = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            total = got if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array([total[:, i].tobytes() for i in range(k)], pa.binary())], names=["i", "g"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held[i] = held.get(i, 0.0) + np.frombuffer(g)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["i", "g"])
 
     total = np.zeros((4, k, k))
-    for r in ds.select(*(F.col(f).cast("double") for f in features)).mapInArrow(run, "g binary").toLocalIterator():
-        total += np.frombuffer(r.g).reshape(4, k, k)
+    parts = ds.select(*(F.col(f).cast("double") for f in features)).mapInArrow(products, "i int, g binary")
+    for r in parts.repartition("i").mapInArrow(added, "i int, g binary").collect():
+        total[:, r.i] = np.frombuffer(r.g).reshape(4, k)
     n, sx, sxx, sxy = total
     with np.errstate(invalid="ignore", divide="ignore"):
         cov = sxy - sx * sx.T / n
@@ -56,60 +69,70 @@ def correlations(ds: DataFrame, features: list[str]) -> np.ndarray:
         return cov / np.sqrt(np.where(vx > 1e-24, vx, np.nan) * np.where(vy > 1e-24, vy, np.nan))
 
 
-def tree_accuracy(x: np.ndarray, y: np.ndarray, train: np.ndarray, leaves: int = 32, least: int = 20) -> float:
-    """Test accuracy of a one-feature classification tree, grown best split first by Gini impurity."""
-    xs, ys = x[train], y[train]
-    if not len(xs) or train.all():
+def tree_accuracy(train: np.ndarray, test: np.ndarray, leaves: int = 32, least: int = 20) -> float:
+    """Test accuracy of a one-feature classification tree over ordered bins, grown best split first by Gini impurity.
+
+    train and test hold the rows of each bin (a line) and class (a column). NaN without rows on either side.
+    """
+    if not train.sum() or not test.sum():
         return float("nan")
-    order = np.argsort(xs, kind="stable")
-    xs, ys = xs[order], ys[order]
-    k = int(y.max()) + 1
-    counts = np.vstack([np.zeros(k), np.cumsum(np.eye(k)[ys], axis=0)])
+    counts = np.vstack([np.zeros(train.shape[1]), np.cumsum(train, axis=0)])
+    size = counts.sum(axis=1)
     loss = lambda c: c.sum(axis=-1) - (c * c).sum(axis=-1) / np.maximum(c.sum(axis=-1), 1)
 
     def best(lo: int, hi: int) -> tuple[float, int]:
-        cut = np.arange(lo + least, hi - least + 1)
-        cut = cut[xs[cut - 1] < xs[np.minimum(cut, len(xs) - 1)]] if len(cut) else cut
+        cut = np.arange(lo + 1, hi)
+        cut = cut[(size[cut] - size[lo] >= least) & (size[hi] - size[cut] >= least)]
         if not len(cut):
             return 0.0, -1
         gain = loss(counts[hi] - counts[lo]) - loss(counts[cut] - counts[lo]) - loss(counts[hi] - counts[cut])
         i = int(gain.argmax())
         return float(gain[i]), int(cut[i])
 
-    parts = [(*best(0, len(xs)), 0, len(xs))]
+    parts = [(*best(0, len(train)), 0, len(train))]
     while len(parts) < leaves and max(p[0] for p in parts) > 1e-12:
         i = max(range(len(parts)), key=lambda j: parts[j][0])
         _, cut, lo, hi = parts.pop(i)
         parts += [(*best(lo, cut), lo, cut), (*best(cut, hi), cut, hi)]
-    parts.sort(key=lambda p: p[2])
-    edges = np.array([(xs[p[2] - 1] + xs[p[2]]) / 2 for p in parts[1:]])
-    label = np.array([int((counts[p[3]] - counts[p[2]]).argmax()) for p in parts])
-    return float((label[np.searchsorted(edges, x[~train], "left")] == y[~train]).mean())
+    right = sum(test[lo:hi, int((counts[hi] - counts[lo]).argmax())].sum() for *_, lo, hi in parts)
+    return float(right / test.sum())
 
 
-def identity_leak(ds: DataFrame, features: list[str], split_date: str) -> DataFrame:
+def identity_leak(ds: DataFrame, features: list[str], split_date: str, bins: int = 256) -> DataFrame:
     """(feature, machine_id_accuracy): how well each feature alone names the machine in later healthy hours.
 
-    One group a feature: its column of healthy hours goes to one task, all features in parallel. Missing values count as -999.
+    Values are put into ``bins`` bins between quantiles of the feature (values themselves where these are few), and rows are
+    counted by feature, bin, machine and side of the split before any task sees a feature: a tree grows on at
+    most bins x machines counts, whatever the number of rows. Missing values count as -999. Machines that are NULL are left out; a feature
+    with rows on one side of the date only has NULL, and without healthy rows there is no row.
     """
-    d = healthy_rows(ds).select(F.col("machine_id"), (F.col("timestamp") < F.lit(split_date).cast("timestamp_ntz")).alias("train"), F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("double"), F.lit(-999.0)).alias("x")) for f in features))).alias("v"))
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.coalesce(F.col(f).cast("double"), F.lit(-999.0)).alias("x")) for f in features)))
+    d = healthy_rows(ds).where("machine_id is not null").select(F.col("machine_id"), (F.col("timestamp") < F.lit(split_date).cast("timestamp_ntz")).alias("train"), each.alias("v")).select("machine_id", "train", "v.feature", "v.x")
+    cuts = d.groupBy("feature").agg(F.array_sort(F.array_distinct(F.percentile_approx("x", [i / bins for i in range(1, bins)], 10_000))).alias("cuts"))
+    n = d.join(cuts, "feature").groupBy("feature", place_among(F.col("x"), F.col("cuts")).alias("bin"), "machine_id", "train").agg(F.count(F.lit(1)).alias("n"))
 
     def fit(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["machine_id", "x"], kind="stable")
-        y = pd.factorize(g["machine_id"], sort=True)[0]
-        return pd.DataFrame({"feature": [g["feature"].iat[0]], "machine_id_accuracy": [tree_accuracy(g["x"].to_numpy(), y, g["train"].to_numpy())]})
+        y, names = pd.factorize(g["machine_id"], sort=True)
+        b, places = pd.factorize(g["bin"], sort=True)
+        sides = []
+        for side in (True, False):
+            m = np.zeros((len(places), len(names)))
+            on = (g["train"] == side).to_numpy()
+            np.add.at(m, (b[on], y[on]), g["n"].to_numpy()[on])
+            sides.append(m)
+        return pd.DataFrame({"feature": [g["feature"].iat[0]], "machine_id_accuracy": [tree_accuracy(*sides)]})
 
-    return d.select("machine_id", "train", "v.feature", "v.x").groupBy("feature").applyInPandas(fit, "feature string, machine_id_accuracy double")
+    return n.groupBy("feature").applyInPandas(fit, "feature string, machine_id_accuracy double")
 
 
 def identity_chance(ds: DataFrame, split_date: str) -> DataFrame:
     """One row: the share of the most frequent machine among later healthy hours."""
     n = healthy_rows(ds).where(F.col("timestamp") >= F.lit(split_date).cast("timestamp_ntz")).groupBy("machine_id").count()
-    return n.agg((F.max("count") / F.sum("count")).alias("chance"))
+    return n.agg(F.try_divide(F.max("count"), F.sum("count")).alias("chance"))
 
 
 def multi_feature_identity(ds: DataFrame, features: list[str], split_date: str, seed: int = 42, trees: int = 40) -> float:
-    """Accuracy of a random forest that names the machine from all features; missing values are medians.
+    """Accuracy of a random forest that names the machine from all features; missing values are medians; NaN where a side of the date has no rows.
 
     Spark's boosted trees have two classes only, so the figure is not comparable with that of a boosted model.
     """
@@ -121,6 +144,8 @@ def multi_feature_identity(ds: DataFrame, features: list[str], split_date: str,
     some = [f for f, n in zip(features, d.agg(*(F.count(f) for f in features)).first(), strict=True) if n]
     before = F.col("timestamp") < F.lit(split_date).cast("timestamp_ntz")
     train, test = d.where(before), d.where(~before)
+    if not some or train.isEmpty() or test.isEmpty():
+        return float("nan")
     imputer = Imputer(inputCols=some, outputCols=[f"i_{f}" for f in some], strategy="median").fit(train)
     index = StringIndexer(inputCol="machine_id", outputCol="label", handleInvalid="skip").fit(train)
     put = lambda x: VectorAssembler(inputCols=[f"i_{f}" for f in some], outputCol="features").transform(index.transform(imputer.transform(x)))
@@ -145,7 +170,7 @@ def select_features(ds: DataFrame, dictionary: DataFrame, cfg: dict) -> tuple[li
             status[c] = "dropped_mostly_missing"
         elif (stats[c].std or 0) < 1e-9:
             status[c] = "dropped_constant"
-        elif accuracy.get(c, 0) > leak["single_feature_flag_accuracy"]:
+        elif (accuracy.get(c) or 0) > leak["single_feature_flag_accuracy"]:
             status[c] = "dropped_identity_leak"
         else:
             status[c] = "kept"

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import divided, micros, outside
+from millrace.functions.columns import divided, fresh, micros, outside
 
 
 def reindex_grid(df: DataFrame, step: str = "1 minute", key: str = "machine_id", ts: str = "timestamp", flag: str = "was_missing_row") -> DataFrame:
@@ -28,8 +28,9 @@ def reindex_grid(df: DataFrame, step: str = "1 minute", key: str = "machine_id",
     chunks = ends.select(key, "lo", steps.alias("steps"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(steps / a_day))).alias("chunk"))
     numbers = F.sequence(F.col("chunk") * a_day, F.least(F.col("steps"), (F.col("chunk") + 1) * a_day - 1))
     grid = chunks.select(key, "lo", F.explode(numbers).alias("i")).select(key, (F.col("lo") + shift(F.col("i"))).alias(ts))
-    marked = df.withColumn("_there", F.lit(True))
-    out = grid.join(marked, [key, ts], "left").withColumn(flag, F.col("_there").isNull()).drop("_there")
+    (there,) = fresh(df, "_there")
+    marked = df.withColumn(there, F.lit(True))
+    out = grid.join(marked, [key, ts], "left").withColumn(flag, F.col(there).isNull()).drop(there)
     return out.select(*df.columns, flag)
 
 
@@ -39,6 +40,12 @@ def micros_of(step: str) -> int:
     return int(n) * {"second": 10**6, "minute": 6 * 10**7, "hour": 36 * 10**8, "day": 864 * 10**8}[unit.rstrip("s")]
 
 
+def steps_of(step: str, n: int) -> str:
+    """n steps as '<n> <unit>'."""
+    k, unit = step.split()
+    return f"{int(k) * n} {unit}"
+
+
 def invalidate(df: DataFrame, ranges: dict[str, list[float]], count: str = "n_invalid_sensors") -> DataFrame:
     """Values outside their inclusive range become NULL, never clipped; ``count`` says how many in the row."""
     bad = {c: outside(c, lo, hi) for c, (lo, hi) in ranges.items()}
@@ -53,25 +60,35 @@ def by_time(key: str, ts: str) -> Window:
 def forward_fill(df: DataFrame, cols: list[str], limit: int, key: str = "machine_id", ts: str = "timestamp", flag: str = "was_imputed") -> DataFrame:
     """The last value of at most ``limit`` rows before, where a value is missing; ``flag`` marks rows that got any."""
     w = by_time(key, ts).rowsBetween(-limit, 0)
-    filled = df.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
+    temp = dict(zip(cols, fresh(df, *(f"_f_{c}" for c in cols)), strict=True))
+    filled = df.withColumns({t: F.last(c, ignorenulls=True).over(w) for c, t in temp.items()})
     got = F.lit(False)
-    for c in cols:
-        got = got | (F.col(c).isNull() & F.col(f"_f_{c}").isNotNull())
-    return filled.withColumn(flag, got).withColumns({c: F.col(f"_f_{c}") for c in cols}).drop(*(f"_f_{c}" for c in cols))
+    for c, t in temp.items():
+        got = got | (F.col(c).isNull() & F.col(t).isNotNull())
+    return filled.withColumn(flag, got).withColumns({c: F.col(t) for c, t in temp.items()}).drop(*temp.values())
 
 
-def interpolate_both(df: DataFrame, col: str, limit: int, key: str = "machine_id", ts: str = "timestamp", out: str = "interpolated") -> DataFrame:
-    """Linear by rows between neighbours, for the ``limit`` rows nearest to either; ends take the nearest value. Not causal: for exploration only."""
+def interpolate_both(df: DataFrame, col: str, limit: int | None, key: str = "machine_id", ts: str = "timestamp", out: str = "interpolated", both: bool = True) -> DataFrame:
+    """Linear by rows between neighbours, for the ``limit`` rows nearest to either (all, if None); ends take the nearest value.
+
+    Without ``both``, rows before the first value stay missing. Not causal: for exploration only.
+    """
     w = by_time(key, ts)
-    n = F.row_number().over(w)
-    d = df.withColumn("_n", n)
+    n, p, q, i, j = fresh(df, "_n", "_p", "_q", "_i", "_j")
+    d = df.withColumn(n, F.row_number().over(w))
     before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    at = F.when(F.col(col).isNotNull(), F.col("_n"))
-    d = d.withColumns({"_p": F.last(col, True).over(before), "_q": F.first(col, True).over(after), "_i": F.last(at, True).over(before), "_j": F.first(at, True).over(after)})
-    near = ((F.col("_n") - F.col("_i")) <= limit) | ((F.col("_j") - F.col("_n")) <= limit)
-    line = F.col("_p") + (F.col("_q") - F.col("_p")) * (F.col("_n") - F.col("_i")) / F.nullif(F.col("_j") - F.col("_i"), F.lit(0))
-    value = F.when(F.col(col).isNotNull(), F.col(col)).when(near, F.coalesce(line, F.col("_p"), F.col("_q")))
-    return d.withColumn(out, value).drop("_n", "_p", "_q", "_i", "_j")
+    at = F.when(F.col(col).isNotNull(), F.col(n))
+    d = d.withColumns({p: F.last(col, True).over(before), q: F.first(col, True).over(after), i: F.last(at, True).over(before), j: F.first(at, True).over(after)})
+    near = F.lit(True) if limit is None else ((F.col(n) - F.col(i)) <= limit) | ((F.col(j) - F.col(n)) <= limit)
+    line = F.col(p) + (F.col(q) - F.col(p)) * (F.col(n) - F.col(i)) / F.nullif(F.col(j) - F.col(i), F.lit(0))
+    value = F.when(F.col(col).isNotNull(), F.col(col)).when(near, F.coalesce(line, F.col(p), F.col(q) if both else F.lit(None)))
+    return d.withColumn(out, value).drop(n, p, q, i, j)
+
+
+def trailing_median(df: DataFrame, col: str, rows: int = 15, least: int | None = None, key: str = "machine_id", ts: str = "timestamp", out: str = "rolling_median") -> DataFrame:
+    """The median of the last ``rows`` rows; NULL below ``least`` values (by default all of them must be there)."""
+    frame = by_time(key, ts).rowsBetween(-(rows - 1), 0)
+    return df.withColumn(out, F.when(F.count(col).over(frame) >= (rows if least is None else least), F.percentile(col, 0.5).over(frame)))
 
 
 def trailing(cols: list[str], windows: list[int], key: str, ts: str, stats: tuple[str, ...] = ("mean", "std", "min", "max", "slope"), position: str = "_row") -> dict[str, Column]:
@@ -98,21 +115,24 @@ def lags(cols: list[str], steps: list[int], key: str, ts: str) -> dict[str, Colu
 
 def with_rolling_and_lags(df: DataFrame, roll: list[str], lag: list[str], windows: list[int], steps: list[int], key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
     """All trailing statistics and lags in one select, hence one sort of one shuffle."""
-    d = df.withColumn("_row", F.row_number().over(by_time(key, ts)).cast("double"))
-    return d.select(*df.columns, *(e.alias(n) for n, e in (trailing(roll, windows, key, ts) | lags(lag, steps, key, ts)).items()))
+    (row,) = fresh(df, "_row")
+    d = df.withColumn(row, F.row_number().over(by_time(key, ts)).cast("double"))
+    return d.select(*df.columns, *(e.alias(n) for n, e in (trailing(roll, windows, key, ts, position=row) | lags(lag, steps, key, ts)).items()))
 
 
 def blocked(df: DataFrame, op: Callable[[DataFrame, str], DataFrame], block: str, halo: str, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
     """Run a causal window operator over blocks of time, each with the rows of ``halo`` before it.
 
-    ``op`` gets the rows and the name of the key to partition by. The rows of the halo are given to it and
-    taken out again; the result equals that over whole keys if no window reaches further back than the halo.
+    ``op`` gets the rows and the name of the key to partition by, and keeps all their columns. The rows of the
+    halo are given to it and taken out again; the result equals that over whole keys if no window reaches further back
+    than the halo. Windows by rows reach as far as their rows do, so they need a regular grid.
     """
     size, before = micros_of(block), micros_of(halo)
+    home, number, part = fresh(df, "_home", "_block", "_part")
     at = F.floor(micros(ts) / size)
     reach = F.floor((micros(ts) + before) / size)
-    d = df.withColumn("_home", at).withColumn("_block", F.explode(F.sequence(at, reach))).withColumn("_part", F.struct(key, "_block"))
-    return op(d, "_part").where("_home = _block").drop("_home", "_block", "_part")
+    d = df.withColumn(home, at).withColumn(number, F.explode(F.sequence(at, reach))).withColumn(part, F.struct(key, number))
+    return op(d, part).where(F.col(home) == F.col(number)).drop(home, number, part)
 
 
 def islands(df: DataFrame, state: Column, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
@@ -140,39 +160,83 @@ def isolated_share(df: DataFrame, mask: Column, key: str = "machine_id", ts: str
 def hampel(df: DataFrame, col: str, window: int = 15, k: float = 5.0, least: int = 5, key: str = "machine_id", ts: str = "timestamp", out: str = "is_outlier") -> DataFrame:
     """Marks values further than k * 1.4826 * MAD from the centred rolling median. Not causal: for exploration only."""
     half = window // 2
+    middle, apart, scale = fresh(df, "_m", "_d", "_s")
     frame = by_time(key, ts).rowsBetween(-half, half)
     median = lambda c: F.when(F.count(c).over(frame) >= least, F.percentile(c, 0.5).over(frame))
-    d = df.withColumn("_m", median(col)).withColumn("_d", F.abs(F.col(col) - F.col("_m")))
-    d = d.withColumn("_s", F.nullif(median("_d"), F.lit(0.0)) * 1.4826)
-    return d.withColumn(out, F.coalesce(F.col("_d") > F.col("_s") * k, F.lit(False))).drop("_m", "_d", "_s")
+    d = df.withColumn(middle, median(col)).withColumn(apart, F.abs(F.col(col) - F.col(middle)))
+    d = d.withColumn(scale, F.nullif(median(apart), F.lit(0.0)) * 1.4826)
+    return d.withColumn(out, F.coalesce(F.col(apart) > F.col(scale) * k, F.lit(False))).drop(middle, apart, scale)
+
+
+#: Where an event stands among rows of its own time.
+BEFORE, AFTER = 0, 2
+
 
+def among_events(left: DataFrame, events: DataFrame, last: dict[str, str] | None = None, first: dict[str, str] | None = None, total: dict[str, str] | None = None, key: str = "machine_id", ts: str = "timestamp", block: str | None = None) -> DataFrame:
+    """``left`` with what the events of its key say at each row's time, all in one union, one shuffle and one sorted window.
 
-def as_of(left: DataFrame, right: DataFrame, value: str, key: str = "machine_id", ts: str = "timestamp", right_ts: str | None = None, out: str | None = None, exact: bool = True, forward: bool = False) -> DataFrame:
-    """``left`` with the value of the nearest right row of its key, before (or after) it; equal times match if ``exact``.
+    ``events`` has the key, ``at`` (microseconds), ``rank`` (BEFORE or AFTER rows of the same time) and value columns.
+    last, first and total map new columns to value columns: the last value before the row, the first one
+    after it, the sum of those before it (0 without any). Of values with one time the greatest counts as last and the least as first. Nothing
+    is broadcast and no pairs are made, however many rows either side has. NULL keys have no events.
 
-    Both sides go through one union, one shuffle and one sorted window: nothing is broadcast and no
-    pairs are made, however many rows either side has. Of right rows with one time the greatest value counts backward, the least forward.
+    With ``block``, each key's time is cut into blocks that are windows of their own: the last and first values and the
+    sums that cross a border are found once a block, from the events alone, and stand at its ends as events.
     """
-    right_ts, out = right_ts or ts, out or value
-    kind = left.schema[ts].dataType
-    a = left.withColumns({"_v": F.lit(None).cast(right.schema[value].dataType), "_t": F.col(ts), "_side": F.lit(1)})
-    b = right.where(F.col(right_ts).isNotNull()).select(F.col(key), F.col(right_ts).cast(kind).alias("_t"), F.col(value).alias("_v"), F.lit((0 if exact else 2) if not forward else (2 if exact else 0)).alias("_side"))
-    u = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_t", "_side", "_v")
-    found = F.first("_v", True).over(w.rowsBetween(1, Window.unboundedFollowing)) if forward else F.last("_v", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return u.withColumn("_found", found).where("_side = 1").select(*left.columns, F.col("_found").alias(out))
-
-
-def range_count(left: DataFrame, right: DataFrame, span: str, key: str = "machine_id", ts: str = "timestamp", right_ts: str = "timestamp", out: str = "n") -> DataFrame:
-    """``left`` with the number of right rows of its key in [t - span, t): a difference of two running counts, in one sorted window."""
-    kind = left.schema[ts].dataType
-    b = right.where(F.col(right_ts).isNotNull()).select(key, F.col(right_ts).cast(kind).alias("_t"))
-    u = left.withColumns({"_t": F.col(ts), "_d": F.lit(0), "_side": F.lit(0)})
-    u = u.unionByName(b.withColumns({"_d": F.lit(1), "_side": F.lit(1)}), allowMissingColumns=True)
-    u = u.unionByName(b.withColumns({"_t": F.col("_t") + F.expr(f"interval {span}"), "_d": F.lit(-1), "_side": F.lit(1)}), allowMissingColumns=True)
-    # A row at the event's own time comes before it; a row at the end of the span is still inside.
-    w = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    return u.withColumn("_n", F.sum("_d").over(w)).where(F.col("_d") == 0).select(*left.columns, F.col("_n").cast("long").alias(out))
+    last, first, total = last or {}, first or {}, total or {}
+    values = [c for c in events.columns if c not in (key, "at", "rank")]
+    k, at, rank, mine, number, whole = (f"__{x}" for x in ("key", "at", "rank", "mine", "block", "row"))
+    e = events.select(F.col(key).alias(k), F.col("at").alias(at), F.col("rank").alias(rank), *(F.col(c).alias(f"__v_{c}") for c in values)).where(f"{at} is not null and {k} is not null")
+    rows = left.select(F.struct(*(F.col(f"`{c}`") for c in left.columns)).alias(whole), F.col(key).alias(k), micros(ts).alias(at), F.lit(1).alias(rank))
+
+    def found(rows: DataFrame, e: DataFrame, by: list[str]) -> DataFrame:
+        u = rows.withColumn(mine, F.lit(True)).unionByName(e.withColumn(mine, F.lit(False)), allowMissingColumns=True)
+        w = Window.partitionBy(*by).orderBy(at, rank, *(f"__v_{c}" for c in values))
+        past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+        made = {n: F.last(f"__v_{c}", True).over(past) for n, c in last.items()} | {n: F.first(f"__v_{c}", True).over(future) for n, c in first.items()}
+        made |= {n: F.coalesce(F.sum(f"__v_{c}").over(past), F.lit(0)) for n, c in total.items()}
+        return u.select("*", *(x.alias(f"__n_{n}") for n, x in made.items())).where(mine)
+
+    by = [k]
+    if block:
+        size = micros_of(block)
+        rows, e = (x.withColumn(number, F.floor(F.col(at) / size)) for x in (rows, e))
+        ends = rows.select(k, number).distinct().select(k, number, F.explode(F.array(F.lit(0), F.lit(1))).alias("__end"))
+        ends = ends.select(k, number, "__end", ((F.col(number) + F.col("__end")) * size).alias(at), F.lit(-1).alias(rank))
+        crossing = found(ends, e.drop(number), [k])
+        carried = {n: (c, 0) for n, c in (last | total).items()} | {n: (c, 1) for n, c in first.items()}
+        parts = [crossing.where(F.col("__end") == end).select(k, number, at, F.lit(-2 if end == 0 else -1).alias(rank), *(F.col(f"__n_{n}").alias(f"__v_{c}") for n, (c, x) in carried.items() if x == end)) for end in (0, 1)]
+        e = e.unionByName(parts[0], allowMissingColumns=True).unionByName(parts[1], allowMissingColumns=True)
+        by = [k, number]
+    return found(rows, e, by).select(*(F.col(whole)[c].alias(c) for c in left.columns), *(F.col(f"__n_{n}").alias(n) for n in (*last, *first, *total)))
+
+
+def as_of(left: DataFrame, right: DataFrame, value: str, key: str = "machine_id", ts: str = "timestamp", right_ts: str | None = None, out: str | None = None, exact: bool = True, forward: bool = False, block: str | None = None) -> DataFrame:
+    """``left`` with the value of the nearest right row of its key, before (or after) it; equal times match if ``exact``."""
+    out = out or value
+    rank = BEFORE if exact != forward else AFTER
+    e = right.select(F.col(key), micros(right_ts or ts).alias("at"), F.lit(rank).alias("rank"), F.col(value).alias("v"))
+    return among_events(left.drop(out) if out in left.columns else left, e, **{"first" if forward else "last": {out: "v"}}, key=key, ts=ts, block=block)
+
+
+def expiring(right: DataFrame, span: str, key: str, right_ts: str) -> DataFrame:
+    """Events (at, rank, n) whose running sum at t is the number of rows in [t - span, t)."""
+    b = right.select(key, micros(right_ts).alias("at"), F.lit(AFTER).alias("rank"))
+    return b.withColumn("n", F.lit(1)).unionByName(b.withColumns({"at": F.col("at") + micros_of(span), "n": F.lit(-1)}))
+
+
+def range_count(left: DataFrame, right: DataFrame, span: str, key: str = "machine_id", ts: str = "timestamp", right_ts: str = "timestamp", out: str = "n", block: str | None = None) -> DataFrame:
+    """``left`` with the number of right rows of its key in [t - span, t): a difference of two running counts."""
+    return among_events(left, expiring(right, span, key, right_ts), total={out: "n"}, key=key, ts=ts, block=block)
+
+
+def inside_any(left: DataFrame, spans: DataFrame, start: str, stop: str, key: str = "machine_id", ts: str = "timestamp", out: str = "inside", block: str | None = None) -> DataFrame:
+    """``left`` with whether its time lies in any span [start, stop) of its key; spans that end before they begin are none."""
+    good = spans.where(F.col(start) < F.col(stop))
+    ends = [good.select(key, micros(c).alias("at"), F.lit(BEFORE).alias("rank"), F.lit(n).alias("n")) for c, n in ((start, 1), (stop, -1))]
+    (count,) = fresh(left, "_open")
+    d = among_events(left, ends[0].unionByName(ends[1]), total={count: "n"}, key=key, ts=ts, block=block)
+    return d.withColumn(out, F.col(count) > 0).drop(count)
 
 
 def over_time(key: str, ts: str, span: str) -> Window:

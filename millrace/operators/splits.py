@@ -22,7 +22,7 @@ def leave_one_machine_out(machines: DataFrame, failures: DataFrame, key: str = "
 
 def assign_folds(rows: DataFrame, folds: DataFrame, key: str = "machine_id") -> DataFrame:
     """``rows`` with the fold in which their machine is tested."""
-    return rows.join(F.broadcast(folds.select(F.col("test_machine").alias(key), F.col("fold").cast("short").alias("fold"))), key, "left")
+    return rows.join(folds.select(F.col("test_machine").alias(key), F.col("fold").cast("short").alias("fold")), key, "left")
 
 
 def time_holdout(start: str, ts: str = "timestamp") -> Column:

@@ -5,26 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import hours_between
-from millrace.operators.series import as_of, range_count
+from millrace.functions.columns import hours_between, micros
+from millrace.operators.series import AFTER, among_events
 
 
-def build_targets(rows: DataFrame, failures: DataFrame, cfg: dict, data_end: DataFrame | None = None, grain: str = "1 hour", key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
+def build_targets(rows: DataFrame, failures: DataFrame, cfg: dict, data_end: DataFrame | None = None, grain: str = "1 hour", key: str = "machine_id", ts: str = "timestamp", block: str | None = None) -> DataFrame:
     """Nine target columns for each (key, ts), which stamps the end of the period ``grain`` before it.
 
-    The next failure is the first at or after ts, the previous one the last before it; each comes by
+    The next failure is the first at or after ts, the previous one the last before it; both come by
     one sorted window over rows and events together. ``data_end`` (key, data_end) bounds what was observed; by default the last
     row of each key. Rows before the end of the last repair are in repair: their remaining life and warning are unknown.
     """
     t = cfg["targets"]
     cap, horizon = float(t["rul_cap_hours"]), float(t["warning_horizon_hours"])
-    f = failures.withColumn("_event", F.struct(F.col("failure_timestamp").alias("at"), F.col("event_id").alias("id"), F.col("degradation_start_timestamp").alias("start"), F.col("failure_mode").alias("mode"), F.col("downtime_hours").cast("double").alias("down")))
-    d = as_of(rows.select(key, ts), f, "_event", key, ts, "failure_timestamp", "next", forward=True)
-    d = as_of(d, f, "_event", key, ts, "failure_timestamp", "previous", exact=False)
-    d = range_count(d, failures, "36500 day", key, ts, "failure_timestamp", "life_cycle")
+    event = F.struct(F.col("failure_timestamp").alias("at"), F.col("event_id").alias("id"), F.col("degradation_start_timestamp").alias("start"), F.col("failure_mode").alias("mode"), F.col("downtime_hours").cast("double").alias("down"))
+    f = failures.select(key, micros("failure_timestamp").alias("at"), F.lit(AFTER).alias("rank"), event.alias("event"), F.lit(1).alias("n"))
+    d = among_events(rows.select(key, ts), f, last={"previous": "event"}, first={"next": "event"}, total={"life_cycle": "n"}, key=key, ts=ts, block=block)
     end = F.max(ts).over(Window.partitionBy(key))
     if data_end is not None:
-        d = d.join(F.broadcast(data_end.select(key, F.col("data_end").alias("_end"))), key, "left")
+        d = d.join(data_end.select(key, F.col("data_end").alias("_end")), key, "left")
         end = F.col("_end")
     begin = F.col(ts) - F.expr(f"interval {grain}")
     htf = hours_between(F.col("next.at"), F.col(ts))

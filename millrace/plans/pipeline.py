@@ -35,6 +35,7 @@ def run(spark: SparkSession, cfg: dict, tables: dict[str, DataFrame] | None = No
     b = cfg["baseline"]
     base = RegimeBaseline(b["signals"], b["reference_days"], b["min_samples_per_cell"]).fit(silver)
     base.save(f"{out}/baseline.parquet")
+    base.release()
     base = RegimeBaseline.load(spark, f"{out}/baseline.parquet", b["signals"])
     z = write_layer(base.transform(silver), f"{mid}/silver_z.parquet")
     features, dictionary = build_features(z, valid["maintenance"], cfg, base.ends)

@@ -107,12 +107,49 @@ def time_holdout(spark, d):
 # Validation
 
 
-@query("""select case when shift not in ('Day', 'Night', 'Weekend') then 'shift' end as bad_shift, count(*) as n, count(distinct machine_id) as machines from tel group by 1""", *TELG)
+def spoiled(spark: SparkSession, d: str) -> DataFrame:
+    """The telemetry analog with a fault of each kind on some rows."""
+    t, e = a.telemetry(spark, d), F.col("event_id")
+    new = {"machine_id": F.when(e % 17 == 0, "PUMP_1").when(e % 101 == 0, None).otherwise(F.col("machine_id")), "timestamp": F.when(e % 19 != 0, F.col("timestamp")), "is_sensor_dropout": F.when(e % 23 == 0, 2).otherwise(F.col("is_sensor_dropout")), "day_of_week": F.when(e % 29 == 0, 9).otherwise(F.col("day_of_week"))}
+    sensors = {s: F.when(e % (31 + 2 * i) == 0, "high").otherwise(F.col(s).cast("string")) for i, s in enumerate(a.SENSORS)}
+    return t.withColumns(new | sensors)
+
+
+_PATTERN, _SHIFTS = DEFAULTS["validation"]["machine_id_pattern"], DEFAULTS["validation"]["shifts"]
+
+
+@query(f"""select coalesce(r, '-') as reason, count(*) as n from (select unnest(case when len(rs) = 0 then [null] else rs end) as r from (select list_filter([
+  case when m is null then 'machine_id: not_nullable' end, case when not regexp_matches(m, '{_PATTERN}') then 'machine_id: str_matches(''{_PATTERN}'')' end, case when event_id % 19 = 0 then 'timestamp: not_nullable' end,
+  {", ".join(f"case when event_id % {31 + 2 * i} = 0 then '{s}: double' end" for i, s in enumerate(a.SENSORS))},
+  case when event_id % 23 = 0 then 'is_sensor_dropout: isin([0, 1])' end, case when shift not in ('Day', 'Night', 'Weekend') then 'shift: isin([''Day'', ''Night'', ''Weekend''])' end, case when event_id % 29 = 0 then 'day_of_week: in_range(0, 6)' end], lambda x: x is not null) as rs
+  from (select *, case when event_id % 17 = 0 then 'PUMP_1' when event_id % 101 = 0 then null else machine_id end as m from tel))) group by 1""", *TELG)
 def contract_quarantine(spark, d):
-    rules = [r for r in quality.telemetry_rules(DEFAULTS)]
-    good, bad = quality.split_valid(a.telemetry(spark, d), rules)
-    tag = lambda df, v: df.agg(F.lit(v).alias("bad_shift"), F.count(F.lit(1)).alias("n"), F.count_distinct("machine_id").alias("machines"))
-    return tag(good, None).unionByName(tag(bad.where(F.col(quality.REASON).startswith("shift: ")), "shift"))
+    """Rows by broken rule ('-': none), from the valid rows and the reasons of the quarantined ones."""
+    good, bad = quality.split_valid(spoiled(spark, d), quality.telemetry_rules(DEFAULTS))
+    r = bad.select(F.explode(F.split(quality.REASON, "; ")).alias("reason")).unionByName(good.select(F.lit("-").alias("reason")))
+    return r.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select event_id, concat_ws('; ', case when event_id is null then 'event_id: not_nullable' end, case when n <> 1 or event_id is null then 'event_id: field_uniqueness' end, case when down <= 0 or down is null then 'downtime_hours: greater_than(0)' end,
+  case when cost < 0 then 'repair_cost_usd: greater_than_or_equal_to(0)' end, case when st >= failure_timestamp then 'failure_timestamp: degradation must start before failure' end, case when mode = 'rust' then 'mode' end) as reasons from
+  (select *, count(*) over (partition by event_id) as n from (select case when k % 9 = 0 then null when k % 7 = 0 then 'again' else event_id end as event_id, failure_timestamp, case when k % 5 = 0 then failure_timestamp + interval 1 hour else degradation_start_timestamp end as st,
+  case when k % 4 = 0 then -1.0 when k % 11 = 0 then null else downtime_hours end as down, case when k % 3 = 0 then null else 10.0 - k % 8 * 2 end as cost, case when k % 6 = 0 then 'rust' else failure_mode end as mode from (select *, cast(event_id as bigint) as k from fail)))""", a.TEL, a.FAIL)
+def failure_contract(spark, d):
+    """Reasons of each failure event against the contract of failures, on events with faults of each kind."""
+    f, k = a.failures(spark, d), F.col("event_id").cast("long")
+    f = f.withColumn("k", k).withColumns({"event_id": F.when(F.col("k") % 9 == 0, None).when(F.col("k") % 7 == 0, "again").otherwise(F.col("event_id")), "degradation_start_timestamp": F.when(F.col("k") % 5 == 0, F.col("failure_timestamp") + F.expr("interval 1 hour")).otherwise(F.col("degradation_start_timestamp")), "downtime_hours": F.when(F.col("k") % 4 == 0, -1.0).when(F.col("k") % 11 == 0, None).otherwise(F.col("downtime_hours")), "repair_cost_usd": F.when(F.col("k") % 3 != 0, F.lit(10.0) - F.col("k") % 8 * 2), "failure_mode": F.when(F.col("k") % 6 == 0, "rust").otherwise(F.col("failure_mode"))})
+    short = F.transform("reasons", lambda x: F.when(x.startswith("failure_mode: "), "mode").otherwise(x))
+    order = F.array_append(F.filter(short, lambda x: x != "mode"), F.when(F.array_contains(short, "mode"), "mode"))
+    return quality.with_reasons(f, quality.failure_rules(DEFAULTS)).select("event_id", F.concat_ws("; ", order).alias("reasons"))
+
+
+@query("""select action_id, concat_ws('; ', case when n <> 1 then 'action_id: field_uniqueness' end, case when action_type = 'Guess' then 'action_type' end, case when component_replaced is null then 'component_replaced' end, case when cost < 0 then 'cost_usd: greater_than_or_equal_to(0)' end) as reasons from
+  (select *, count(*) over (partition by action_id) as n from (select case when k % 7 = 0 then 'again' else action_id end as action_id, case when k % 4 = 0 then 'Guess' else action_type end as action_type, case when k % 5 = 0 then null else component_replaced end as component_replaced, case when k % 3 = 0 then -cost_usd else cost_usd end as cost from (select *, cast(action_id as bigint) as k from act)))""", a.TEL, a.ACT)
+def maintenance_contract(spark, d):
+    m = a.maintenance(spark, d).withColumn("k", F.col("action_id").cast("long"))
+    m = m.withColumns({"action_id": F.when(F.col("k") % 7 == 0, "again").otherwise(F.col("action_id")), "action_type": F.when(F.col("k") % 4 == 0, "Guess").otherwise(F.col("action_type")), "component_replaced": F.when(F.col("k") % 5 != 0, F.col("component_replaced")), "cost_usd": F.when(F.col("k") % 3 == 0, -F.col("cost_usd")).otherwise(F.col("cost_usd"))})
+    short = F.transform("reasons", lambda x: F.when(x.startswith("action_type: "), "action_type").when(x.startswith("component_replaced: "), "component_replaced").otherwise(x))
+    return quality.with_reasons(m, quality.maintenance_rules(DEFAULTS)).select("action_id", F.concat_ws("; ", short).alias("reasons"))
 
 
 @query(f"""select machine_id, {T}, count(*) as n_reasons from (select machine_id, {T}, row_number() over (partition by machine_id, {T} order by event_id) as nth from
@@ -148,9 +185,22 @@ def floor_report(spark, d):
     return quality.floor_counts(a.telemetry(spark, d), DEFAULTS["validation"]["sensor_floor"])
 
 
-@query("select sensor, count(*) filter (where v < lo) as n_below, count(*) filter (where v > hi) as n_above, round(min(v), 6) as lowest, round(max(v), 6) as highest from (" + " union all ".join(f"select '{s}' as sensor, {s} as v, {lo} as lo, {hi} as hi from tel" for s, (lo, hi) in RANGES.items()) + ") group by sensor", *TELG)
+@query("select sensor, count(*) filter (where v < lo) as n_below, count(*) filter (where v > hi) as n_above, round(min(v), 6) as lowest, round(max(v), 6) as highest, round(avg(bad) filter (where v < lo or v > hi), 6) as share_degraded from (" + " union all ".join(f"select '{s}' as sensor, {s} as v, {lo} as lo, {hi} as hi, cast(event_type = 'error' as double) as bad from tel" for s, (lo, hi) in RANGES.items()) + ") group by sensor", *TELG)
 def range_profile(spark, d):
-    return rounded(quality.range_profile(a.telemetry(spark, d), RANGES))
+    return rounded(quality.range_profile(a.telemetry(spark, d), RANGES, F.col("event_type") == "error"))
+
+
+@query(f'select machine_id, min({T}) as "first", max({T}) as "last", count(*) as n, cast(floor((epoch_us(max({T})) - epoch_us(min({T}))) / 3600000000) as bigint) + 1 as n_expected from cell group by 1', *CELLG)
+def expected_rows(spark, d):
+    return quality.expected_rows(a.cells(spark, d), "1 hour")
+
+
+@query("""select id, dimension, rows_affected from (select unnest(['DQ-01', 'DQ-02', 'DQ-03', 'DQ-04', 'DQ-05', 'DQ-06', 'DQ-07', 'DQ-08', 'DQ-09']) as id, unnest(['completeness', 'validity', 'validity', 'context', 'redundancy', 'label', 'label', 'coverage', 'schema']) as dimension,
+  unnest([count(*) filter (where is_sensor_dropout = 1), count(*) filter (where pressure_bar > 350), count(*) filter (where temp_celsius < 10), count(*) filter (where pump_rpm = 1000), count(*) filter (where vibration_x_g = vibration_y_g),
+  (select count(*) from fail where failure_timestamp = date_trunc('day', failure_timestamp)), 0, (select count(*) from act, (select min("timestamp") as t0, max("timestamp") as t1 from tel) where not action_timestamp between t0 and t1 + interval 1 day), 2]) as rows_affected from tel)""", a.TEL, a.FAIL, a.ACT)
+def issue_register(spark, d):
+    r = quality.issue_register(a.telemetry(spark, d), a.failures(spark, d), a.maintenance(spark, d), DEFAULTS)
+    return r.select("id", "dimension", "rows_affected")
 
 
 @query(f"select count(*) filter (where was_missing_row) as n_missing, count(*) filter (where was_missing_row <> (isodow({T}) = 1)) as n_mismatch from grid", *GRIDG)
@@ -182,10 +232,11 @@ def referential_semi_anti(spark, d):
     return good.withColumn("kind", F.lit("known")).unionByName(bad.drop(quality.REASON).withColumn("kind", F.lit("orphan"))).select("o_orderkey", "o_custkey", "kind")
 
 
-@query(f"select count(*) filter (where action_timestamp between t0 and t1 + interval 1 day) as n_inside, count(*) as n_events from act, (select min({T}) as t0, max({T}) as t1 from tel where {T} < timestamp '2024-01-10')", a.TEL, a.ACT)
+@query(f"select count(*) filter (where moved between t0 and t1 + interval 1 day) as n_inside, count(*) as n_events from (select action_timestamp + to_days(cast(cast(action_id as bigint) % 5 * 4 - 8 as int)) as moved from act), (select min({T}) as t0, max({T}) as t1 from tel)", a.TEL, a.ACT)
 def coverage_window(spark, d):
-    t = a.telemetry(spark, d).where(F.col("timestamp") < F.lit("2024-01-10").cast("timestamp_ntz"))
-    return quality.coverage(a.maintenance(spark, d), "action_timestamp", t)
+    """Actions, some of them moved by days, against the telemetry's period."""
+    shift = F.make_dt_interval((F.col("action_id").cast("long") % 5 * 4 - 8).cast("int"))
+    return quality.coverage(a.maintenance(spark, d).withColumn("moved", F.col("action_timestamp") + shift), "moved", a.telemetry(spark, d))
 
 
 # Series
@@ -246,6 +297,11 @@ def interpolate_both(spark, d):
     return rounded(series.interpolate_both(grid(spark, d), "pressure_bar", 2).select("machine_id", "timestamp", "interpolated"))
 
 
+@query(f"""select machine_id, {T}, round(case when count(pressure_bar) over w >= 15 then quantile_cont(pressure_bar, 0.5) over w end, 6) as rolling_median from grid window w as (partition by machine_id order by {T} rows between 14 preceding and current row)""", *GRIDG)
+def rolling_median(spark, d):
+    return rounded(series.trailing_median(grid(spark, d), "pressure_bar", 15).select("machine_id", "timestamp", "rolling_median"))
+
+
 W6 = f"partition by machine_id order by {T} rows between 5 preceding and current row"
 
 
@@ -331,16 +387,16 @@ def hourly_features(spark, d):
     return rounded(h.select("machine_id", "timestamp", *raw, "vib_x_p95", "vib_x_burst_count", "vib_x_crest", "xy_delta_mean", "xy_delta_absmax", "xy_nonzero_share", "xy_divergence_share", "imputed_share", "invalid_count", "standby_share", "n_minutes"))
 
 
-@query(f"""select machine_id, tt as {T}, round((avg(x4) - 4 * avg(x) * avg(x3) + 6 * avg(x) * avg(x) * avg(x2) - 3 * avg(x) ** 4) / greatest(avg(x2) - avg(x) * avg(x), 1e-12) ** 2 - 3, 4) as vib_x_kurtosis,
-  round({_corr(_P, _Q)}, 5) as corr_pressure_flow, round({_corr(_TT, _Q)}, 5) as corr_temp_flow
+@query(f"""select machine_id, tt as {T}, case when count(*) > 1 then round((avg(x4) - 4 * avg(x) * avg(x3) + 6 * avg(x) * avg(x) * avg(x2) - 3 * avg(x) ** 4) / greatest(avg(x2) - avg(x) * avg(x), 1e-12) ** 2 - 3, 4) end as vib_x_kurtosis,
+  round({_corr(_P, _Q)}, 5) + 0.0 as corr_pressure_flow, round({_corr(_TT, _Q)}, 5) + 0.0 as corr_temp_flow
   from (select *, {_X} as x, {_X} * {_X} as x2, {_X} * {_X} * {_X} as x3, {_X} * {_X} * {_X} * {_X} as x4 from mt) group by machine_id, tt
-  having count({_X}) >= 4 and var_pop({_X}) > 1e-3 and count({_Q}) >= 4 and var_pop({_Q}) > 1 and var_pop({_P}) > 1 and var_pop({_TT}) > 1""", a.TEL, MIN)
+  having count(*) = 1 or count({_X}) >= 4 and var_pop({_X}) > 1e-3 and count({_Q}) >= 4 and var_pop({_Q}) > 1 and var_pop({_P}) > 1 and var_pop({_TT}) > 1""", a.TEL, MIN)
 def hourly_moments(spark, d):
-    """Kurtosis and correlations of hours that vary; on constant hours the moments leave rounding noise only."""
+    """Kurtosis and correlations of hours that vary, and correlations of hours of one row, whose variances stand at their floor; elsewhere moments leave rounding noise only."""
     h, _ = feat.hourly_aggregate(minutes(spark, d), DEFAULTS)
-    v = minutes(spark, d).groupBy("machine_id", F.window("timestamp", "1 hour")["end"].alias("t")).agg(F.count(_X).alias("nx"), F.var_pop(_X).alias("vx"), F.count(_Q).alias("nq"), F.var_pop(_Q).alias("vq"), F.var_pop(_P).alias("vp"), F.var_pop(_TT).alias("vt"))
-    v = v.where("nx >= 4 and vx > 1e-3 and nq >= 4 and vq > 1 and vp > 1 and vt > 1").select("machine_id", F.col("t").alias("timestamp"))
-    return h.join(v, ["machine_id", "timestamp"]).select("machine_id", "timestamp", F.round("vib_x_kurtosis", 4).alias("vib_x_kurtosis"), F.round("corr_pressure_flow", 5).alias("corr_pressure_flow"), F.round("corr_temp_flow", 5).alias("corr_temp_flow"))
+    v = minutes(spark, d).groupBy("machine_id", F.window("timestamp", "1 hour")["end"].alias("t")).agg(F.count(F.lit(1)).alias("n"), F.count(_X).alias("nx"), F.var_pop(_X).alias("vx"), F.count(_Q).alias("nq"), F.var_pop(_Q).alias("vq"), F.var_pop(_P).alias("vp"), F.var_pop(_TT).alias("vt"))
+    v = v.where("n = 1 or nx >= 4 and vx > 1e-3 and nq >= 4 and vq > 1 and vp > 1 and vt > 1").select("machine_id", F.col("t").alias("timestamp"), "n")
+    return h.join(v, ["machine_id", "timestamp"]).select("machine_id", "timestamp", F.when(F.col("n") > 1, F.round("vib_x_kurtosis", 4)).alias("vib_x_kurtosis"), *((F.round(c, 5) + 0.0).alias(c) for c in ("corr_pressure_flow", "corr_temp_flow")))
 
 
 @query(f"select machine_id, {T}, round(pressure_bar - median(pressure_bar) over (partition by {T}), 6) as fpressure_bar from cell", *CELLG)
@@ -362,35 +418,78 @@ def maintenance_features(spark, d):
 
 
 _N = 24
-_DFT = f"""win as (select machine_id, {T}, list(pressure_bar) over (partition by machine_id order by {T} rows between {_N - 1} preceding and current row) as w, count(*) over (partition by machine_id order by {T} rows between {_N - 1} preceding and current row) as c from (select machine_id, {T}, pressure_bar from filled2)),
-filled2 as (select machine_id, {T}, coalesce(pressure_bar, 0) as pressure_bar from grid),
-pw as (select machine_id, {T}, k, power(list_sum([w[i + 1] * cos(2 * pi() * k * i / {_N}) for i in range({_N})]), 2) + power(list_sum([w[i + 1] * sin(2 * pi() * k * i / {_N}) for i in range({_N})]), 2) as p from (select *, unnest(range(1, {_N // 2 + 1})) as k from win where c = {_N})),
-pt as (select *, sum(p) over (partition by machine_id, {T}) as total from pw)"""
+_SPECTRUM = (
+    f"w0 as (select machine_id, {T}, list(pressure_bar) over (partition by machine_id order by {T} rows between {_N - 1} preceding and current row) as w, count(*) over (partition by machine_id order by {T} rows between {_N - 1} preceding and current row) as c from grid)",
+    f"w1 as (select machine_id, {T}, list_transform(w, lambda x: coalesce(x, m)) as w from (select *, list_aggregate(list_filter(w, lambda x: x is not null), 'median') as m from w0 where c = {_N}))",
+    f"pw as (select machine_id, {T}, k, power(list_sum([w[i + 1] * cos(2 * pi() * k * i / {_N}) for i in range({_N})]), 2) + power(list_sum([w[i + 1] * sin(2 * pi() * k * i / {_N}) for i in range({_N})]), 2) as p from (select *, unnest(range(1, {_N // 2 + 1})) as k from w1))",
+    f"pt as (select *, sum(p) over (partition by machine_id, {T}) as total from pw)",
+)
+_BANDS = [[0.0, 0.15], [0.15, 0.5]]
 
 
 @query(f"""select machine_id, {T} + interval 1 hour as {T}, round(sum(case when k / {_N}.0 > 0 and k / {_N}.0 <= 0.15 then p / total else 0 end), 6) as vib_spec_band0_share, round(sum(case when k / {_N}.0 > 0.15 and k / {_N}.0 <= 0.5 then p / total else 0 end), 6) as vib_spec_band1_share,
-  round(-sum(p / total * ln(p / total + 1e-12)) / ln({_N // 2 + 1}), 5) as vib_spec_entropy, round(log10(any_value(total) / {_N} + 1e-12), 6) as vib_spec_log_power from pt where total > 1e-6 group by machine_id, {T}""",
-  *GRIDG, *(_DFT.split(",\nfilled2")[0:0]), "filled2" + _DFT.split(",\nfilled2")[1].split(",\npw")[0], _DFT.split(",\nfilled2")[0], "pw" + _DFT.split(",\npw")[1])
+  round(-sum(p / total * ln(p / total + 1e-12)) / ln({_N // 2 + 1}), 5) as vib_spec_entropy, round(log10(any_value(total) / {_N} + 1e-12), 6) as vib_spec_log_power from pt where total > 1e-6 group by machine_id, {T}""", *GRIDG, *_SPECTRUM)
 def spectral_shares(spark, d):
-    g = grid(spark, d).withColumn("vibration_x_g", F.coalesce("pressure_bar", F.lit(0.0)))
-    cfg = DEFAULTS | {"features": DEFAULTS["features"] | {"spectral_window_min": _N, "spectral_bands": [[0.0, 0.15], [0.15, 0.5]]}}
-    s, _ = feat.spectral_features(g, g.select("machine_id", (F.col("timestamp") + F.expr("interval 1 hour")).alias("timestamp")), cfg)
+    """Windows of 24 rows; gaps take the window's median. Windows without any power have no shares."""
+    g = grid(spark, d).withColumn("vibration_x_g", F.col("pressure_bar"))
+    cfg = DEFAULTS | {"features": DEFAULTS["features"] | {"spectral_window_min": _N, "spectral_bands": _BANDS}, "validation": DEFAULTS["validation"] | {"sampling_interval": "1 hour"}}
+    s, _ = feat.spectral_features(g, g.select("machine_id", (F.col("timestamp") + F.expr("interval 1 hour")).alias("timestamp")), cfg, block="5 day")
     s = s.where("vib_spec_band0_share is not null")
     return rounded(s.withColumn("vib_spec_entropy", F.round("vib_spec_entropy", 5)))
 
 
-@query()
-def feature_table(spark, d):
-    """All hourly features of the clean series, an hour counting as a minute."""
-    cfg = DEFAULTS | {"features": DEFAULTS["features"] | {"spectral_window_min": 24}}
+def features_of(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Features and dictionary of the clean series, an hour counting as a minute."""
+    cfg = DEFAULTS | {"features": DEFAULTS["features"] | {"spectral_window_min": 24}, "validation": DEFAULTS["validation"] | {"sampling_interval": "1 hour"}}
     z = RegimeBaseline(SIGNALS, 14, 5).fit_transform(clean(spark, d).withColumn("n_invalid_sensors", F.lit(0)))
-    return feat.build_features(z, a.maintenance(spark, d), cfg)[0]
+    return feat.build_features(z, a.maintenance(spark, d), cfg)
 
 
 @query()
+def feature_table(spark, d):
+    return features_of(spark, d)[0]
+
+
+_ZT = SQL["baseline_zscore"]
+_ZTAB = _ZT.rpartition("select c.machine_id")[0].rstrip() + ", zt as (select c.machine_id" + _ZT.rpartition("select c.machine_id")[2].replace("round(case", "(case").replace("end, 6)", "end)").replace(f"c.{T},", f"c.{T}, c.pressure_bar, c.flow_lpm, c.vibration_x_g, c.vibration_y_g, c.regime, c.is_standby,", 1) + f"), zh as (select *, {T} + interval 1 hour as tt, cast(row_number() over (partition by machine_id order by {T}) as double) as row, vibration_x_g - vibration_y_g as xy from zt)"
+_ROLLED = {"z_pressure_bar_mean": "z_pressure_bar", "z_flow_lpm_mean": "z_flow_lpm", "xy_delta_absmax": "abs(xy)"}
+
+
+def _rolled(c: str, e: str, w: int) -> str:
+    over = f"over (partition by machine_id order by tt rows between {w - 1} preceding and current row)"
+    made = {"mean": f"avg({e}) {over}", "std": f"stddev_samp({e}) {over}", "min": f"min({e}) {over}", "max": f"max({e}) {over}", "slope": f"regr_slope({e}, row) {over}"}
+    return ", ".join(f"round(case when count({e}) {over} >= {max(2, w // 2)} then {x} end + 1.3e-6, 5) as {c}_roll{w}h_{n}" for n, x in made.items())
+
+
+_LAGS = ", ".join(f"round(lag({e}, {n}) over (partition by machine_id order by tt) + 1.3e-6, 5) as {c}_lag{n}h, round({e} - lag({e}, {n}) over (partition by machine_id order by tt) + 1.3e-6, 5) as {c}_diff{n}h" for c, e in (("z_pressure_bar_mean", "z_pressure_bar"), ("xy_delta_mean", "xy")) for n in (1, 24))
+
+
+@query(_ZTAB + f""" select machine_id, tt as {T}, regime, tt <= lo + interval 14 day as in_baseline_period, round(pressure_bar + 1.3e-6, 5) as pressure_bar_mean, round(z_pressure_bar + 1.3e-6, 5) as z_pressure_bar_mean, round(z_temp_celsius - median(z_temp_celsius) over (partition by tt) + 1.3e-6, 5) as fz_temp_celsius_mean, round(pct_pressure_bar - pct_flow_lpm + 1.3e-6, 5) as pct_pressure_minus_flow_mean,
+  cast(is_standby as double) as standby_share, hour({T}) as hour_of_day, {", ".join(_rolled(c, e, w) for c, e in _ROLLED.items() for w in (6, 24, 72))}, {_LAGS} from zh join (select machine_id, min({T}) as lo from clean group by 1) using (machine_id)""")
+def feature_values(spark, d):
+    """The feature table's columns of each kind that SQL can say: raw, regime, fleet, rolling, lag, context; moved a little, off the ties of rounding."""
+    f = features_of(spark, d)[0]
+    rolled = [f"{c}_roll{w}h_{n}" for c in _ROLLED for w in (6, 24, 72) for n in ("mean", "std", "min", "max", "slope")]
+    lagged = [f"{c}_{k}{n}h" for c in ("z_pressure_bar_mean", "xy_delta_mean") for n in (1, 24) for k in ("lag", "diff")]
+    values = ["pressure_bar_mean", "z_pressure_bar_mean", "fz_temp_celsius_mean", "pct_pressure_minus_flow_mean", *rolled, *lagged]
+    return f.select("machine_id", "timestamp", "regime", "in_baseline_period", "standby_share", F.col("hour_of_day").cast("long").alias("hour_of_day"), *(F.round(F.col(c) + 1.3e-6, 5).alias(c) for c in values))
+
+
+_SIG = str(SIGNALS)
+_NAMES = f"""select s || '_' || k as feature, 'hourly_raw' as "group" from (select unnest({str(a.SENSORS)}) as s), (select unnest(['mean', 'std', 'min', 'max']) as k)
+  union all select 'z_' || s || '_' || k, 'hourly_regime' from (select unnest({_SIG}) as s), (select unnest(['mean', 'min', 'max']) as k) union all select 'pct_' || s || '_mean', 'hourly_regime' from (select unnest({_SIG}) as s)
+  union all select 'f' || c, 'fleet_relative' from (select unnest({str(feat.FLEET)}) as c)
+  union all select c || '_roll' || w || 'h_' || k, 'rolling' from (select unnest({str(feat.ROLL)}) as c), (select unnest([6, 24, 72]) as w), (select unnest(['mean', 'std', 'min', 'max', 'slope']) as k)
+  union all select c || '_' || k || n || 'h', 'lag' from (select unnest({str(feat.LAG)}) as c), (select unnest([1, 24]) as n), (select unnest(['lag', 'diff']) as k)
+  union all select unnest(['vib_x_p95', 'vib_x_burst_count', 'vib_x_kurtosis', 'vib_x_crest']), 'vibration'
+  union all select unnest(['xy_delta_mean', 'xy_delta_absmax', 'xy_nonzero_share', 'xy_divergence_share', 'pct_pressure_minus_flow_mean', 'corr_pressure_flow', 'corr_temp_flow']), 'cross_sensor'
+  union all select unnest(['imputed_share', 'invalid_count', 'missing_share', 'n_minutes']), 'quality' union all select unnest(['standby_share', 'hour_sin', 'hour_cos', 'is_weekend', 'hour_of_day']), 'context'
+  union all select unnest(['vib_spec_band0_share', 'vib_spec_band1_share', 'vib_spec_band2_share', 'vib_spec_entropy', 'vib_spec_log_power']), 'spectral' union all select unnest(['days_since_maintenance', 'days_since_reactive', 'reactive_actions_90d']), 'maintenance'"""
+
+
+@query(_NAMES)
 def feature_dictionary(spark, d):
-    z = RegimeBaseline(SIGNALS, 14, 5).fit_transform(clean(spark, d).withColumn("n_invalid_sensors", F.lit(0)))
-    return feat.build_features(z, a.maintenance(spark, d), DEFAULTS)[1]
+    return features_of(spark, d)[1].select("feature", "group")
 
 
 # Targets, folds
@@ -479,7 +578,7 @@ def identity_leak(spark, d):
 @query()
 def multi_feature_identity(spark, d):
     t = grid(spark, d).withColumns({"failure_mode_label": F.lit("healthy"), "standby_share": F.lit(0.0)})
-    return spark.createDataFrame([(screening.multi_feature_identity(t, a.SENSORS, "2024-01-21", trees=10),)], "accuracy double")
+    return spark.createDataFrame([(screening.multi_feature_identity(t, a.SENSORS, "2024-01-21"),)], "accuracy double")
 
 
 # Alarms
@@ -517,9 +616,51 @@ def naive_alarm(spark, d):
     return alarms.naive_alarm(c, "low", 0.2, "2 hour").select("machine_id", "timestamp", "naive_low")
 
 
+_REF = "ref as (select * from clean where \"timestamp\" < timestamp '2024-01-21' and not is_standby)"
+_NORMAL = f"""nd as (select c.*, {", ".join(f"(c.{s} - m_{s}) / nullif(s_{s}, 0) as z_{s}, 100 * (c.{s} / nullif(m_{s}, 0) - 1) as pct_{s}" for s in SIGNALS)}, c.vibration_x_g - c.vibration_y_g as vib_xy_delta, (c.vibration_x_g - c.vibration_y_g) / nullif(sxy, 0) as z_vib_xy_delta
+  from clean c left join (select machine_id, day_type, hour, {", ".join(f"median({s}) as m_{s}, stddev_samp({s}) as s_{s}" for s in SIGNALS)} from ref group by all) b using (machine_id, day_type, hour), (select stddev_samp(vibration_x_g - vibration_y_g) as sxy from ref))"""
+
+
+def normal(spark: SparkSession, d: str) -> DataFrame:
+    return eda.normal_deviations(clean(spark, d), SIGNALS, "2024-01-21")
+
+
+@query(f"select machine_id, {T}, " + ", ".join(f"round(z_{s}, 5) as z_{s}, round(pct_{s}, 5) as pct_{s}" for s in SIGNALS) + ", round(vib_xy_delta, 5) as vib_xy_delta, round(z_vib_xy_delta, 5) as z_vib_xy_delta from nd", *CLEANG, _REF, _NORMAL)
+def normal_deviations(spark, d):
+    return rounded(normal(spark, d).select("machine_id", "timestamp", *(f"{k}_{s}" for s in SIGNALS for k in ("z", "pct")), "vib_xy_delta", "z_vib_xy_delta"), 5)
+
+
+_WIN = f"window w as (partition by machine_id order by {T} range between interval 21599999999 microseconds preceding and current row)"
+
+
+@query(f"""select *, {" or ".join(alarms.RULES)} as any_rule from (select machine_id, {T}, {", ".join(f"coalesce(min(coalesce(cast(s_{n} > {limit} as int), 0)) over w = 1, false) and not is_standby as {n}" for n, (_, _, limit, _) in alarms.RULES.items())} from
+  (select machine_id, {T}, is_standby, {", ".join((f"abs(avg({c}) over w)" if how == "absmean" else f"quantile_cont({c}, 0.5) over w * {sign}") + f" as s_{n}" for n, (c, sign, _, how) in alarms.RULES.items())} from nd {_WIN}) {_WIN})""", *CLEANG, _REF, _NORMAL)
+def default_alarms(spark, d):
+    """The alarms of the default rules on the deviations from each machine's normal."""
+    x = alarms.rule_alarms(normal(spark, d).drop("vib_xy_delta"))
+    return x.select("machine_id", "timestamp", *alarms.RULES, "any_rule")
+
+
 # Exploration
 
 
+@query("select event_type, count(*) as n, round(avg(cast(vibration_x_g = vibration_y_g or vibration_x_g is null as double)), 6) as share_identical from tel group by 1", *TELG)
+def identical_axes(spark, d):
+    return rounded(eda.identical_share(a.telemetry(spark, d), "vibration_x_g", "vibration_y_g", "event_type"))
+
+
+@query(f"""select x.day, x.n, x.machines, round(m.p, 6) as pressure_bar, round(m.q, 6) as flow_lpm, round(f.p, 6) as next_pressure_bar, round(f.q, 6) as next_flow_lpm from (select date_trunc('day', {T}) as day, count(*) as n, count(distinct machine_id) as machines from tel where pump_rpm = 1000 group by 1) x
+  join md m on m.day = x.day left join md f on f.day = x.day + interval 1 day""", a.TEL, f"md as (select date_trunc('day', {T}) as day, median(pressure_bar) as p, median(flow_lpm) as q from tel group by 1)")
+def standstill_days(spark, d):
+    return rounded(eda.standstill_days(a.telemetry(spark, d), 1000.0, ["pressure_bar", "flow_lpm"]).withColumn("day", F.col("day").cast("timestamp_ntz")))
+
+
+@query()
+def seeded_sample(spark, d):
+    """A tenth of the rows by a seeded hash: the sampling operator itself."""
+    return eda.sampled(a.telemetry(spark, d).select("event_id", "machine_id", "pressure_bar"), 0.1, seed=1, keys=["event_id"])
+
+
 @query(" union all ".join(f"select '{s}' as \"column\", count({s}) as n, round(avg({s}), 6) as mean, round(stddev_samp({s}), 6) as std, round(min({s}), 6) as min, round(max({s}), 6) as max, " + ", ".join(f"round(quantile_cont({s}, {q}), 6) as p{round(q * 100):02d}" for q in (0.01, 0.25, 0.5, 0.75, 0.99)) + f", round(skewness({s}), 6) as skewness, round(kurtosis({s}), 6) as kurtosis from tel" for s in ("pressure_bar", "flow_lpm")), *TELG)
 def describe_percentiles(spark, d):
     return rounded(eda.describe(a.telemetry(spark, d), ["pressure_bar", "flow_lpm"]))
@@ -535,9 +676,23 @@ def resample_daily(spark, d):
     return rounded(eda.resample(a.telemetry(spark, d), "1 day", ["pressure_bar", "flow_lpm"]))
 
 
-@query(f"""select start, round(median(m), 6) as median, round(min(m), 6) as min, round(max(m), 6) as max from (select machine_id, time_bucket(interval 7 day, {T}, timestamp '1970-01-01') as start, median(pressure_bar) as m from tel group by all) group by start""", *TELG)
+_HEALTHY = f"hz as (select c.* from clean c where not is_standby and not exists (select 1 from fail f where f.machine_id = c.machine_id and f.degradation_start_timestamp < f.failure_timestamp + interval 1 day and c.{T} >= f.degradation_start_timestamp and c.{T} < f.failure_timestamp + interval 1 day))"
+
+
+def healthy(spark: SparkSession, d: str) -> DataFrame:
+    return eda.healthy_running(clean(spark, d), a.failures(spark, d))
+
+
+@query(f"""select start, round(median(m), 6) as median, round(min(m), 6) as min, round(max(m), 6) as max from (select machine_id, o + to_days(cast(floor((epoch_us({T}) - epoch_us(o)) / 604800000000) * 7 as int)) as start, median(pressure_bar) as m
+  from hz join (select machine_id, date_trunc('day', min({T})) as o from hz group by 1) using (machine_id) group by all) group by start""", *CLEANG, a.FAIL, _HEALTHY)
 def weekly_drift(spark, d):
-    return rounded(eda.drift(a.telemetry(spark, d), "pressure_bar"))
+    """Weeks from the midnight of each machine's first day, over rows in healthy operation."""
+    return rounded(eda.drift(healthy(spark, d), "pressure_bar"))
+
+
+@query(f"""select machine_id, o + to_days(cast(floor((epoch_us({T}) - epoch_us(o)) / 604800000000) * 7 as int)) as start, round(avg(flow_lpm), 6) as flow_lpm from tel join (select machine_id, date_trunc('day', min({T})) as o from tel group by 1) using (machine_id) group by all""", *TELG)
+def resample_weekly(spark, d):
+    return rounded(eda.resample(a.telemetry(spark, d), "7 day", ["flow_lpm"], "mean"))
 
 
 @query(f"""select machine_id, date_trunc('day', {T}) as day, round((median(pressure_bar) - any_value(m)) / nullif(any_value(s), 0), 6) as z from tel join (select machine_id, median(pressure_bar) as m, stddev_samp(pressure_bar) as s from tel where {T} < timestamp '2024-01-21' group by 1) using (machine_id) group by machine_id, 2""", *TELG)
@@ -545,10 +700,12 @@ def daily_reference_z(spark, d):
     return rounded(eda.reference_z(a.telemetry(spark, d), "pressure_bar", "2024-01-01", "2024-01-21").withColumn("day", F.col("day").cast("timestamp_ntz")))
 
 
-@query("select failure_mode, days_before, round(median(pressure_bar), 6) as pressure_bar from (select failure_mode, -ceil(h / 12) * 12 / 24 as days_before, pressure_bar from (select f.failure_mode, t.pressure_bar, (epoch_us(f.failure_timestamp) - epoch_us(t.\"timestamp\")) / 3.6e9 as h from tel t join fail f on f.machine_id = t.machine_id) where h > 0) group by all", a.TEL, a.FAIL)
+@query(f"select failure_mode, days_before, round(median(pressure_bar), 6) as pressure_bar from (select failure_mode, -ceil(h / 12) * 12 / 24 as days_before, pressure_bar from (select f.failure_mode, t.pressure_bar, (epoch_us(f.failure_timestamp) - epoch_us(t.{T})) / 3.6e9 as h from tel t asof join fail f on f.machine_id = t.machine_id and t.{T} <= f.failure_timestamp) where h > 0) group by all", a.TEL, a.FAIL)
 def trajectories(spark, d):
-    t = a.telemetry(spark, d).select("machine_id", "timestamp", "pressure_bar").join(a.failures(spark, d).select("machine_id", "failure_mode", "failure_timestamp"), "machine_id")
-    t = t.withColumn("hours_to_failure", hours_between(F.col("failure_timestamp"), F.col("timestamp")))
+    """Medians by mode and half days before each row's next failure."""
+    f = a.failures(spark, d).withColumn("next", F.struct("failure_timestamp", "failure_mode"))
+    t = series.as_of(a.telemetry(spark, d).select("machine_id", "timestamp", "pressure_bar"), f, "next", right_ts="failure_timestamp", forward=True)
+    t = t.select("pressure_bar", F.col("next.failure_mode").alias("failure_mode"), hours_between(F.col("next.failure_timestamp"), F.col("timestamp")).alias("hours_to_failure"))
     return rounded(eda.trajectory(t, ["pressure_bar"]))
 
 
@@ -583,10 +740,16 @@ def mutual_information(spark, d):
     return rounded(eda.mutual_information(a.telemetry(spark, d), "machine_id", "pressure_bar", 10, 0.0, 200.0))
 
 
-@query(f"""select machine_id, lag, round(r, 6) as r from (select machine_id, unnest([1, 2, 3]) as lag, unnest([sum(x * l1) / sum(x * x), sum(x * l2) / sum(x * x), sum(x * l3) / sum(x * x)]) as r from (select machine_id, x, lag(x, 1) over w as l1, lag(x, 2) over w as l2, lag(x, 3) over w as l3 from
-  (select machine_id, {T}, pressure_bar - avg(pressure_bar) over (partition by machine_id) as x from cell) window w as (partition by machine_id order by {T})) group by machine_id)""", *CELLG)
+@query(f"""select p.machine_id, k as lag, round(sum(p.x * q.x) / nullif(any_value(v.s), 0), 6) as r from ac p join (select unnest(range(1, 193)) as k) on true left join ac q on q.machine_id = p.machine_id and q.n = p.n - k join (select machine_id, sum(x * x) as s from ac group by 1) v on v.machine_id = p.machine_id group by all""", *TELG,
+  f"hm as (select machine_id, date_trunc('hour', {T}) as t, avg(pressure_bar) as v from tel group by all)",
+  "hg as (select g.machine_id, g.t, h.v, row_number() over (partition by g.machine_id order by g.t) as n from (select machine_id, unnest(generate_series(min(t), max(t), interval 1 hour)) as t from hm group by 1) g left join hm h on h.machine_id = g.machine_id and h.t = g.t)",
+  "hn as (select *, last_value(v ignore nulls) over b as p, first_value(v ignore nulls) over f as q, last_value(case when v is not null then n end ignore nulls) over b as i, first_value(case when v is not null then n end ignore nulls) over f as j from hg window b as (partition by machine_id order by t rows between unbounded preceding and current row), f as (partition by machine_id order by t rows between current row and unbounded following))",
+  "hi as (select machine_id, t, coalesce(v, p + (q - p) * (n - i) / nullif(j - i, 0), p) as v from hn)",
+  "ac as (select machine_id, v - avg(v) over (partition by machine_id) as x, row_number() over (partition by machine_id order by t) as n from hi where v is not null)")
 def autocorrelation(spark, d):
-    return rounded(eda.autocorrelation(a.cells(spark, d), "pressure_bar", 3))
+    """192 lags of the hourly means, gaps filled by straight lines."""
+    r = eda.hourly_autocorrelation(a.telemetry(spark, d), "pressure_bar", 192)
+    return rounded(r.withColumn("lag", F.col("lag").cast("long")))
 
 
 @query("select bin, n, round(n / (sum(n) over ()) / 10.0, 6) as density from (select cast(floor(pressure_bar / 10) + 1 as int) as bin, count(*) as n from tel where pressure_bar >= 0 and pressure_bar < 200 group by 1)", *TELG)
@@ -610,11 +773,11 @@ def failure_profile(spark, d):
     return rounded(a.failures(spark, d).groupBy("failure_mode").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("machine_id").alias("machines"), F.sum("downtime_hours").alias("downtime"), F.avg("downtime_hours").alias("mean_downtime"), F.array_join(F.array_sort(F.collect_set("machine_id")), ", ").alias("machine_list")))
 
 
-@query("select f.event_id, x.action_id is not null as matched, coalesce(f.failure_mode = x.component_replaced, false) as mode_is_component from fail f join act x on x.machine_id = f.machine_id and x.action_id = (select max(action_id) from act y where y.machine_id = f.machine_id)", a.TEL, a.FAIL, a.ACT)
+@query("select f.event_id, f.failure_mode is not distinct from x.component_replaced as failure_mode_matches, f.event_id is not distinct from x.action_id as event_id_matches from fail f join act x on x.machine_id = f.machine_id and x.action_id = (select max(action_id) from act y where y.machine_id = f.machine_id)", a.TEL, a.FAIL, a.ACT)
 def label_consistency(spark, d):
     m = a.maintenance(spark, d).groupBy("machine_id").agg(F.max_by("component_replaced", "action_id").alias("component_replaced"), F.max("action_id").alias("action_id"))
-    j = a.failures(spark, d).join(m, "machine_id")
-    return j.select("event_id", F.col("action_id").isNotNull().alias("matched"), F.col("failure_mode").eqNullSafe(F.col("component_replaced")).alias("mode_is_component"))
+    j = eda.label_consistency(a.failures(spark, d), m, "machine_id", [("failure_mode", "component_replaced"), ("event_id", "action_id")])
+    return j.select("event_id", "failure_mode_matches", "event_id_matches")
 
 
 @query("select round(median(abs(pressure_bar - flow_lpm)), 6) as median_error, round(max(abs(pressure_bar - flow_lpm)), 6) as max_error, round(avg(cast(pressure_bar = 0 as double)), 6) as share_at_0, round(avg(cast(pressure_bar = 500 as double)), 6) as share_at_500 from tel", *TELG)
@@ -622,9 +785,11 @@ def rul_audit(spark, d):
     return rounded(eda.rul_audit(a.telemetry(spark, d), "pressure_bar", "flow_lpm"))
 
 
-@query("select x.machine_id, x.action_id, f.event_id from fail f right join act x on x.machine_id = f.machine_id and f.failure_mode = 'pump_wear'", a.TEL, a.FAIL, a.ACT)
+@query("select x.machine_id, x.action_id, f.event_id from fail f right join (select machine_id, arg_max(action_id, action_timestamp) as action_id from act group by 1) x on x.machine_id = f.machine_id and f.failure_mode = 'pump_wear'", a.TEL, a.FAIL, a.ACT)
 def right_outer(spark, d):
-    f, x = a.failures(spark, d).where("failure_mode = 'pump_wear'").select("machine_id", "event_id"), a.maintenance(spark, d).select("machine_id", "action_id")
+    """Failures of one mode against each machine's last action."""
+    f = a.failures(spark, d).where("failure_mode = 'pump_wear'").select("machine_id", "event_id")
+    x = a.maintenance(spark, d).groupBy("machine_id").agg(F.max_by("action_id", "action_timestamp").alias("action_id"))
     return f.join(x, "machine_id", "right").select("machine_id", "action_id", "event_id")
 
 
@@ -641,9 +806,14 @@ def except_all(spark, d):
     return t.where("event_type = 'error'").select("machine_id", "shift").exceptAll(t.where("event_type = 'purchase'").select("machine_id", "shift"))
 
 
-@query(f"select regime, count(*) as n, round(avg(pressure_bar), 6) as pressure_bar, round(median(flow_lpm), 6) as flow_lpm from clean group by 1", *CLEANG)
+@query(f"select regime, count(*) as n, round(median(pressure_bar), 6) as pressure_bar, round(median(flow_lpm), 6) as flow_lpm from clean c where not exists (select 1 from fail f where f.machine_id = c.machine_id and c.{T} >= f.degradation_start_timestamp and c.{T} < f.failure_timestamp) group by 1", *CLEANG, a.FAIL)
 def regime_medians(spark, d):
-    return rounded(clean(spark, d).groupBy("regime").agg(F.count(F.lit(1)).alias("n"), F.avg("pressure_bar").alias("pressure_bar"), F.median("flow_lpm").alias("flow_lpm")))
+    """Medians by regime of the rows outside degradation; standby is a regime."""
+    h = series.inside_any(clean(spark, d), a.failures(spark, d), "degradation_start_timestamp", "failure_timestamp").where("not inside")
+    n = h.groupBy("regime").agg(F.count(F.lit(1)).alias("n"))
+    for c in ("pressure_bar", "flow_lpm"):
+        n = n.join(eda.percentiles(h, c, {c: 0.5}, ["regime"]), "regime", "left")
+    return rounded(n)
 
 
 @query(f"select count(*) as n, round(avg(cast(regime = case when hour({T}) between 8 and 19 then 'Day' else 'Night' end as double)), 6) as agreement from clean where regime <> 'Standby'", *CLEANG)
@@ -684,20 +854,33 @@ def resample_last(spark, d):
     return rounded(eda.resample(a.telemetry(spark, d), "1 day", ["pressure_bar"], "last"))
 
 
-@query()
+@query(f"""select * from (
+  select 'telemetry' as "table", 'unique (machine_id, timestamp)' as "check", sum(n - 1)::bigint as n_failed from (select count(*) as n from tel group by machine_id, {T})
+  union all select 'telemetry', 'shift: isin([''Day'', ''Night'', ''Weekend''])', count(*) from t1 where shift = 'Lunch'
+  union all select 'telemetry', s || ' within range', n from (select unnest({str(list(RANGES))}) as s, unnest([{", ".join(f"count(*) filter (where {s} < {lo} or {s} > {hi})" for s, (lo, hi) in RANGES.items())}]) as n from t2)
+  union all select 'telemetry', s || ' at floor', n from (select unnest(['vibration_x_g', 'vibration_y_g']) as s, unnest([count(*) filter (where vibration_x_g = 0.05), count(*) filter (where vibration_y_g = 0.05)]) as n from t2)
+  union all select 'telemetry', 'missing sensors and dropout flag agree', count(*) filter (where is_sensor_dropout = 1) from t2
+  union all select 'telemetry', 'regular 1 minute grid', count(*) filter (where epoch_us({T}) - epoch_us(p) > 60000000) from (select {T}, lag({T}) over (partition by machine_id order by {T}) as p from t2)
+  union all select 'telemetry', 'label columns present in telemetry', 1
+  union all select k, c, n from (select unnest(['failures', 'maintenance', 'failures', 'maintenance']) as k, unnest(['machine_id exists in telemetry', 'machine_id exists in telemetry', 'events inside telemetry period', 'events inside telemetry period']) as c,
+    unnest([(select count(*) from fail where machine_id not in (select machine_id from t2)), (select count(*) from act where machine_id not in (select machine_id from t2)),
+      (select count(*) from fail, e where failure_timestamp not between t0 and t1 + interval 1 day), (select count(*) from act, e where action_timestamp not between t0 and t1 + interval 1 day)]) as n)) where n_failed > 0""",
+  a.TEL, a.FAIL, a.ACT, f"t1 as (select * from (select *, row_number() over (partition by machine_id, {T} order by event_id) as nth from tel) where nth = 1)", "t2 as (select * from t1 where shift <> 'Lunch')", f"e as (select min({T}) as t0, max({T}) as t1 from t2)")
 def validation_report(spark, d):
-    """The report of the gate over all three tables, without writing."""
+    """What the gate finds over all three tables, without writing: the lines with a count."""
     tables = {"telemetry": a.telemetry(spark, d).withColumn("is_anomaly", F.lit(0)), "failures": a.failures(spark, d), "maintenance": a.maintenance(spark, d)}
-    return quality.validate_all(tables, DEFAULTS, write=False)[1].to_frame(spark)
+    r = quality.validate_all(tables, DEFAULTS, write=False)[1].to_frame(spark).where("n_failed > 0")
+    check = F.regexp_replace(F.regexp_replace("check", r" within \[.*", " within range"), " readings exactly at sensor floor .*", " at floor")
+    return r.select("table", check.alias("check"), "n_failed")
 
 
-@query("select hour, day_type, round(median(pressure_bar), 6) as pressure_bar from clean where not is_standby group by all", *CLEANG)
+@query(f"select hour, day_type, round(median(pressure_bar), 6) as pressure_bar from hz group by all", *CLEANG, a.FAIL, _HEALTHY)
 def hour_profile(spark, d):
-    return rounded(clean(spark, d).where("not is_standby").groupBy(F.col("hour").cast("long").alias("hour"), "day_type").agg(F.median("pressure_bar").alias("pressure_bar")))
+    return rounded(eda.percentiles(healthy(spark, d).withColumn("hour", F.col("hour").cast("long")), "pressure_bar", {"pressure_bar": 0.5}, ["hour", "day_type"]))
 
 
-@query("select 'pressure_bar' as \"column\", 'missing' as kind union all select 'k', 'extra'")
+@query("select 'pressure_bar' as \"column\", 'missing' as kind union all select 'k', 'extra' union all select 'flow_lpm as flow', 'renamed'")
 def contract_diff(spark, d):
-    t = a.telemetry(spark, d).withColumn("k", F.lit(1)).drop("pressure_bar")
-    diff = quality.contract_diff(t, [c for c in a.telemetry(spark, d).columns])
+    t = a.telemetry(spark, d).withColumn("k", F.lit(1)).drop("pressure_bar").withColumnRenamed("flow_lpm", "flow")
+    diff = quality.contract_diff(t, a.telemetry(spark, d).columns, {"flow_lpm": "flow", "pressure_bar": "pressure"})
     return spark.createDataFrame([(c, k) for k, cs in diff.items() for c in cs], "column string, kind string")

@@ -72,12 +72,43 @@ def write_layer(df: DataFrame, path: str, by: list[str] | None = None) -> DataFr
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-def write_text(path: str, text: str) -> None:
-    from pyarrow.fs import FileSystem
+def read_narrow(spark: SparkSession, path: str) -> DataFrame:
+    """Telemetry for exploration: sensors as 32-bit floats, sorted within partitions by machine and time."""
+    d = read_telemetry(spark, path)
+    d = d.withColumns({c: F.col(c).cast("float") for c, t in d.dtypes if t == "double"})
+    return d.repartition("machine_id").sortWithinPartitions("machine_id", "timestamp")
+
+
+def read_eligible(spark: SparkSession, processed_dir: str) -> tuple[DataFrame, list[str]]:
+    """(eligible rows of the labelled table, names of the selected features), as the pipeline wrote them."""
+    features = json.loads(read_text(f"{processed_dir}/feature_list.json"))
+    return spark.read.parquet(f"{processed_dir}/dataset.parquet").where("eligible"), features
+
 
-    fs, at = FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    with fs.open_output_stream(at) as f:
-        f.write(text.encode())
+def _file_system(path: str):
+    """(file system, path) by the session's Hadoop settings, so that artefacts go where the tables go."""
+    spark = SparkSession.active()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def write_text(path: str, text: str) -> None:
+    fs, at = _file_system(path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(path: str) -> str:
+    fs, at = _file_system(path)
+    spark = SparkSession.active()
+    data = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+    finally:
+        data.close()
 
 
 def write_small_csv(df: DataFrame, path: str) -> None:
