@@ -98,7 +98,7 @@ class ChunkMemo:
     and what is asked for again moves back. Chunks over ``longest`` bytes are not kept.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], most: int = 700_000, longest: int = 64, window: int = 8_000_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], most: int = 700_000, longest: int = 64, window: int = 4_000_000):
         self.encode, self.most, self.longest, self.window = encode, most, longest, window
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}

@@ -41,7 +41,7 @@ class PrefixBpe:
         self.packed = {v: v.to_bytes(4, "little") for v in ranks.values()}
         self.table = pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of) + 1)], pa.large_binary())
         self.pieces: dict[str, bytes] = {}
-        self.memo = ChunkMemo(self._packed_chunks, most=600_000)
+        self.memo = ChunkMemo(self._packed_chunks, most=300_000)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> PrefixBpe:
@@ -261,7 +261,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            for at, to in slices(b.column(1), 16_000_000):
+            for at, to in slices(b.column(1), 4_000_000):
                 ids = c.memo(b.column(1).slice(at, to - at))
                 out = [b.column(0).slice(at, to - at), ids.cast(pa.binary())]
                 if decoded:
