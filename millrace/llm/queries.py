@@ -102,11 +102,29 @@ def op7_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(docs, model, tail=2)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.divergence import divergence
+
+    return divergence(_documents(spark, sf_dir))
+
+
+def op12_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.simhash import near_groups
+
+    return near_groups(_documents(spark, sf_dir), k=3, most=3)
+
+
+def op13_target_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.importance import resample
+
+    return resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), share=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op5_url_filter, op6_line_dedup, op7_quality_grade, op8_set_join, op9_syncmers, op10_prefix_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op2_substring_dedup, op3_decontamination, op4_language_id, op5_url_filter, op6_line_dedup, op7_quality_grade, op8_set_join, op9_syncmers, op10_prefix_bpe, op11_source_divergence, op12_simhash_anchors, op13_target_sample)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from millrace.llm import linededup
+    from millrace.llm import divergence, linededup
 
-    return {"op6_line_dedup": linededup.duckdb_sql()}
+    return {"op6_line_dedup": linededup.duckdb_sql(), "op11_source_divergence": divergence.duckdb_sql()}
