@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import fresh, hours_between, micros
-from millrace.operators.series import AFTER, among_events, blocked, over_time, steps_of
+from millrace.operators import sliding
+from millrace.operators.series import AFTER, among_events, micros_of, steps_of
 
 #: Name -> (column, sign of the deviation, threshold, statistic of the window).
 RULES = {
@@ -21,42 +20,43 @@ RULES = {
 }
 
 
-def rolling_signal(col: str, sign: int, how: str, span: str, key: str, ts: str) -> Column:
-    w = over_time(key, ts, span)
-    return F.abs(F.avg(col).over(w)) if how == "absmean" else F.percentile(col, 0.5).over(w) * sign
-
-
-def sustained(flag: Column, span: str, key: str, ts: str) -> Column:
-    """Whether the flag held in all rows of the span; NULL counts as not."""
-    return F.min(F.coalesce(flag, F.lit(False)).cast("int")).over(over_time(key, ts, span)) == 1
-
-
 def rule_alarms(df: DataFrame, rules: dict[str, tuple[str, int, float, str]] = RULES, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", standby: str | None = "is_standby", block: str | None = "10 day") -> DataFrame:
     """``df`` with a flag for each rule and any_rule; a NULL standby counts as running.
 
     A rule on vib_xy_delta gets it from the two axes where the column is absent. The windows go by time and reach back
-    two spans, so the work is cut into blocks of time with that halo.
+    two spans, so the work is cut into blocks of time with that halo; medians move on by a sorted ring.
     """
     if any(c == "vib_xy_delta" for c, *_ in rules.values()) and "vib_xy_delta" not in df.columns:
         df = df.withColumn("vib_xy_delta", F.col("vibration_x_g") - F.col("vibration_y_g"))
-    signal = dict(zip(rules, fresh(df, *(f"_s_{n}" for n in rules)), strict=True))
-    running = ~F.coalesce(F.col(standby), F.lit(False)) if standby else F.lit(True)
-
-    def op(d: DataFrame, k: str) -> DataFrame:
-        d = d.withColumns({signal[n]: rolling_signal(c, s, how, span, k, ts) for n, (c, s, _, how) in rules.items()})
-        return d.withColumns({n: sustained(F.col(signal[n]) > limit, span, k, ts) & running for n, (_, _, limit, _) in rules.items()})
-
-    d = blocked(df, op, block, steps_of(span, 2), key, ts) if block else op(df, key)
-    return d.withColumn("any_rule", reduce(or_, (F.col(n) for n in rules))).drop(*signal.values())
+    size = micros_of(span)
+    cols = list(dict.fromkeys(c for c, *_ in rules.values()))
+    (idle,) = fresh(df, "_idle")
+    d = df.withColumn(idle, (F.coalesce(F.col(standby), F.lit(False)) if standby else F.lit(False)).cast("double"))
+
+    def compute(t: np.ndarray, values: list[np.ndarray]) -> dict[str, np.ndarray]:
+        lo, hi = sliding.last_span(t, size)
+        running, made = values[-1] == 0.0, {}
+        for n, (c, sign, limit, how) in rules.items():
+            v = values[cols.index(c)]
+            frames = sliding.Frames(v)
+            count = frames.count(lo, hi)
+            if how == "absmean":
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    signal = np.abs(((frames.s[hi] - frames.s[lo]) / count).astype(float) + frames.centre)
+            else:
+                signal = sign * sliding.quantiles(v, lo, hi)
+            made[n] = sliding.held((count > 0) & (signal > limit), lo, hi) & running
+        return made | {"any_rule": np.logical_or.reduce(list(made.values()))}
+
+    reach = steps_of(span, 2)
+    return sliding.over_runs(d, [*cols, idle], compute, dict.fromkeys([*rules, "any_rule"], "boolean"), key, ts, reach, 0, block, reach, df.columns)
 
 
 def naive_alarm(df: DataFrame, col: str, k: float = 3.0, span: str = "6 hour", key: str = "machine_id", ts: str = "timestamp", out: str = "naive_low", block: str | None = "10 day") -> DataFrame:
     """Flag: below mean less k deviations of the machine's whole history, held for the span."""
     mean, spread = fresh(df, "_m", "_s")
     m = df.groupBy(key).agg(F.avg(col).alias(mean), F.stddev_samp(col).alias(spread))
-    op = lambda d, by: d.withColumn(out, sustained(F.col(col) < F.col(mean) - F.col(spread) * k, span, by, ts))
-    d = df.join(m, key)
-    return (blocked(d, op, block, span, key, ts) if block else op(d, key)).drop(mean, spread)
+    return sliding.flag_held(df.join(m, key), F.col(col) < F.col(mean) - F.col(spread) * k, span, out, key, ts, block).drop(mean, spread)
 
 
 def lead_times(alarms: DataFrame, failures: DataFrame, rules: list[str], days: int = 30, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import any_null, correlation_from_moments, crest, cyclic, hour_end, kurtosis_from_moments, micros
-from millrace.operators.series import AFTER, BEFORE, among_events, blocked, expiring, steps_of, with_rolling_and_lags
+from millrace.functions.columns import any_null, correlation_from_moments, crest, cyclic, fresh, hour_end, kurtosis_from_moments, micros
+from millrace.operators import sliding
+from millrace.operators.series import AFTER, BEFORE, among_events, expiring, steps_of, with_rolling_and_lags
 
 SIGNALS = ["pressure_bar", "temp_celsius", "flow_lpm", "vibration_x_g", "vibration_y_g"]
 RAW = [*SIGNALS, "pump_rpm"]
@@ -88,11 +86,7 @@ def add_rolling_and_lags(h: DataFrame, cfg: dict, roll: list[str] = ROLL, lag: l
     for c in lag:
         for n in f["lags_h"]:
             reg |= {f"{c}_lag{n}h": ("lag", f"{c} {n} h before"), f"{c}_diff{n}h": ("lag", f"change of {c} in {n} h")}
-    op = lambda d, key: with_rolling_and_lags(d, roll, lag, f["rolling_windows_h"], f["lags_h"], key=key)
-    if not block:
-        return op(h, "machine_id"), reg
-    reach = max([*f["rolling_windows_h"], *f["lags_h"]])
-    return blocked(h, op, block, f"{reach} hour"), reg
+    return with_rolling_and_lags(h, roll, lag, f["rolling_windows_h"], f["lags_h"], block=block), reg
 
 
 def band_shares(windows: np.ndarray, bands: list[list[float]]) -> np.ndarray:
@@ -126,35 +120,30 @@ def spectral_names(bands: list[list[float]]) -> list[str]:
 def spectral_features(minutes: DataFrame, hours: DataFrame | None, cfg: dict, signal: str = "vibration_x_g", block: str | None = None) -> tuple[DataFrame, Registry]:
     """(machine_id, timestamp, band shares, entropy, log power) of the minutes before each hour's stamp.
 
-    The window of the last rows is gathered by Spark only where a row ends an hour, so a task holds one
-    window at a time; the transform runs on Arrow batches. Hours with fewer rows before them have NULLs. With ``hours``
-    the result has a row for each of these, else only for hours with a window. With ``block`` (whole hours; for
-    rows at every sampling interval) a machine's history is many tasks.
+    Minutes stream by in order of time; the last rows are laid out and transformed only where a row ends an hour. Hours with
+    fewer rows before them have NULLs. With ``hours`` the result has a row for each of these, else only for hours with a
+    window. With ``block`` (whole hours; for rows at every sampling interval) a machine's history is many tasks.
     """
     f = cfg["features"]
     size, bands = int(f["spectral_window_min"]), f["spectral_bands"]
     names = spectral_names(bands)
-
-    def windows(d: DataFrame, key: str) -> DataFrame:
-        w = Window.partitionBy(key).orderBy("timestamp")
-        d = d.withColumns({"_t": hour_end("timestamp"), "_n": F.row_number().over(w)})
-        d = d.withColumn("_ends", F.coalesce(F.lead("_t").over(w) != F.col("_t"), F.lit(True)) & (F.col("_n") >= size))
-        return d.withColumn("w", F.when(F.col("_ends"), F.collect_list("s").over(w.rowsBetween(-(size - 1), 0)))).where("_ends")
-
-    d = minutes.select("machine_id", "timestamp", F.struct(F.col(signal).alias("v")).alias("s"))
-    d = blocked(d, windows, block, steps_of(cfg["validation"]["sampling_interval"], size)) if block else windows(d, "machine_id")
-    d = d.select("machine_id", F.col("_t").alias("timestamp"), F.col("w.v").alias("w"))
-    kind = minutes.schema["timestamp"].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                values = np.array([[np.nan if v is None else v for v in x] for x in b["w"]], float)
-                got = band_shares(values, bands)
-                yield pd.concat([b[["machine_id", "timestamp"]].reset_index(drop=True), pd.DataFrame(got, columns=names)], axis=1)
-
-    got = d.mapInPandas(run, f"machine_id string, timestamp {kind}, " + ", ".join(f"{n} double" for n in names))
-    got = got.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in names})
+    stamp, hour = fresh(minutes, "_t", "_h")
+    d = minutes.select("machine_id", hour_end("timestamp").alias(stamp), "timestamp", F.col(signal).cast("double").alias("_signal"))
+    d = d.withColumn(hour, micros(stamp).cast("double") / 3.6e9)
+
+    def compute(t: np.ndarray, values: list[np.ndarray]) -> dict[str, np.ndarray]:
+        v, hours_ = values
+        ends = np.r_[hours_[1:] != hours_[:-1], True] & (np.arange(len(v)) >= size - 1)
+        out = np.full((len(v), len(names)), np.nan)
+        at = np.flatnonzero(ends)
+        for part in np.array_split(at, max(1, len(at) // 500)):
+            if len(part):
+                out[part] = band_shares(np.lib.stride_tricks.sliding_window_view(v, size)[part - (size - 1)], bands)
+        return {"keep": ends} | dict(zip(names, out.T, strict=True))
+
+    interval = cfg["validation"]["sampling_interval"]
+    got = sliding.over_runs(d, ["_signal", hour], compute, dict.fromkeys(names, "double"), behind=size, ahead=1, block=block, halo=steps_of(interval, size), keep=["machine_id", stamp])
+    got = got.withColumnRenamed(stamp, "timestamp")
     reg: Registry = {f"vib_spec_band{i}_share": ("spectral", f"share of vibration's power in {lo} to {hi} cycles a minute over {size} minutes") for i, (lo, hi) in enumerate(bands)}
     reg |= {"vib_spec_entropy": ("spectral", "spectral entropy of vibration, 1 for noise"), "vib_spec_log_power": ("spectral", "log10 of vibration's power")}
     return got if hours is None else hours.select("machine_id", "timestamp").join(got, ["machine_id", "timestamp"], "left"), reg

@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import divided, fresh, micros, outside
+from millrace.operators import sliding
 
 
 def reindex_grid(df: DataFrame, step: str = "1 minute", key: str = "machine_id", ts: str = "timestamp", flag: str = "was_missing_row") -> DataFrame:
     """A row for each step between a key's first and last timestamp; ``flag`` marks the added ones.
 
-    The grid starts at each key's first timestamp; rows off it are left out. Steps are made day by day,
-    so that no array holds a whole history.
+    The grid starts at each key's first timestamp; rows off it are left out, and so are rows without a key or a time, which
+    have no place on any grid. Steps are made day by day, so that no array holds a whole history.
     """
+    df = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     size = micros_of(step)
     a_day = max(1, 86_400_000_000 // size)  # steps in a chunk
     shift = lambda n: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (n * F.lit(size) / F.lit(1_000_000)).cast("decimal(18,6)"))
@@ -37,7 +40,7 @@ def reindex_grid(df: DataFrame, step: str = "1 minute", key: str = "machine_id",
 def micros_of(step: str) -> int:
     """Microseconds of '<n> <unit>'."""
     n, unit = step.split()
-    return int(n) * {"second": 10**6, "minute": 6 * 10**7, "hour": 36 * 10**8, "day": 864 * 10**8}[unit.rstrip("s")]
+    return int(n) * {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 6 * 10**7, "hour": 36 * 10**8, "day": 864 * 10**8}[unit.rstrip("s")]
 
 
 def steps_of(step: str, n: int) -> str:
@@ -85,39 +88,41 @@ def interpolate_both(df: DataFrame, col: str, limit: int | None, key: str = "mac
     return d.withColumn(out, value).drop(n, p, q, i, j)
 
 
-def trailing_median(df: DataFrame, col: str, rows: int = 15, least: int | None = None, key: str = "machine_id", ts: str = "timestamp", out: str = "rolling_median") -> DataFrame:
-    """The median of the last ``rows`` rows; NULL below ``least`` values (by default all of them must be there)."""
-    frame = by_time(key, ts).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(out, F.when(F.count(col).over(frame) >= (rows if least is None else least), F.percentile(col, 0.5).over(frame)))
+def trailing_median(df: DataFrame, col: str, rows: int = 15, least: int | None = None, key: str = "machine_id", ts: str = "timestamp", out: str = "rolling_median", block: str | None = None) -> DataFrame:
+    """The median of the last ``rows`` rows; NULL below ``least`` values (by default all of them must be there).
 
+    With ``block`` (for regular grids of a minute or more) a key's history is many tasks.
+    """
+    enough = rows if least is None else least
+    compute = lambda t, v: {out: sliding.quantiles(v[0], *sliding.last_rows(len(t), rows), least=enough)}
+    return sliding.over_runs(df, [col], compute, {out: "double"}, key, ts, behind=rows, block=block, halo=f"{rows} hour")
 
-def trailing(cols: list[str], windows: list[int], key: str, ts: str, stats: tuple[str, ...] = ("mean", "std", "min", "max", "slope"), position: str = "_row") -> dict[str, Column]:
-    """Statistics over the last ``w`` rows; NULL below max(2, w // 2) values. ``position`` numbers the rows of a key, for the slope."""
-    out: dict[str, Column] = {}
-    for c in cols:
-        for w in windows:
-            frame = by_time(key, ts).rowsBetween(-(w - 1), 0)
-            enough = F.count(c).over(frame) >= max(2, w // 2)
-            made = {"mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c), "slope": F.regr_slope(F.col(c), F.col(position))}
-            out |= {f"{c}_roll{w}h_{s}": F.when(enough, made[s].over(frame)) for s in stats}
-    return out
 
+STATS = ("mean", "std", "min", "max", "slope")
 
-def lags(cols: list[str], steps: list[int], key: str, ts: str) -> dict[str, Column]:
-    w = by_time(key, ts)
-    out: dict[str, Column] = {}
-    for c in cols:
-        for n in steps:
-            out[f"{c}_lag{n}h"] = F.lag(c, n).over(w)
-            out[f"{c}_diff{n}h"] = F.col(c) - F.lag(c, n).over(w)
-    return out
 
+def with_rolling_and_lags(df: DataFrame, roll: list[str], lag: list[str], windows: list[int], steps: list[int], key: str = "machine_id", ts: str = "timestamp", block: str | None = None, step: str = "1 hour") -> DataFrame:
+    """Statistics over the last w rows (NULL below max(2, w // 2) values), values some rows before and changes since.
+
+    One shuffle and one sort for all columns. With ``block`` (for rows of each ``step``) a key's history is many tasks.
+    """
+    cols = list(dict.fromkeys([*roll, *lag]))
+    out = {f"{c}_roll{w}h_{s}": "double" for c in roll for w in windows for s in STATS} | {f"{c}_{k}{n}h": "double" for c in lag for n in steps for k in ("lag", "diff")}
 
-def with_rolling_and_lags(df: DataFrame, roll: list[str], lag: list[str], windows: list[int], steps: list[int], key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
-    """All trailing statistics and lags in one select, hence one sort of one shuffle."""
-    (row,) = fresh(df, "_row")
-    d = df.withColumn(row, F.row_number().over(by_time(key, ts)).cast("double"))
-    return d.select(*df.columns, *(e.alias(n) for n, e in (trailing(roll, windows, key, ts, position=row) | lags(lag, steps, key, ts)).items()))
+    def compute(t: np.ndarray, values: list[np.ndarray]) -> dict[str, np.ndarray]:
+        by_name, made = dict(zip(cols, values, strict=True)), {}
+        for c in roll:
+            frames = sliding.Frames(by_name[c])
+            for w in windows:
+                made |= {f"{c}_roll{w}h_{s}": x for s, x in frames.stats(w, STATS, max(2, w // 2)).items()}
+        for c in lag:
+            for n in steps:
+                before = sliding.lagged(by_name[c], n)
+                made |= {f"{c}_lag{n}h": before, f"{c}_diff{n}h": by_name[c] - before}
+        return made
+
+    reach = max([*windows, *steps], default=0)
+    return sliding.over_runs(df, cols, compute, out, key, ts, behind=reach, block=block, halo=steps_of(step, reach))
 
 
 def blocked(df: DataFrame, op: Callable[[DataFrame, str], DataFrame], block: str, halo: str, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
@@ -125,14 +130,15 @@ def blocked(df: DataFrame, op: Callable[[DataFrame, str], DataFrame], block: str
 
     ``op`` gets the rows and the name of the key to partition by, and keeps all their columns. The rows of the
     halo are given to it and taken out again; the result equals that over whole keys if no window reaches further back
-    than the halo. Windows by rows reach as far as their rows do, so they need a regular grid.
+    than the halo. Windows by rows reach as far as their rows do, so they need a regular grid. Rows without a time are a
+    block of their own.
     """
     size, before = micros_of(block), micros_of(halo)
     home, number, part = fresh(df, "_home", "_block", "_part")
     at = F.floor(micros(ts) / size)
     reach = F.floor((micros(ts) + before) / size)
-    d = df.withColumn(home, at).withColumn(number, F.explode(F.sequence(at, reach))).withColumn(part, F.struct(key, number))
-    return op(d, part).where(F.col(home) == F.col(number)).drop(home, number, part)
+    d = df.withColumn(home, at).withColumn(number, F.explode(F.coalesce(F.sequence(at, reach), F.array(F.lit(None).cast("long"))))).withColumn(part, F.struct(key, number))
+    return op(d, part).where(F.col(home).eqNullSafe(F.col(number))).drop(home, number, part)
 
 
 def islands(df: DataFrame, state: Column, key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
@@ -160,12 +166,14 @@ def isolated_share(df: DataFrame, mask: Column, key: str = "machine_id", ts: str
 def hampel(df: DataFrame, col: str, window: int = 15, k: float = 5.0, least: int = 5, key: str = "machine_id", ts: str = "timestamp", out: str = "is_outlier") -> DataFrame:
     """Marks values further than k * 1.4826 * MAD from the centred rolling median. Not causal: for exploration only."""
     half = window // 2
-    middle, apart, scale = fresh(df, "_m", "_d", "_s")
-    frame = by_time(key, ts).rowsBetween(-half, half)
-    median = lambda c: F.when(F.count(c).over(frame) >= least, F.percentile(c, 0.5).over(frame))
-    d = df.withColumn(middle, median(col)).withColumn(apart, F.abs(F.col(col) - F.col(middle)))
-    d = d.withColumn(scale, F.nullif(median(apart), F.lit(0.0)) * 1.4826)
-    return d.withColumn(out, F.coalesce(F.col(apart) > F.col(scale) * k, F.lit(False))).drop(middle, apart, scale)
+
+    def compute(t: np.ndarray, values: list[np.ndarray]) -> dict[str, np.ndarray]:
+        lo, hi = sliding.centred(len(t), half)
+        apart = np.abs(values[0] - sliding.quantiles(values[0], lo, hi, least=least))
+        scale = sliding.quantiles(apart, lo, hi, least=least) * 1.4826
+        return {out: (scale != 0) & (apart > scale * k)}  # comparisons with NaN are false
+
+    return sliding.over_runs(df, [col], compute, {out: "boolean"}, key, ts, behind=2 * half, ahead=2 * half)
 
 
 #: Where an event stands among rows of its own time.
