@@ -263,8 +263,11 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = Non
     """((key, n, c) of all rows, (c, label) of all classes that have links).
 
     Two classes have one label when links of the given similarity join them, directly or in steps. The sketch has
-    2**bits counters: if not given, 64 a row, within 2**16 and 2**21.
+    2**bits counters: if not given, 64 a row, within 2**16 and 2**21. ``percent`` is 51 or more: sets that are no equals then
+    share two shingles if they link, which is what pairs are asked for before they are compared.
     """
+    if not 51 <= percent <= 100:
+        raise ValueError("percent must lie between 51 and 100")
     spark = docs.sparkSession
     bits = bits or min(21, max(16, (64 * docs.count()).bit_length()))
     rows, sketch = describe(docs, k, bits, text, key)
@@ -333,7 +336,7 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | N
     """(key, n_shingles, component_id) of every row; component_id is the least key reachable by links.
 
     Words are runs of bytes other than white space, with A-Z lower-cased. Two rows link when
-    100 * intersection >= percent * union of their shingle sets. A row without words (null, empty or
+    100 * intersection >= percent * union of their shingle sets; ``percent`` lies between 51 and 100. A row without words (null, empty or
     blank text) has no shingles and links with nothing, so its component_id is its key. Rows with equal
     sets always link. Null keys take part but are never a component's name, unless all its keys are null.
     Columns other than ``key`` and ``text`` are not read.

@@ -20,6 +20,7 @@ a stretch are equal. The work goes from cheap to exact:
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -27,7 +28,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,30 +47,48 @@ class FingerprintIndex:
     run in memory. An index with ``history`` outlives a call: its runs hold each kind of stretch (digest, whether
     it was there more than once, the place of one witness) and the texts of the batches lie beside them. Without
     it a run holds fingerprints only. ``folder`` names an index that is there already; it must be one that all
-    executors see. A batch is listed once it is whole, so a failed call leaves unlisted files at most.
+    executors see.
+
+    What counts is what the newest list names. A call stages its runs and texts unlisted, and lists all of them, with its
+    name and its result, by one new file once everything else has been done; so a call that fails leaves unlisted
+    files and no trace in later results, and a call that is repeated by its name gets the result it had.
     """
 
     COLUMNS = "fp bigint, many boolean, d1 bigint, d2 bigint, k1 bigint, k2 bigint, start int, n int"
+    SPANS = "k1 long, k2 long, spans array<struct<start:int,stop:int>>"
 
     def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int | None = None, history: bool = True, most_runs: int = 4):
         self.spark, self.folder, self.history, self.most_runs = spark, folder or work_path(spark, "fingerprints"), history, most_runs
         self.fs, self.path = FileSystem.from_uri(self.folder)
         self.fs.create_dir(self.path, recursive=True)
-        self.state = {"buckets": buckets or partitions(spark), "runs": [], "texts": []}
-        if self.fs.get_file_info(f"{self.path}/index.json").is_file:
-            with self.fs.open_input_file(f"{self.path}/index.json") as f:
+        self.state = {"version": 0, "buckets": buckets or partitions(spark), "runs": [], "texts": [], "calls": {}}
+        if lists := self._lists():
+            with self.fs.open_input_file(lists[-1]) as f:
                 self.state = json.loads(f.read())
 
+    def _lists(self) -> list[str]:
+        """The lists, oldest first. Each has a name of its own, as not every store can replace a file."""
+        return sorted(f.path for f in self.fs.get_file_info(FileSelector(self.path)) if re.fullmatch(r"index-\d+\.json", f.base_name))
+
     @property
     def runs(self) -> list[str]:
         return self.state["runs"]
 
-    def _note(self, **changes: list[str]) -> None:
-        """Make the changes in one step: the list of what counts is a file that is replaced as a whole."""
-        self.state |= changes
-        with self.fs.open_output_stream(f"{self.path}/index.new") as f:
-            f.write(json.dumps(self.state).encode())
-        self.fs.move(f"{self.path}/index.new", f"{self.path}/index.json")
+    @property
+    def calls(self) -> dict[str, str]:
+        return self.state["calls"]
+
+    def _note(self, **changes: list[str] | dict[str, str]) -> None:
+        """Make the changes in one step: a new list appears under its name only when it is whole."""
+        old = self._lists()
+        state = self.state | changes | {"version": self.state["version"] + 1}
+        at = f"{self.path}/index-{state['version']:08d}"
+        with self.fs.open_output_stream(f"{at}.new") as f:
+            f.write(json.dumps(state).encode())
+        self.fs.move(f"{at}.new", f"{at}.json")
+        self.state = state
+        for x in old[:-1]:
+            self.fs.delete_file(x)
 
     def run(self, name: str) -> DataFrame:
         """One run as a table whose buckets and order Spark knows."""
@@ -87,9 +106,10 @@ class FingerprintIndex:
         rows.write.bucketBy(n, "fp").sortBy("fp").options(path=f"{self.folder}/{name}", compression="uncompressed").saveAsTable(table)
         return name
 
-    def ingest(self, entries: DataFrame) -> DataFrame:
-        """Make a batch of entries a run; returns the fingerprints (fp, with repeats) that occur in the batch and twice in all."""
-        old = list(self.runs)
+    def stage(self, entries: DataFrame, earlier: list[str]) -> tuple[str, DataFrame]:
+        """Make a batch of entries a run that is not listed yet: its name, and the fingerprints (with repeats) that
+        occur in the batch and twice in it and the ``earlier`` runs together.
+        """
         if self.history:
             kinds = entries.groupBy("fp", "d1", "d2").agg(F.count(F.lit(1)).alias("times"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n"))).repartition(self.state["buckets"], "fp")
         else:
@@ -98,9 +118,14 @@ class FingerprintIndex:
         name = self._write(kinds.withColumn("many", F.col("times") > 1))
         new = self.run(name)
         twice = new.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.max("many").alias("many")).where("kinds > 1 or many").select("fp")
-        for r in old:
+        for r in earlier:
             twice = twice.unionAll(new.select("fp").join(self.run(r).select("fp").hint("merge"), "fp", "left_semi"))
-        self._note(runs=[*old, name])
+        return name, twice
+
+    def ingest(self, entries: DataFrame) -> DataFrame:
+        """Stage a batch and list it at once; returns what ``stage`` names."""
+        name, twice = self.stage(entries, self.runs)
+        self._note(runs=[*self.runs, name])
         return twice
 
     def kinds(self, fingerprints: DataFrame, runs: list[str]) -> DataFrame:
@@ -108,11 +133,20 @@ class FingerprintIndex:
         parts = [self.run(r).join(fingerprints, "fp", "left_semi") for r in runs]
         return reduce(DataFrame.unionAll, parts) if parts else self.spark.createDataFrame([], self.COLUMNS)
 
-    def remember(self, rows: DataFrame) -> None:
-        """Keep the texts (k1, k2, text) of a batch, from which witnesses are read."""
+    def remember(self, rows: DataFrame) -> str:
+        """Stage the texts (k1, k2, text) of a batch, from which witnesses are read; returns the name to list."""
         name = f"texts-{uuid.uuid4().hex}"
         rows.select("k1", "k2", "text").write.parquet(f"{self.folder}/{name}")
-        self._note(texts=[*self.state["texts"], name])
+        return name
+
+    def keep(self, spans: DataFrame) -> str:
+        """Stage a call's result; returns the name to list."""
+        name = f"spans-{uuid.uuid4().hex}"
+        spans.write.parquet(f"{self.folder}/{name}")
+        return name
+
+    def spans(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.SPANS).parquet(f"{self.folder}/{name}")
 
     def texts(self) -> DataFrame:
         """All texts kept, once each."""
@@ -121,16 +155,18 @@ class FingerprintIndex:
             return self.spark.createDataFrame([], "k1 long, k2 long, text string")
         return self.spark.read.schema("k1 long, k2 long, text string").parquet(*(f"{self.folder}/{x}" for x in names))
 
+    def merged(self, runs: list[str]) -> str:
+        """Stage one run in place of several."""
+        # Read as plain files: over a union of bucketed scans Spark 4.1 leaves the shuffle out, though it does not put equal buckets together.
+        rows = self.spark.read.schema(self.COLUMNS).parquet(*(f"{self.folder}/{r}" for r in runs)).repartition(self.state["buckets"], "fp")
+        return self._write(rows.groupBy("fp", "d1", "d2").agg((F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n"))))
+
     def compact(self, most_runs: int = 1) -> None:
         """Merge the runs into one if there are more than ``most_runs``; the old ones go once the new run is listed."""
         old = list(self.runs)
         if len(old) <= most_runs:
             return
-        # Read as plain files: over a union of bucketed scans Spark 4.1 leaves the shuffle out, though it does not put equal buckets together.
-        rows = self.spark.read.schema(self.COLUMNS).parquet(*(f"{self.folder}/{r}" for r in old)).repartition(self.state["buckets"], "fp")
-        merged = rows.groupBy("fp", "d1", "d2").agg((F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "n")))
-        name = self._write(merged)
-        self._note(runs=[name])
+        self._note(runs=[self.merged(old)])
         self._drop(old)
 
     def _drop(self, names: list[str]) -> None:
@@ -140,12 +176,14 @@ class FingerprintIndex:
 
     def drop(self) -> None:
         """Remove the index with all its files."""
-        self._drop(self.runs)
+        self._drop([f.base_name for f in self.fs.get_file_info(FileSelector(self.path)) if f.base_name.startswith("run-")])
         self.fs.delete_dir(self.path)
 
 
 def keyed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(k1, k2, key, text): rows that share key and text share (k1, k2), and so their result."""
+    if docs.schema[key].dataType.typeName() not in ("long", "integer", "short", "byte", "void"):
+        raise TypeError(f"{key} must be an integer column")
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k2"), F.col(key).alias("key"), F.col(text).alias("text"))
 
 
@@ -223,20 +261,31 @@ def windows(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "d1 long, d2 long, k1 long, k2 long, start int, old boolean")
 
 
-def repeated_spans(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 3, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id", call: str | None = None) -> DataFrame:
     """(k1, k2, spans) with the word spans [s, e) that repeated windows cover, one row a text that has any.
 
     The rows go to the index in ``batches`` by a hash of the text; all are judged together with what the index
-    held before. ``width`` and ``gram`` must be those of the index's earlier calls.
+    held before. ``width`` and ``gram`` must be those of the index's earlier calls. Without an index the batches pass
+    one that lives as long as the call: each is merge-joined with what came before it, which is compacted in between.
+    A ``call`` that the index has listed already adds nothing and returns the result it had.
     """
     spark = docs.sparkSession
+    if index is not None and call in index.calls:
+        return index.spans(index.calls[call])
     rows = keyed(docs, text, key)
     own = index is None
     index = index or FingerprintIndex(spark, history=False)
     before = list(index.runs)
-    past = index.texts()  # before this call's own are kept
+    past = index.texts()
     e = Stored(entries(rows, width, gram).withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(batches)).cast("int")), "entries")
-    named = Stored(reduce(DataFrame.unionAll, [index.ingest(e.df.where(F.col("batch") == k).drop("batch")) for k in range(batches)]).distinct(), "named")
+    staged, found = [], []
+    for k in range(batches):
+        if own and len(staged) > 1:  # the runs merged stay until what has been joined with them is done
+            staged = [index.merged(staged)]
+        name, twice = index.stage(e.df.where(F.col("batch") == k).drop("batch"), before + staged)
+        staged.append(name)
+        found.append(twice)
+    named = Stored(reduce(DataFrame.unionAll, found).distinct(), "named")
     some = Stored(e.df.join(named.df, "fp", "left_semi").select("fp", "d1", "d2", "k1", "k2", "start", "n"), "repeated")
     e.drop()
     release(spark)
@@ -257,27 +306,33 @@ def repeated_spans(docs: DataFrame, width: int = 35, gram: int = 8, batches: int
     w.drop()
     release(spark)
     whole = some.df.join(kinds.df.where("times > 1").select("fp", "d1", "d2"), ["fp", "d1", "d2"], "left_semi").select("k1", "k2", "start", "n")
-    spans = checkpointed(whole.unionAll(alone.df).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + (width - 1)).alias("stop"))).alias("spans")))
+    spans = whole.unionAll(alone.df).groupBy("k1", "k2").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + (width - 1)).alias("stop"))).alias("spans"))
+    if own or not index.history:
+        out = checkpointed(spans)
+    else:
+        out = index.spans(kept := index.keep(spans))
+        texts = index.remember(rows.where(F.octet_length("text") > 0))
+        index._note(runs=before + staged, texts=[*index.state["texts"], texts], calls=index.calls | {call or uuid.uuid4().hex: kept})
     for t in (named, some, kinds, alone):
         t.drop()
     if own:
         index.drop()
     elif index.history:
-        index.remember(rows.where(F.octet_length("text") > 0))
         index.compact(index.most_runs)
-    return spans
+    return out
 
 
-def drop_repeats(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 2, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_repeats(docs: DataFrame, width: int = 35, gram: int = 8, batches: int = 3, index: FingerprintIndex | None = None, text: str = "text", key: str = "doc_id", call: str | None = None) -> DataFrame:
     """(key, n_words, n_removed, kept binary) of every row: the words that no repeated window covers, joined by blanks.
 
     Windows are ``width`` consecutive words; one repeats if its words also begin anywhere else, in the same
     text too, and is judged on the input. With an ``index``, "anywhere" includes all rows of earlier calls with
-    it, and these rows are added to it, so that a growing corpus is deduplicated batch by batch. A text of fewer words has no window and keeps all. Null or empty
-    texts have no words. Rows that share key and text are occurrences of one another. Columns other than
+    it, and these rows are added to it, so that a growing corpus is deduplicated batch by batch. Give each batch a name as
+    ``call``: repeated after a failure, with the same rows, the call returns what it returned or would have returned. A text of
+    fewer words has no window and keeps all. Null or empty texts have no words. Keys are integers or null (others raise). Rows that share key and text are occurrences of one another. Columns other than
     ``key`` and ``text`` are not read.
     """
-    spans = repeated_spans(docs, width, gram, batches, index, text, key)
+    spans = repeated_spans(docs, width, gram, batches, index, text, key, call)
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:

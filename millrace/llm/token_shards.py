@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,20 +182,19 @@ def byte_letters() -> dict[int, str]:
 
 
 class LibraryIds:
-    """Ids by the tokenizers library; strings of special tokens are ordinary text.
+    """Ids as the tokenizers library gives them; with ``plain_specials`` strings of special tokens are ordinary text.
 
-    A chunk that is one word of letters is one pre-token, so the library's model takes it as it is;
-    all other chunks go through the whole library.
+    Texts that hold such a string, where it counts, go through the library as a whole. Of all others, a chunk that is one
+    word of letters is one pre-token, so the library's model takes it as it is; the other chunks go through the whole library.
     """
 
-
-
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str, width: int, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain_specials
+        self.specials = [] if plain_specials else [t.content for t in self.library.get_added_tokens_decoder().values()]
         first = self.library.pre_tokenizer
         if self.library.normalizer is not None or type(first).__name__ != "ByteLevel" or first.add_prefix_space or not first.use_regex:
             raise ValueError(f"{path} is no byte-level vocabulary that splits by pattern and leaves texts as they are")
@@ -216,9 +217,19 @@ class LibraryIds:
         return out
 
 
-def library_memo(path: str, width: int) -> ChunkMemo:
-    """One memo a worker process."""
-    return only(f"library {path} {width}", lambda: LibraryIds(path, width)).memo
+    def ids(self, column: pa.Array) -> list[bytes]:
+        """One value a text."""
+        out = self.memo(column).to_numpy(zero_copy_only=False).tolist()
+        if self.specials:
+            held = pc.match_substring_regex(column, "|".join(map(re.escape, self.specials)))
+            for i in np.flatnonzero(held.fill_null(False).to_numpy(zero_copy_only=False)).tolist():
+                out[i] = b"".join([self.packed[t] for t in self.library.encode(column[i].as_py(), add_special_tokens=False).ids])
+        return out
+
+
+def library_ids(path: str, width: int, plain_specials: bool = False) -> LibraryIds:
+    """One a worker process."""
+    return only(f"library {path} {width} {plain_specials}", lambda: LibraryIds(path, width, plain_specials))
 
 
 def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -226,8 +237,8 @@ def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), absent
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folder: str | None = None, text: str = "text", key: str = "doc_id") -> list[dict]:
-    """Encode all texts, append ``end_id`` to each, and write shards of ascending keys; returns the manifest.
+def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folder: str | None = None, text: str = "text", key: str = "doc_id", plain_specials: bool = False) -> list[dict]:
+    """Encode all texts as the library does (with ``plain_specials``, strings of special tokens as ordinary text), append ``end_id`` to each, and write shards of ascending keys; returns the manifest.
 
     The manifest has one row a shard: number, file, documents, ids, ids of all shards before, least key.
     One shuffle by key ranges, whose borders come from the keys alone and which are dealt to tasks by their bytes, the
@@ -252,7 +263,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
             return pa.RecordBatch.from_pylist([{"shard": number, "file": writer.uri, "docs": n, "tokens": tokens, "first": first}], schema=kinds)
 
         for b in batches:
-            memo = library_memo(path, width)
+            encoder = library_ids(path, width, plain_specials)
             ids, absent = _keys(b.column(1))
             for lo, hi in runs(b.column(0).to_numpy(), b.num_rows):
                 if number != b.column(0)[lo].as_py():
@@ -262,8 +273,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int, folde
                     writer = ShardWriter(f"{folder}/shard-{number:06d}-{os.urandom(6).hex()}.tok", width)
                     first = None if absent[lo] else int(ids[lo])
                 for at, to in slices(texts := b.column(2).slice(lo, hi - lo), 16_000_000):
-                    payloads = memo(texts.slice(at, to - at)).to_numpy(zero_copy_only=False)
-                    writer.add(ids[lo + at : lo + to], absent[lo + at : lo + to], [x + end for x in payloads.tolist()])
+                    writer.add(ids[lo + at : lo + to], absent[lo + at : lo + to], [x + end for x in encoder.ids(texts.slice(at, to - at))])
         if writer is not None:
             yield row()
 

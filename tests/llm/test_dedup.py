@@ -165,3 +165,68 @@ def test_components_of_chains_stars_and_loops(spark):
             root[y] = x
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_call_that_fails_anywhere_leaves_no_trace(spark, monkeypatch):
+    """The second of two batches fails once at each step in turn; repeated, it gives what brute force gives."""
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    first = [(k, words(k, 80)) for k in range(4)]
+    second = [(10 + k, words(20 + k, 60)) for k in range(3)] + [(14, words(30, 10) + " " + words(1, 40)), (15, words(30, 50)), (16, words(30, 50))]
+    df = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    rows_of = lambda out: sorted((r.doc_id, r.n_words, r.n_removed, r.sha) for r in out.withColumn("sha", F.sha2("kept", 256)).collect())
+    want = sorted((i, *w) for (i, _), w in zip(second, substring.brute_force([t for _, t in first + second], 35)[len(first) :], strict=True))
+    assert 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
+    steps = ["stage", "kinds", "keep", "remember", "_note", "compact"]
+    for step in steps:
+        index = FingerprintIndex(spark, buckets=2, most_runs=2)
+        substring.drop_repeats(df(first), index=index, call="first")
+        listed = dict(index.state)
+        real = getattr(FingerprintIndex, step)
+
+        def failing(self, *a, real=real, **b):
+            real(self, *a, **b) if step not in ("_note", "compact") else None
+            raise OSError("lost")
+
+        with monkeypatch.context() as m:
+            m.setattr(FingerprintIndex, step, failing)
+            with pytest.raises(OSError, match="lost"):
+                substring.drop_repeats(df(second), index=index, call="second")
+        again = FingerprintIndex(spark, folder=index.folder, most_runs=2)
+        assert step == "compact" or again.state == listed
+        for _ in range(2):  # and once more after it went well
+            assert rows_of(substring.drop_repeats(df(second), index=again, call="second")) == want, step
+        assert rows_of(substring.drop_repeats(df(second), index=again, call="third")) == sorted((i, n, n if n >= 35 else 0, hashlib.sha256(b"").hexdigest()) for i, n, *_ in want)
+        index.drop()
+
+
+def test_own_batches_pass_a_compaction(spark, docs, rows, monkeypatch):
+    merged, joined = [], []
+    real, stage = FingerprintIndex.merged, FingerprintIndex.stage
+    monkeypatch.setattr(FingerprintIndex, "merged", lambda self, runs: merged.append(real(self, runs)) or merged[-1])
+    monkeypatch.setattr(FingerprintIndex, "stage", lambda self, e, earlier: joined.append(list(earlier)) or stage(self, e, earlier))
+    got = {r.doc_id: r.n_removed for r in substring.drop_repeats(docs, 5, 2, batches=4).collect()}
+    assert got == {i: w[1] for (i, _), w in zip(rows, substring.brute_force([t for _, t in rows], 5), strict=True)}
+    assert len(merged) == 2 and merged[0] in joined[2] and merged[1] in joined[3]
+
+
+def test_keys_that_are_no_integers_are_refused(spark):
+    with pytest.raises(TypeError):
+        substring.drop_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+@pytest.mark.parametrize("percent", [51, 60, 67, 75, 90, 100])
+@pytest.mark.parametrize("k", [1, 3])
+def test_similarity_joins_at_every_threshold(spark, percent, k):
+    import random
+
+    r = random.Random(percent * 7 + k)
+    sets = [" ".join(r.sample("abcdefgh", r.randint(1, 6))) for _ in range(70)] + [" ".join(f"{c}{i}" for i in range(12)) for c in "pq"] + [" ".join(f"p{i}" for i in range(r.randint(6, 11))) for _ in range(6)]
+    rows = list(enumerate(sets))
+    got = {r_.doc_id: (r_.n_shingles, r_.component_id) for r_ in setjoin.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=k, percent=percent).collect()}
+    assert got == setjoin.brute_force(rows, k, percent)
+
+
+def test_low_thresholds_are_refused(docs):
+    for percent in (0, 33, 50, 101):
+        with pytest.raises(ValueError, match="between 51 and 100"):
+            setjoin.similar_groups(docs, k=1, percent=percent)

@@ -83,11 +83,12 @@ def test_edits_encode_near_the_edit_only():
     assert e.replace(5000, 5001, "x") < 40
 
 
-def _library(rows):
+def _library(rows, plain=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
+    if plain:
+        t.encode_special_tokens = True
     return [np.array(e.ids + [2], "<u4") for e in t.encode_batch([t or "" for _, t in rows], add_special_tokens=False)]
 
 
@@ -101,6 +102,29 @@ def test_shards_hold_the_library_ids_in_order(spark, docs, rows):
     assert sum(m["tokens"] for m in manifest) == start and sum(m["docs"] for m in manifest) == len(rows)
 
 
+SPECIAL = [(0, "end <|endoftext|> of"), (1, "<|endoftext|>"), (2, "a<|endoftext|>b<|endoftext|>"), (3, "<|endoftext| >"), (4, "<|startoftext|> <|im_start|>"), (5, "x" * 300 + "<|endoftext|>\n\n"), (6, None)]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_strings_of_special_tokens_as_the_library_takes_them(spark, plain):
+    df = spark.createDataFrame(SPECIAL, "doc_id long, text string")
+    manifest = write_tokens(df, VOCABULARY, end_id=2, vocabulary=50257, plain_specials=plain)
+    got = {r.doc_id: bytes(r.ids) for r in read_tokens(spark, manifest, df.select("doc_id")).collect()}
+    want = {i: ids.tobytes() for (i, _), ids in zip(SPECIAL, _library(SPECIAL, plain), strict=True)}
+    assert got == want and (50256 in np.frombuffer(got[0], "<u4")) is not plain
+
+
+def test_strings_of_special_tokens_are_ordinary_for_ranks(spark):
+    import tiktoken
+
+    from millrace.llm.prefix_bpe import encode_documents
+
+    df = spark.createDataFrame(SPECIAL, "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in encode_documents(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()}
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={"<|endoftext|>": 50256})
+    assert got == {i: plain.encode_ordinary(t or "") for i, t in SPECIAL}
+
+
 def test_absent_and_repeated_keys(spark, odd, empty):
     manifest = write_tokens(odd, VOCABULARY, end_id=2, vocabulary=50257)
     got = read_tokens(spark, manifest, odd.select("doc_id").unionAll(spark.sql("select 999L"))).collect()
