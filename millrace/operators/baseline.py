@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,3 +83,69 @@ class RegimeBaseline:
         b = cls(signals)
         b.cells, b.ends = spark.read.parquet(path), spark.read.parquet(f"{path}.ref")
         return b
+
+
+class _NormalParams(Params):
+    signals = Param(Params._dummy(), "signals", "columns that are scored", TypeConverters.toListString)
+    referenceDays = Param(Params._dummy(), "referenceDays", "days from a machine's first reading that its normal is learned from", TypeConverters.toInt)
+    minSamples = Param(Params._dummy(), "minSamples", "values below which a cell takes its day type's", TypeConverters.toInt)
+
+
+class MachineNormal(Estimator, _NormalParams, DefaultParamsReadable, DefaultParamsWritable):
+    """``RegimeBaseline`` as a stage of a ``pyspark.ml.Pipeline``."""
+
+    @keyword_only
+    def __init__(self, *, signals: list[str] | None = None, referenceDays: int = 14, minSamples: int = 20):
+        super().__init__()
+        self._setDefault(signals=["pressure_bar", "temp_celsius", "flow_lpm", "vibration_x_g", "vibration_y_g"], referenceDays=14, minSamples=20)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> MachineNormalModel:
+        signals, days = self.getOrDefault("signals"), self.getOrDefault("referenceDays")
+        model = MachineNormalModel(baseline_cells(dataset, signals, days, self.getOrDefault("minSamples")), reference_ends(dataset, days))
+        model._resetUid(self.uid)
+        return self._copyValues(model)
+
+
+class MachineNormalModel(Model, _NormalParams, MLReadable, MLWritable):
+    """Adds z_<signal>, pct_<signal> and in_baseline_period, as ``RegimeBaseline.transform`` does.
+
+    A fitted model learns anew each time it is used, until it is saved and loaded; a loaded one reads its tables.
+    """
+
+    def __init__(self, cells: DataFrame | None = None, ends: DataFrame | None = None):
+        super().__init__()
+        self.cells, self.ends = cells, ends
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        b = RegimeBaseline(self.getOrDefault("signals"))
+        b.cells, b.ends = self.cells, self.ends
+        return b.transform(dataset)
+
+    def write(self) -> MLWriter:
+        return _NormalWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _NormalReader()
+
+
+class _NormalWriter(MLWriter):
+    def __init__(self, model: MachineNormalModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.cells.write.parquet(f"{path}/cells")
+        self.model.ends.write.parquet(f"{path}/ends")
+
+
+class _NormalReader(MLReader):
+    def load(self, path: str) -> MachineNormalModel:
+        read = self.sparkSession.read.parquet
+        model = MachineNormalModel(read(f"{path}/cells"), read(f"{path}/ends"))
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model

@@ -44,6 +44,17 @@ def percentiles(df: DataFrame, col: str, shares: dict[str, float], by: list[str]
     return d.groupBy(*by).agg(*out)
 
 
+def medians(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """(by.., a median a column) by ranks, so that no task holds the values of a group; NULL where a group has none."""
+    out = df.select(*by).distinct()
+    for c in cols:
+        same = F.lit(True)
+        for b in by:
+            same = same & F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}"))
+        out = out.alias("l").join(percentiles(df, c, {"_m": 0.5}, by).alias("r"), same, "left").select("l.*", F.col("r._m").alias(c))
+    return out
+
+
 def describe(df: DataFrame, cols: list[str], shares: tuple[float, ...] = (0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
     """(column, n, mean, std, min, max, percentiles.., skewness, kurtosis), the last two corrected for the sample's size.
 
@@ -73,6 +84,37 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     return d.agg(F.when(some, F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))).alias("spearman"))
 
 
+def spearman_matrix(df: DataFrame, cols: list[str], keys: list[str], by: list[str] | None = None) -> DataFrame:
+    """(by.., x, y, n, spearman) for each two columns in each group: ranks among a column's values in the group, correlated over the rows with both.
+
+    ``keys`` tell the rows of a group apart. All columns are ranked by one pass over (group, column, value), and a row's ranks
+    come together by its keys. NULL where fewer than two rows have both or one does not vary; NULL groups are groups.
+    """
+    by = by or []
+    if set(by) & set(keys):
+        raise ValueError("a column cannot both group rows and tell them apart")
+    groups, names = [f"_g{i}" for i in range(len(by))], [f"_c{i}" for i in range(len(cols))]
+    ids = [f"_k{i}" for i in range(len(keys))]
+    base = df.select(*(F.col(b).alias(g) for b, g in zip(by, groups, strict=True)), *(F.col(k).alias(i) for k, i in zip(keys, ids, strict=True)), *(F.col(c).cast("double").alias(n) for c, n in zip(cols, names, strict=True)))
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("c"), F.col(n).alias("v")) for n in names))).alias("x")
+    long = base.select(*groups, *ids, each).select(*groups, *ids, F.col("x.c").alias("_col"), F.col("x.v").alias("_v")).where("_v is not null")
+    ranks = counted(long, "_v", [*groups, "_col"]).withColumn("_r", F.col("__before") + (F.col("__n") + 1) / 2)
+    same = F.lit(True)
+    for c in [*groups, "_col", "_v"]:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    ranked = long.alias("l").join(ranks.alias("r"), same).select(*(F.col(f"l.{c}").alias(c) for c in [*groups, *ids, "_col"]), F.col("r._r").alias("_r"))
+    wide = ranked.groupBy(*groups, *ids).pivot("_col", names).agg(F.first("_r"))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
+    made = []
+    for i, j in pairs:
+        both = F.col(names[i]).isNotNull() & F.col(names[j]).isNotNull()
+        x, y = (F.when(both, F.col(names[k])) for k in (i, j))
+        r = F.when((F.var_pop(x) > 0) & (F.var_pop(y) > 0), F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+        made.append(F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), F.count_if(both).alias("n"), r.alias("spearman")).alias(f"_p{i}_{j}"))
+    one = wide.groupBy(*groups).agg(*made)
+    return one.select(*(F.col(g).alias(b) for g, b in zip(groups, by, strict=True)), F.explode(F.array(*(F.col(f"_p{i}_{j}") for i, j in pairs))).alias("p")).select(*by, "p.*")
+
+
 def kruskal(df: DataFrame, group: str, col: str) -> DataFrame:
     """One row: Kruskal-Wallis H with the correction for ties; NULL without rows or where all values are equal. Rows without a group are left out."""
     d = df.where(F.col(group).isNotNull() & F.col(col).isNotNull()).select(F.col(group).alias("g"), F.col(col).alias("v"))
@@ -95,7 +137,9 @@ def cliffs_delta(df: DataFrame, group: str, col: str, a: str, b: str) -> DataFra
 
 
 def mutual_information(df: DataFrame, group: str, col: str, bins: int, lo: float, hi: float) -> DataFrame:
-    """One row: mutual information in nats between a label and a value in equal bins; a binned estimate, not one by neighbours."""
+    """One row: mutual information in nats between a label and a value in equal bins; a binned estimate (``information`` has one by neighbours)."""
+    if bins < 1 or not lo < hi:
+        raise ValueError("there must be a bin, and lo must lie below hi")
     b = F.least(F.greatest(F.floor((F.col(col) - lo) / ((hi - lo) / bins)), F.lit(0)), F.lit(bins - 1))
     joint = df.where(F.col(col).isNotNull() & F.col(group).isNotNull()).groupBy(F.col(group).alias("g"), b.alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     g, v = Window.partitionBy("g"), Window.partitionBy("b")
@@ -133,7 +177,7 @@ def health_state(df: DataFrame, failures: DataFrame, key: str = "machine_id", ts
 def trajectory(df: DataFrame, cols: list[str], mode: str = "failure_mode", hours: str = "hours_to_failure", step: int = 12) -> DataFrame:
     """(mode, days_before, medians): bins of ``step`` hours before the failure."""
     day = -F.ceil(F.col(hours) / step) * step / 24
-    return df.where(F.col(hours) > 0).groupBy(mode, day.alias("days_before")).agg(*(F.median(c).alias(c) for c in cols))
+    return medians(df.where(F.col(hours) > 0).withColumn("days_before", day), cols, [mode, "days_before"])
 
 
 def resample(df: DataFrame, every: str, cols: list[str], how: str = "median", key: str = "machine_id", ts: str = "timestamp") -> DataFrame:
@@ -200,9 +244,9 @@ def standstill_days(df: DataFrame, value: float, cols: list[str], speed: str = "
     at = df.where(F.col(speed) == value).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("machines"))
     days = at.select("day").unionByName(at.select(F.date_add("day", 1).alias("day"))).distinct()
     d = df.withColumn("_day", day).join(days.select(F.col("day").alias("_day")), "_day", "left_semi")
-    medians = d.groupBy(F.col("_day").alias("day")).agg(*(F.median(c).alias(c) for c in cols))
-    following = medians.select(F.date_sub("day", 1).alias("day"), *(F.col(c).alias(f"next_{c}") for c in cols))
-    return at.join(medians, "day").join(following, "day", "left")
+    by_day = medians(d, cols, ["_day"]).withColumnRenamed("_day", "day")
+    following = by_day.select(F.date_sub("day", 1).alias("day"), *(F.col(c).alias(f"next_{c}") for c in cols))
+    return at.join(by_day, "day").join(following, "day", "left")
 
 
 def sampled(df: DataFrame, share: float, seed: int = 1, keys: list[str] | None = None) -> DataFrame:
@@ -211,6 +255,49 @@ def sampled(df: DataFrame, share: float, seed: int = 1, keys: list[str] | None =
     return df.where(chosen < round(share * 1_000_000))
 
 
+def _numbered(df: DataFrame, by: list[str], seed: int, keys: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """(rows with _h, their hash, and _b, one of 4,096 ranges of hashes; (by.., _b, before, total): the rows of a group in lower ranges and in all)."""
+    text = F.concat_ws("\x1f", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys or df.columns))
+    d = df.withColumn("_h", F.sha2(text, 256)).withColumn("_b", F.substring("_h", 1, 3))
+    n = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return d, n.select(*by, "_b", before.alias("_before"), F.sum("_n").over(w).alias("_total"))
+
+
+def _met(left: DataFrame, right: DataFrame, on: list[str], cols: list[str]) -> DataFrame:
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return left.alias("l").join(right.alias("r"), same).select("l.*", *(F.col(f"r.{c}").alias(c) for c in cols))
+
+
+def sampled_exactly(df: DataFrame, n: int, by: list[str] | None = None, seed: int = 1, keys: list[str] | None = None) -> DataFrame:
+    """Exactly n rows of each group (all, where it has fewer): those of least SHA-256 of '<seed> 1F <keys> 1F ..', keys as text, NULL as ''.
+
+    ``keys`` (all columns, by default) should tell rows apart; then the choice does not depend on how rows are dealt. Ranges of hashes are
+    counted first, so only the rows of the range in which the n-th lies are sorted. NULL groups are groups.
+    """
+    by = by or []
+    d, ranges = _numbered(df, by, seed, keys)
+    d = _met(d, ranges.where(F.col("_before") < n), [*by, "_b"], ["_before"]).withColumn("_last", F.count(F.lit(1)).over(Window.partitionBy(*by, "_b")) + F.col("_before") > n)
+    whole = d.where("not _last")
+    part = d.where("_last").withColumn("_i", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h"))).where(F.col("_i") + F.col("_before") <= n)
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+
+
+def resampled_exactly(df: DataFrame, n: int, by: list[str] | None = None, seed: int = 1, keys: list[str] | None = None, draw: str = "draw") -> DataFrame:
+    """n draws with replacement from each group, numbered from 1: draw i takes the row at place m modulo the group's size in the order of
+    ``sampled_exactly``, m being the first 15 hexadecimal digits of the SHA-256 of '<seed>:<i>'.
+    """
+    by = by or []
+    d, ranges = _numbered(df, by, seed, keys)
+    d = _met(d, ranges, [*by, "_b"], ["_before"]).withColumn("_place", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h")) + F.col("_before") - 1)
+    draws = ranges.groupBy(*by).agg(F.max("_total").alias("_total")).withColumn(draw, F.explode(F.sequence(F.lit(1), F.lit(n))))
+    m = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(draw).cast("string")), 256), 1, 15), 16, 10).cast("long")
+    return _met(d, draws.withColumn("_place", m % F.col("_total")), [*by, "_place"], [draw]).select(*df.columns, draw)
+
+
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: list[str] | None = None) -> DataFrame:
     """(by.., bin, n, density); values outside fall away."""
     by = by or []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import DEFAULTS
 from millrace.functions.columns import any_null, hours_between
-from millrace.operators import alarms, eda, quality, regime, screening, series, splits, targets
+from millrace.operators import alarms, eda, information, quality, regime, screening, series, splits, targets
 from millrace.operators import features as feat
 from millrace.operators.baseline import RegimeBaseline, baseline_cells
 from millrace.plans import analog as a
@@ -725,6 +725,40 @@ def spearman(spark, d):
     return rounded(eda.spearman(a.telemetry(spark, d), "pressure_bar", "flow_lpm"))
 
 
+_LONG = "lg as (select event_id, event_type, unnest(['pressure_bar', 'flow_lpm', 'vibration_y_g', 'pump_rpm']) as c, unnest([pressure_bar, flow_lpm, vibration_y_g, case when day_of_week < 6 then pump_rpm end]) as v from tel), lr as (select *, rank() over (partition by event_type, c order by v) + (count(*) over (partition by event_type, c, v) - 1) / 2.0 as r from lg where v is not null)"
+
+
+@query("""select a.event_type, a.c as x, b.c as y, count(*) as n, round(corr(a.r, b.r), 6) as spearman from lr a join lr b on a.event_id = b.event_id and list_position(['pressure_bar', 'flow_lpm', 'vibration_y_g', 'pump_rpm'], a.c) > list_position(['pressure_bar', 'flow_lpm', 'vibration_y_g', 'pump_rpm'], b.c) group by all""", a.TEL, _LONG)
+def spearman_by_state(spark, d):
+    """Rank correlations of several columns, one of them with holes, within each kind of event."""
+    t = a.telemetry(spark, d).withColumn("pump_rpm", F.when(F.col("day_of_week") < 6, F.col("pump_rpm")))
+    return rounded(eda.spearman_matrix(t, ["pressure_bar", "flow_lpm", "vibration_y_g", "pump_rpm"], ["event_id"], ["event_type"]))
+
+
+@query("""select round(greatest(0, (select h from hs where n = (select count(*) from pt) - 1) + avg(hk.h - hg.h - hm.h)), 6) as mi from (select nn.i, least(3, ng - 1) as k, ng, count(*) filter (where case when d = 0 then b.x = nn.x else abs(b.x - nn.x) < d end) as m from nn, pt b group by all) z
+  join hs hk on hk.n = z.k - 1 join hs hg on hg.n = z.ng - 1 join hs hm on hm.n = z.m - 1""", a.TEL,
+  "pt as (select machine_id as g, pressure_bar as x, row_number() over (order by event_id) as i from tel)",
+  "nn as (select a.i, any_value(a.x) as x, list_sort(list(abs(a.x - b.x)))[least(3, count(*))] as d, count(*) + 1 as ng from pt a join pt b on a.g = b.g and a.i <> b.i group by a.i)",
+  "hs as (select 0 as n, 0.0::double as h union all select n, sum(1.0::double / n) over (order by n) from (select unnest(range(1, (select count(*) + 1 from pt))) as n))")
+def neighbour_information(spark, d):
+    """What an event's value says of its machine, by nearest neighbours; the SQL compares all pairs."""
+    return rounded(information.neighbour_information(a.telemetry(spark, d), "machine_id", "pressure_bar", 3))
+
+
+_HASHED = "sh as (select event_id, event_type, sha256('1' || chr(31) || event_id) as h from tel), sp as (select *, row_number() over (partition by event_type order by h) - 1 as p, count(*) over (partition by event_type) as n from sh)"
+
+
+@query("select event_id, event_type from sp where p < 25", a.TEL, _HASHED)
+def exact_sample(spark, d):
+    return eda.sampled_exactly(a.telemetry(spark, d).select("event_id", "event_type"), 25, ["event_type"], seed=1, keys=["event_id"])
+
+
+@query("select event_id, event_type, draw from sp join (select draw::int as draw, ('0x' || substr(sha256('1:' || draw), 1, 15))::bigint as m from (select unnest(range(1, 41)) as draw)) on p = m % n", a.TEL, _HASHED)
+def exact_resample(spark, d):
+    """Forty draws with replacement of each kind of event."""
+    return eda.resampled_exactly(a.telemetry(spark, d).select("event_id", "event_type"), 40, ["event_type"], seed=1, keys=["event_id"])
+
+
 @query("""select round((12.0 / (n * (n + 1.0)) * h - 3 * (n + 1)) / (1 - ties / (power(n, 3) - n)), 6) as h from (select sum(s * s / m) as h, sum(m) as n from (select event_type, sum(rx) as s, count(*) as m from rk group by 1)),
   (select sum(power(c, 3) - c) as ties from (select count(*) as c from tel group by pressure_bar))""", a.TEL, RANKS)
 def kruskal(spark, d):
