@@ -125,8 +125,8 @@ def pair_sums(kept: DataFrame, langs: DataFrame) -> DataFrame:
     emitted = met.select("lang", "g", "h", "terms", (excess(F.col("p"), F.col("q")) * F.col("terms")).alias("forth"), F.when(lacks, F.col("terms")).alias("back_terms"), F.when(lacks, excess(F.col("q"), F.col("p")) * F.col("terms")).alias("back"))
     added = emitted.groupBy("lang", "g", "h").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"), F.sum("terms").alias("m"), F.sum("back_terms").alias("m_back"))
     # (g, h) with the term at g, and (h, g) where only h, the first of that pair, lacks it.
-    turned = added.where("m_back is not null").select("lang", F.col("h").alias("g"), F.col("g").alias("h"), F.col("back").alias("f"), F.col("m_back").alias("m"))
-    sums = added.select("lang", "g", "h", F.col("forth").alias("f"), "m").unionByName(turned).groupBy("lang", "g", "h").agg(F.sum("f").alias("f"), F.sum("m").alias("touched"))
+    ways = F.array(F.struct("g", "h", F.col("forth").alias("f"), "m"), F.struct(F.col("h").alias("g"), F.col("g").alias("h"), F.col("back").alias("f"), F.col("m_back").alias("m")))
+    sums = added.select("lang", F.explode(ways).alias("w")).select("lang", "w.*").where("m is not null").groupBy("lang", "g", "h").agg(F.sum("f").alias("f"), F.sum("m").alias("touched"))
 
     at = lambda a, i: F.get(a, F.col(i))
     bare = F.transform("totals", lambda t: share(F.lit(0).cast("long"), t, F.col("v")))
