@@ -1,49 +1,68 @@
-"""URL filtering by rules and a logistic regression on hashed character n-grams, with DataFrame functions only.
+"""URL filtering by rules and a logistic regression on hashed character n-grams of host and path, with DataFrame functions only.
 
-The regression is fitted to a small labelled table by gradient descent. As the weights start at zero
-and every step adds multiples of the examples, the descent runs on the examples' multipliers, by way
-of the examples' inner products; the weights follow from the multipliers at the end. All of it is
-DataFrame work: joins and aggregates for the inner products and the weights, one array expression
-for the steps. The weights have a fixed number and go into the scoring expression as one literal.
+The regression is fitted to a labelled table by Spark's own optimiser, whose gradients are sums over the rows by features, so
+the driver holds weights of a fixed number and no rows. The weights go into the scoring expression as one literal.
 """
 
 from __future__ import annotations
 
+import random
+from hashlib import blake2b
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizer, Normalizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words that names of sites to block are made of, with what commonly stands beside them, from general vocabulary.
 BLOCKED = """casino poker roulette jackpot slots betting bets lottery bingo gambling pills pharma viagra meds porn xxx adult sex cams escort
 dating spam scam phishing malware virus warez crack keygen torrent payday loans debt ads adserver banner popups tracker clicks traffic""".split()
-BESIDE = "online best bonus club vip world deals now hot 24".split()
+BESIDE = "online best bonus club vip world deals now hot 24 farm cheap free".split()
+BLOCKED_PATHS = """win-bonus free-spins cheap-pills adult-videos live-cams nude-pics hot-singles bet-now jackpot-winner crack-download keygen-free
+payday-loan track/click ads/banner popunder phishing-login casino-games poker-room sex-chat xxx-movies torrent-files""".split()
 #: Words that names of sites to allow are made of.
 ALLOWED = """news library university museum garden weather recipes council health school travel archive maps music journal science history
 theatre gallery water mountain river forest house kitchen family winter summer market bridge village church castle island harbour station
-letter paper painting language nation teacher student doctor hospital research engine planet ocean animal flower bread cheese coffee
-cycling football chess running sailing climbing theory logic number reader writer author editor other thing another there under
-interest condition action reason season lesson person nature culture future picture measure earth heart north south western eastern
-leather feather father mother brother sister whether gather thread three throne thunder thirty thousand those these when where which while
-white wheel wheat whisper tension mention section motion station portion edition tradition addition position ration relation
-table cable stable able noble double trouble reading heading wedding landing standing morning evening building feeling spring string
-ending herring ring king wing sing short shore shell shine share shoulder ship shadow sheep sharp error mirror terror horror
-harvest forest honest arrest estate east west best quest guest test rest nest order border under wonder thunder render tender""".split()
+letter paper painting language teacher student doctor hospital research engine planet ocean animal flower bread cheese coffee
+cycling football chess running sailing climbing logic number reader writer office insurance bank energy solar railway airport hotel
+furniture clothing shoes pottery carpentry software hardware robotics statistics chemistry biology geology law parliament embassy charity""".split()
 PARTS = "the of and city open free-time daily local".split()
+ALLOWED_PATHS = """about contact articles news/today products/shoes recipes/soup docs/install wiki/history help/faq events/2023 gallery/photos
+courses/maths jobs team blog/garden reports/annual weather/week sports/results books/reviews en de fr es index.html 2021/05""".split()
+#: Most sites have names that mean nothing; these are made of syllables, so that a name is not held against its site for being unknown.
+STARTS, MIDDLES, ENDS = "b br c ch d f g gr h k l m n p pl r s sh st t th tr v w wh z".split(), "a e i o u ea ou io".split(), "l m n nd ng r s st t ly".split()
+
+
+def invented_names(n: int) -> list[str]:
+    """Names of two and three syllables by turns, from the digits of a hash of their number."""
+    out = []
+    for i in range(n):
+        h = int.from_bytes(blake2b(f"name {i}".encode(), digest_size=16).digest(), "big")
+        name = ""
+        for _ in range(2 + i % 2):
+            for part in (STARTS, MIDDLES, [*ENDS, ""]):
+                h, k = divmod(h, len(part))
+                name += part[k]
+        out.append(name)
+    return out
 
 
 def labelled_urls(thirds: tuple[int, ...] = (0, 1, 2)) -> list[tuple[str, int]]:
-    """(url, 1 to block) of the names whose number modulo 3 is among ``thirds``; all by default.
+    """(url, 1 to block) of the names and paths whose number modulo 3 is among ``thirds``; all by default.
 
-    Names are a word, or a word and what stands beside it. Domain and path are alike, so
-    that only the names tell the classes apart.
+    Names are a word, a word and what stands beside it, or syllables. A name to block is so with any path, and a path to block
+    with any name; prefixes, domains and numbers are alike in both classes, so that they tell nothing.
     """
+    bad = [x for i, w in enumerate(BLOCKED) for x in (w, *(f"{w}-{BESIDE[(i + k) % len(BESIDE)]}" if k % 2 else f"{BESIDE[(i + k) % len(BESIDE)]}-{w}" for k in range(1, 6)))]
+    good = [x for i, w in enumerate(ALLOWED) for x in (w, f"{w}-{PARTS[i % len(PARTS)]}", f"{PARTS[(i + 3) % len(PARTS)]}-{w}")] + invented_names(600)
+    rows = [(name, None, label, i, k) for label, names in ((1, bad), (0, good)) for i, name in enumerate(names) for k in range(10 if label else 3)]
+    rows += [(None, path, 1, i, k) for i, path in enumerate(BLOCKED_PATHS) for k in range(24)]
     out = []
-    for label, words, beside, times in ((1, BLOCKED, BESIDE, 6), (0, sorted({*ALLOWED}), PARTS, 2)):
-        names = []
-        for i, w in enumerate(words):
-            names += [w, *(f"{w}-{beside[(i + k) % len(beside)]}" if k % 2 else f"{beside[(i + k) % len(beside)]}-{w}" for k in range(1, times))]
-        for i, name in enumerate(names):
-            if i % 3 in thirds:
-                out.append((f"http://{name}.example.com/", label))
+    for name, path, label, i, k in rows:
+        if i % 3 in thirds:
+            pick = random.Random(f"{name} {path} {k}")  # the rest of an address is drawn alike for both classes
+            host = pick.choice(["", "www.", "m.", "blog."]) + (name or pick.choice(good)) + pick.choice([".example.com", ".example.net", ".example.org"])
+            out.append((f"{pick.choice(['http', 'https'])}://{host}/{path or pick.choice(ALLOWED_PATHS)}{pick.choice(['', '/', f'/{pick.randrange(1000)}'])}", label))
     return out
 
 
@@ -81,38 +100,25 @@ def grams(host: Column, path: Column, dims: int, sizes: tuple[int, ...] = (3, 4,
     return F.array_distinct(F.concat(of(host, "^"), of(path, "/"), F.array(F.lit(dims))))
 
 
-def fit(labelled: DataFrame, dims: int = 32768, steps: int = 300, rate: float = 20.0, decay: float = 0.001, most: int = 2000) -> list[float]:
+def fit(labelled: DataFrame, dims: int = 32768, decay: float = 3e-6, steps: int = 60) -> list[float]:
     """Weights of ``dims`` hashed n-grams and the constant, from rows (url, label 0 or 1).
 
-    The table is small by contract: over ``most`` rows raise, as the steps hold a row's inner products with
-    all others. Null urls or labels are left out. Features are scaled so that an example has length 1.
-    An empty table gives zero weights, which block nothing.
+    They make the mean loss, to which both labels contribute one half, plus decay / 2 times their squares least, in at most ``steps`` steps of the optimiser. Null urls or labels are
+    left out; repeated rows count each. Features are scaled so that an example has length 1. An empty table gives zero weights, which
+    allow nothing and block nothing by themselves (a probability of one half).
     """
-    spark = labelled.sparkSession
-    rows = labelled.where("url is not null and label is not null").select("url", F.col("label").cast("double").alias("y"))
-    n = rows.count()
-    if n > most:
-        raise ValueError(f"{n} labelled rows; {most} at most")
-    if not n:
+    rows = labelled.where("url is not null and label is not null").select(F.col("label").cast("double").alias("y"), F.transform(grams(host_of(F.col("url")), path_of(F.col("url")), dims), lambda g: g.cast("string")).alias("g"))
+    if rows.isEmpty():
         return [0.0] * (dims + 1)
-    rows = rows.groupBy("url", "y").agg(F.count(F.lit(1)).cast("double").alias("times"))
-    x = rows.select("url", "y", "times", grams(host_of(F.col("url")), path_of(F.col("url")), dims).alias("g")).select("url", "y", "times", F.explode("g").alias("g"), (1 / F.sqrt(F.size("g"))).alias("v"))
-    name = F.struct("url", "y")
-    a, b = x.select(name.alias("a"), "g", F.col("v").alias("va")), x.select(name.alias("b"), "g", F.col("v").alias("vb"))
-    near = a.join(b, "g").groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("k"))
-    line = near.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("b", "k"))).k.alias("k"))  # all rows share the constant, so no pair lacks
-    whole = line.join(rows.select(name.alias("a"), "times"), "a").agg(F.sort_array(F.collect_list(F.struct("a", "k", "times"))).alias("e"))
-    e = F.col("e")
-
-    def step(m: Column, _: Column) -> Column:
-        f = lambda row: F.aggregate(F.zip_with(row, m, lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
-        return F.zip_with(e, m, lambda r, q: q * (1 - decay) + (r.a.y - 1 / (1 + F.exp(-f(r.k)))) * r.times * (rate / n))
-
-    found = whole.select(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.transform(e, lambda r: F.lit(0.0)), step).alias("m"), "e")
-    each = found.select(F.explode(F.arrays_zip(F.col("e.a").alias("a"), "m")).alias("z")).select("z.a", "z.m")
-    weights = x.withColumn("a", name).join(each, "a").groupBy("g").agg(F.sum(F.col("v") * F.col("m")).alias("w"))
-    got = {r.g: r.w for r in weights.collect()}
-    return [got.get(i, 0.0) for i in range(dims + 1)]
+    share = rows.agg(F.avg("y")).first()[0]
+    even = F.when(F.col("y") == 1, F.lit(0.5 / share) if share else F.lit(1.0)).otherwise(F.lit(0.5 / (1 - share)) if share < 1 else F.lit(1.0))
+    names = CountVectorizer(inputCol="g", outputCol="n", vocabSize=dims + 1, binary=True).fit(rows)
+    x = Normalizer(inputCol="n", outputCol="x").transform(names.transform(rows)).select("x", "y", even.alias("w"))
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=decay, maxIter=steps, tol=1e-9, fitIntercept=False, standardization=False).fit(x)
+    out = [0.0] * (dims + 1)
+    for g, w in zip(names.vocabulary, model.coefficients.toArray().tolist(), strict=True):
+        out[int(g)] = w
+    return out
 
 
 def probability(features: Column, weights: list[float]) -> Column:
@@ -123,7 +129,7 @@ def probability(features: Column, weights: list[float]) -> Column:
 
 
 def labelled_table(spark: SparkSession, thirds: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
-    return spark.createDataFrame(labelled_urls(thirds), "url string, label int")
+    return spark.createDataFrame(labelled_urls(thirds), "url string, label int").coalesce(1)
 
 
 def judge(pages: DataFrame, weights: list[float], rules: list[tuple[str, str, str]] = RULES, threshold: float = 0.5, url: str = "url", key: str = "page_id") -> DataFrame:
