@@ -67,9 +67,9 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE (count + 1) / (total + terms)), exact for counts of any size."""
+    """1 + floor(SCALE (count + 1) / (total + terms)), exact for counts of any size; NULL where a language keeps no term."""
     wide = lambda c: c.cast("decimal(19,0)")
-    return F.call_function("div", wide(count + 1) * F.lit(SCALE).cast("decimal(10,0)"), wide(total + terms)) + 1
+    return F.call_function("div", wide(count + 1) * F.lit(SCALE).cast("decimal(10,0)"), F.nullif(wide(total + terms), F.lit(0).cast("decimal(19,0)"))) + 1
 
 
 def excess(p: Column, q: Column) -> Column:

@@ -136,12 +136,17 @@ def describe(docs: DataFrame, k: int, bits: int, text: str, key: str) -> tuple[D
     return got.where("block is null").select("key", "n", "c"), full
 
 
+def needed(percent: int) -> int:
+    """Shingles that two different sets share at least if they link: two over 50 percent, where a set of one links with its equals only."""
+    return 2 if percent > 50 else 1
+
+
 def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: str, hot: int = 5_000) -> DataFrame:
     """The index: (t, c, n, p, part) for the shingle t at place p of the prefix of class c of size n.
 
     Lists of shingles that the sketch counts ``hot`` times or more are dealt in parts, by class; part is 0 for others.
     """
-    bits = len(sketch).bit_length() - 1
+    bits, least = len(sketch).bit_length() - 1, needed(percent)
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +156,9 @@ def prefixes(docs: DataFrame, k: int, percent: int, sketch: np.ndarray, text: st
             for at, to in slices(batch.column(0)):
                 ts, cs, ns, ps, parts = [], [], [], [], []
                 for s in shingle_sets(batch.column(0).slice(at, to - at), k):
-                    if (n := len(s)) < 2 or not once(c := class_of(s)):  # sets of one shingle link with equal sets only
+                    if (n := len(s)) < least or not once(c := class_of(s)):
                         continue
-                    size = min(n, n - -(-percent * n // 100) + 2)
+                    size = min(n, n - -(-percent * n // 100) + least)
                     often = counts[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     order = np.lexsort((s, often))[:size]
                     ts.append(s[order])
@@ -247,7 +252,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _reach(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
     """Whether sizes and places allow the threshold, this shingle being the first or second that the two share."""
-    return _enough(F.lit(2) + F.least(na - pa_ - 1, nb - pb - 1), na, nb, percent)
+    return _enough(F.lit(needed(percent)) + F.least(na - pa_ - 1, nb - pb - 1), na, nb, percent)
 
 
 def _enough(o: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -263,25 +268,25 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = Non
     """((key, n, c) of all rows, (c, label) of all classes that have links).
 
     Two classes have one label when links of the given similarity join them, directly or in steps. The sketch has
-    2**bits counters: if not given, 64 a row, within 2**16 and 2**21. ``percent`` is 51 or more: sets that are no equals then
-    share two shingles if they link, which is what pairs are asked for before they are compared.
+    2**bits counters: if not given, 64 a row, within 2**16 and 2**21. Pairs are asked for as many shared shingles as they
+    ``needed`` have before they are compared.
     """
-    if not 51 <= percent <= 100:
-        raise ValueError("percent must lie between 51 and 100")
-    spark = docs.sparkSession
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must lie between 1 and 100")
+    spark, least = docs.sparkSession, needed(percent)
     bits = bits or min(21, max(16, (64 * docs.count()).bit_length()))
     rows, sketch = describe(docs, k, bits, text, key)
     entries = Stored(shared_lists(prefixes(docs, k, percent, sketch, text)), "lists")
     release(spark)
     sizes = entries.df.groupBy("t").agg(F.count(F.lit(1)).alias("m"))
-    degree = entries.df.join(sizes, "t").groupBy("c").agg(F.sum("m").alias("degree"), F.count(F.lit(1)).alias("lists")).where("lists > 1").drop("lists")
+    degree = entries.df.join(sizes, "t").groupBy("c").agg(F.sum("m").alias("degree"), F.count(F.lit(1)).alias("lists")).where(F.col("lists") >= least).drop("lists")
     ranked = entries.df.join(degree, "c")
     leaders = ranked.groupBy("t").agg(F.max(F.struct("degree", F.struct("c", "n", "p").alias("l"))).alias("top")).select("t", F.col("top.l.c").alias("lc"), F.col("top.l.n").alias("ln"), F.col("top.l.p").alias("lp"))
     led = Stored(ranked.join(leaders, "t").select("t", "c", "n", "p", "lc", "ln", "lp"), "led").df
     entries.drop()
     release(spark)
     stars = led.where(F.col("c") != F.col("lc")).where(_reach(F.col("n"), F.col("p"), F.col("ln"), F.col("lp"), percent))
-    first = checkpointed(_met_twice(stars.select(F.col("lc").alias("a"), F.col("ln").alias("na"), F.col("c").alias("b"), F.col("n").alias("nb"))))
+    first = checkpointed(_met(least, stars.select(F.col("lc").alias("a"), F.col("ln").alias("na"), F.col("c").alias("b"), F.col("n").alias("nb"))))
     known = _compare(docs, first, k, text)
     linked = known.where(_enough(F.col("o"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     label = components(linked)
@@ -308,7 +313,7 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = Non
         & _reach(na, F.col("a.p"), nb, F.col("b.p"), percent)
         & F.coalesce(_enough(most, na, nb, percent), F.lit(True)),
     )
-    pairs = _met_twice(pairs.select(ca.alias("a"), na.alias("na"), cb.alias("b"), nb.alias("nb"))).join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _met(least, pairs.select(ca.alias("a"), na.alias("na"), cb.alias("b"), nb.alias("nb"))).join(known.select("a", "b"), ["a", "b"], "left_anti")
     last = checkpointed(pairs)
     if not last.isEmpty():
         more = _compare(docs, last, k, text).where(_enough(F.col("o"), F.col("na"), F.col("nb"), percent)).select("a", "b")
@@ -316,11 +321,11 @@ def links(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | None = Non
     return rows, label.withColumnRenamed("node", "c")
 
 
-def _met_twice(pairs: DataFrame) -> DataFrame:
-    """The pairs that are there for two shingles or more, a before b."""
+def _met(least: int, pairs: DataFrame) -> DataFrame:
+    """The pairs that are there for so many shingles or more, a before b."""
     swap = F.col("a") > F.col("b")
     ordered = pairs.select(*(F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))))
-    return ordered.groupBy("a", "na", "b", "nb").count().where("count > 1").drop("count")
+    return ordered.groupBy("a", "na", "b", "nb").count().where(F.col("count") >= least).drop("count")
 
 
 def _compare(docs: DataFrame, pairs: DataFrame, k: int, text: str) -> DataFrame:
@@ -336,7 +341,7 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, bits: int | N
     """(key, n_shingles, component_id) of every row; component_id is the least key reachable by links.
 
     Words are runs of bytes other than white space, with A-Z lower-cased. Two rows link when
-    100 * intersection >= percent * union of their shingle sets; ``percent`` lies between 51 and 100. A row without words (null, empty or
+    100 * intersection >= percent * union of their shingle sets; ``percent`` lies between 1 and 100. A row without words (null, empty or
     blank text) has no shingles and links with nothing, so its component_id is its key. Rows with equal
     sets always link. Null keys take part but are never a component's name, unless all its keys are null.
     Columns other than ``key`` and ``text`` are not read.

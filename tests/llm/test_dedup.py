@@ -176,7 +176,7 @@ def test_a_call_that_fails_anywhere_leaves_no_trace(spark, monkeypatch):
     rows_of = lambda out: sorted((r.doc_id, r.n_words, r.n_removed, r.sha) for r in out.withColumn("sha", F.sha2("kept", 256)).collect())
     want = sorted((i, *w) for (i, _), w in zip(second, substring.brute_force([t for _, t in first + second], 35)[len(first) :], strict=True))
     assert 0 < sum(w[2] for w in want) < sum(w[1] for w in want)
-    steps = ["stage", "kinds", "keep", "remember", "_note", "compact"]
+    steps = ["stage", "remember", "_note", "compact"]
     for step in steps:
         index = FingerprintIndex(spark, buckets=2, most_runs=2)
         substring.drop_repeats(df(first), index=index, call="first")
@@ -214,8 +214,7 @@ def test_keys_that_are_no_integers_are_refused(spark):
         substring.drop_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
 
 
-@pytest.mark.parametrize("percent", [51, 60, 67, 75, 90, 100])
-@pytest.mark.parametrize("k", [1, 3])
+@pytest.mark.parametrize("percent,k", [(1, 1), (33, 1), (50, 1), (20, 3), (51, 1), (67, 3), (75, 1), (100, 1)])
 def test_similarity_joins_at_every_threshold(spark, percent, k):
     import random
 
@@ -226,7 +225,7 @@ def test_similarity_joins_at_every_threshold(spark, percent, k):
     assert got == setjoin.brute_force(rows, k, percent)
 
 
-def test_low_thresholds_are_refused(docs):
-    for percent in (0, 33, 50, 101):
-        with pytest.raises(ValueError, match="between 51 and 100"):
+def test_thresholds_that_mean_nothing_are_refused(docs):
+    for percent in (0, 101):
+        with pytest.raises(ValueError, match="between 1 and 100"):
             setjoin.similar_groups(docs, k=1, percent=percent)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import zlib
 
 import numpy as np
@@ -121,7 +122,8 @@ def test_strings_of_special_tokens_are_ordinary_for_ranks(spark):
 
     df = spark.createDataFrame(SPECIAL, "doc_id long, text string")
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in encode_documents(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()}
-    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={"<|endoftext|>": 50256})
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": 50256})
     assert got == {i: plain.encode_ordinary(t or "") for i, t in SPECIAL}
 
 
