@@ -21,6 +21,8 @@ from millrace.session import checkpointed
 
 UNIT = float(1 << 20)
 MISSING = 255
+#: Rows that one task takes at least.
+ROWS = 20_000
 
 
 @dataclass
@@ -152,7 +154,8 @@ def fit(df: DataFrame, features: list[str], label: str, rounds: int = 30, depth:
             yield pa.RecordBatch.from_arrays([pa.array([number[c] for c in b.column(0).to_pylist()], pa.int32()), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in scores], pa.binary())], names=["y", "x", "scores"])
 
     kinds = "y int, x binary, scores binary"
-    data = checkpointed(df.select(F.col(label).cast("string"), *(F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features))).mapInArrow(prepared, kinds))
+    parts = int(-(-sizes.sum() // ROWS))  # a task's rows are worth more than its histograms
+    data = checkpointed(df.select(F.col(label).cast("string"), *(F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features))).mapInArrow(prepared, kinds).coalesce(parts))
 
     def opened(b: pa.RecordBatch, pending: list[list[Tree]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, n_features)
@@ -190,7 +193,7 @@ def fit(df: DataFrame, features: list[str], label: str, rounds: int = 30, depth:
                 found = [(*key, *best_split(h.reshape(n_features, width, 2), least, l2)) for key, h in held.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found, strict=True)], names=["c", "n", "f", "cut", "left", "gl", "hl", "gr", "hr"])
 
-        return data.mapInArrow(histograms, "c int, n int, h binary").repartition("c", "n").mapInArrow(splits, "c long, n long, f long, cut long, left boolean, gl double, hl double, gr double, hr double").collect()
+        return data.mapInArrow(histograms, "c int, n int, h binary").repartition(min(parts, k * nodes), "c", "n").mapInArrow(splits, "c long, n long, f long, cut long, left boolean, gl double, hl double, gr double, hr double").collect()
 
     pending: list[list[Tree]] = []
     for r in range(rounds):

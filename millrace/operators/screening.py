@@ -132,7 +132,7 @@ def identity_chance(ds: DataFrame, split_date: str) -> DataFrame:
     return n.agg(F.try_divide(F.max("count"), F.sum("count")).alias("chance"))
 
 
-def multi_feature_identity(ds: DataFrame, features: list[str], split_date: str, rounds: int = 30, depth: int = 4) -> float:
+def multi_feature_identity(ds: DataFrame, features: list[str], split_date: str, rounds: int = 20, depth: int = 3) -> float:
     """Accuracy on later healthy hours of boosted trees that name the machine from all features, fitted to earlier ones.
 
     Missing values stay missing. A machine without earlier rows is never named; NaN where a side of the date has no rows.

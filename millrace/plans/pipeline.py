@@ -24,7 +24,7 @@ def run(spark: SparkSession, cfg: dict, tables: dict[str, DataFrame] | None = No
     """Ingest, validate, clean, baseline, features, targets, folds, screening; each layer is written and read back.
 
     Writes the gold table, feature dictionary, folds, feature list and summary to the processed folder.
-    ``forest`` also trains the model that names machines from all features.
+    ``forest`` also trains the boosted trees that name machines from all features.
     """
     begin = time.time()
     out, mid = cfg["paths"]["processed_dir"], cfg["paths"]["interim_dir"]

@@ -68,9 +68,9 @@ def trailing(stream: DataFrame, col: str, rows: int, least: int | None = None, l
 
 
 def scored(stream: DataFrame, cells: DataFrame, signals: list[str]) -> DataFrame:
-    """Deviations from a saved baseline: a join of the stream with the small table of cells."""
+    """Deviations from a saved baseline: a join of the stream with the table of cells, which Spark broadcasts if its size allows."""
     from millrace.functions.columns import divided
     from millrace.operators.baseline import CELL
 
-    d = stream.join(F.broadcast(cells), CELL, "left")
+    d = stream.join(cells, CELL, "left")
     return d.withColumns({f"z_{s}": F.when(~F.col("is_standby"), divided(F.col(s) - F.col(f"{s}__median"), F.col(f"{s}__std"))) for s in signals}).drop(*(c for c in cells.columns if c not in CELL))

@@ -66,7 +66,8 @@ def plain_booster(rows, cuts, rounds, depth, rate, least, l2):
 
 
 @pytest.mark.parametrize("depth,bins", [(1, 4), (3, 8)])
-def test_trees_equal_a_plain_booster(spark, depth, bins):
+def test_trees_equal_a_plain_booster(spark, depth, bins, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS", 40)  # four tasks
     rows = table()
     kw = {"rounds": 5, "depth": depth, "rate": 0.4, "least": 0.5, "l2": 1.0}
     one, many = spark.createDataFrame(rows, SCHEMA).coalesce(1), spark.createDataFrame(rows, SCHEMA).repartition(5)
