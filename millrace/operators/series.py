@@ -181,7 +181,7 @@ BEFORE, AFTER = 0, 2
 
 
 def among_events(left: DataFrame, events: DataFrame, last: dict[str, str] | None = None, first: dict[str, str] | None = None, total: dict[str, str] | None = None, key: str = "machine_id", ts: str = "timestamp", block: str | None = None) -> DataFrame:
-    """``left`` with what the events of its key say at each row's time, all in one union, one shuffle and one sorted window.
+    """``left`` with what the events of its key say at each row's time, all in one union, one shuffle and a window sorted each way that is asked for.
 
     ``events`` has the key, ``at`` (microseconds), ``rank`` (BEFORE or AFTER rows of the same time) and value columns.
     last, first and total map new columns to value columns: the last value before the row, the first one
@@ -199,9 +199,10 @@ def among_events(left: DataFrame, events: DataFrame, last: dict[str, str] | None
 
     def found(rows: DataFrame, e: DataFrame, by: list[str]) -> DataFrame:
         u = rows.withColumn(mine, F.lit(True)).unionByName(e.withColumn(mine, F.lit(False)), allowMissingColumns=True)
-        w = Window.partitionBy(*by).orderBy(at, rank, *(f"__v_{c}" for c in values))
-        past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-        made = {n: F.last(f"__v_{c}", True).over(past) for n, c in last.items()} | {n: F.first(f"__v_{c}", True).over(future) for n, c in first.items()}
+        order = [F.col(c) for c in (at, rank, *(f"__v_{c}" for c in values))]
+        # What comes after a row is what comes before it in the opposite order: a frame up to the last row would be gone through anew for each row.
+        past, future = (Window.partitionBy(*by).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in (order, [c.desc() for c in order]))
+        made = {n: F.last(f"__v_{c}", True).over(past) for n, c in last.items()} | {n: F.last(f"__v_{c}", True).over(future) for n, c in first.items()}
         made |= {n: F.coalesce(F.sum(f"__v_{c}").over(past), F.lit(0)) for n, c in total.items()}
         return u.select("*", *(x.alias(f"__n_{n}") for n, x in made.items())).where(mine)
 

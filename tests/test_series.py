@@ -74,6 +74,34 @@ def test_as_of_both_ways_equals_pandas(spark):
             assert (got.v.fillna(pd.Timestamp(0)).to_numpy() == want.v.fillna(pd.Timestamp(0)).to_numpy()).all(), (exact, forward)
 
 
+def test_what_follows_a_row_takes_one_pass(spark):
+    """A frame up to the last row is gone through anew for each row: time by the square of a key's rows."""
+    rows = spark.range(40_000).selectExpr("'a' machine_id", "cast(timestamp_seconds(id) as timestamp_ntz) timestamp", "id")
+    d = series.as_of(rows, rows.where("id % 1000 = 7").withColumn("stop", F.col("id")), "stop", forward=True)
+    assert "unboundedfollowing" not in d._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert d.where("stop is distinct from if(id > 39007, null, id + pmod(7 - id, 1000))").isEmpty() and d.count() == 40_000
+
+
+@pytest.mark.parametrize("block", [None, "10 hour"])
+def test_events_of_one_time_on_both_sides_of_a_row(spark, block):
+    rng = np.random.default_rng(3)
+    rows = [("xyz"[i % 3], int(t)) for i, t in enumerate(rng.integers(0, 60, 70))]
+    events = list({("xy"[i % 2], int(t), int(r), None if v % 4 == 0 else int(v), None if u % 3 == 0 else int(u)) for i, (t, r, v, u) in enumerate(zip(rng.integers(0, 60, 80), rng.choice([series.BEFORE, series.AFTER], 80), rng.integers(0, 20, 80), rng.integers(0, 20, 80), strict=True))})
+    hours = lambda t: t * 3_600_000_000
+    left = spark.createDataFrame([(k, i, t) for i, (k, t) in enumerate(rows)], "machine_id string, i int, t int").selectExpr("machine_id", "i", "cast(timestamp_seconds(t * 3600) as timestamp_ntz) timestamp")
+    e = spark.createDataFrame([(k, hours(t), r, v, u) for k, t, r, v, u in events], "machine_id string, at long, rank int, v int, u int").withColumn("n", F.col("v"))
+    got = series.among_events(left, e, last={"v_before": "v", "u_before": "u"}, first={"v_after": "v", "u_after": "u"}, total={"sum": "n"}, block=block)
+    order = sorted(events, key=lambda x: (x[1], x[2], x[3] is not None, x[3] or 0, x[4] is not None, x[4] or 0))
+    one = lambda xs: next((x for x in xs if x is not None), None)
+    for r in got.collect():
+        k, t = rows[r.i]
+        past, future = ([x[3:] for x in order if x[0] == k and ((x[1], x[2]) < (t, 1)) == before] for before in (True, False))
+        assert (r.v_before, r.u_before) == tuple(one(x[c] for x in reversed(past)) for c in (0, 1))
+        assert (r.v_after, r.u_after) == tuple(one(x[c] for x in future) for c in (0, 1))
+        assert r["sum"] == sum(x[0] or 0 for x in past)
+    assert got.count() == 70
+
+
 def test_range_count_bounds(spark):
     a = spark.sql("select 'm' machine_id, timestamp_ntz '2024-01-11' timestamp")
     b = spark.sql("select 'm' machine_id, explode(array(timestamp_ntz '2024-01-01', timestamp_ntz '2024-01-05', timestamp_ntz '2024-01-11', timestamp_ntz '2023-12-31 23:59:59')) timestamp")
